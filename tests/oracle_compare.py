@@ -52,6 +52,14 @@ def compare(spark, con, sf_dir, name, q, sql):
     ok_cols = sorted(scols) == sorted(dcols)
     ok_n = len(srows) == len(drows)
     ok_v = ok_cols and rows_of(scols, srows) == rows_of(dcols, drows)
+    spark_t = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    duck_t = dict(zip(dcols, [str(t) for t in res.types]))
+    same = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+            "boolean": "BOOLEAN", "float": "FLOAT", "date": "DATE"}
+    tdiff = {c: (spark_t[c], duck_t.get(c)) for c in spark_t
+             if same.get(spark_t[c], spark_t[c]) != duck_t.get(c)}
+    if tdiff:
+        print(f"   TYPES {name}: {tdiff}")
     status = "OK" if (ok_cols and ok_n and ok_v) else "MISMATCH"
     print(f"{status:8s} {name:26s} spark={len(srows):6d} duck={len(drows):6d} "
           f"cols={'ok' if ok_cols else (sorted(scols), sorted(dcols))} vals={'ok' if ok_v else 'DIFF'} "
