@@ -61,8 +61,9 @@ def histogram(spark: SparkSession, df: DataFrame, column: str, bins: int = 50) -
     global aggregate (map-side partials); the bin dimension has ``bins`` rows.
     """
     x = F.col(column).cast("double")
-    stats = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
-    lo, hi = stats.select("lo").scalar(), stats.select("hi").scalar()
+    # one scalar subquery (a single partial/final aggregate) for both bounds
+    stats = df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
+    lo, hi = stats.getField("lo"), stats.getField("hi")
     width = (hi - lo) / F.lit(bins)
     b = F.when(hi == lo, F.lit(1)).otherwise(
         F.least(F.lit(bins), (F.floor((x - lo) / (hi - lo) * F.lit(bins)) + F.lit(1)).cast("int")))

@@ -8,15 +8,16 @@ each row"). The helpers here split hot keys explicitly:
 
 * per-key left row counts come from a partial (map-side combined) aggregate;
 * keys with at least ``hot_rows`` left rows are *hot*. There are at most
-  ``rows(left) / hot_rows`` of them, which bounds the broadcast that marks them;
-* a hot key is given ``ceil(rows / hot_rows)`` salt values. Its left rows pick
-  one salt by a deterministic hash (stable when a task is retried), its single
-  right row is replicated once per salt, and the join runs on (keys, salt).
-  No task sees more than about ``hot_rows`` rows of one key;
-* cold keys get salt 0, i.e. an ordinary shuffle join on the keys.
+  ``rows(left) / hot_rows`` of them, which bounds the broadcast that carries
+  their right-side values;
+* every left row of a hot key takes its right values from that broadcast
+  (map-side) and a salt in ``[0, ceil(rows / hot_rows))`` from a deterministic
+  row hash, so in the shuffle join on (keys, salt) its rows spread over many
+  tasks and no task sees more than about ``hot_rows`` rows of one key;
+* cold keys get salt 0 and take their values from an ordinary shuffle join.
 
 The right side must be unique on the keys (an aggregate or a key set); then
-every left row meets exactly one right copy and the result equals the plain join.
+the result equals ``left.join(right, keys, how)``.
 """
 
 from __future__ import annotations
@@ -32,52 +33,69 @@ DEFAULT_HOT_ROWS = 5_000_000
 # Rows whose key has a NULL part never match; spread them over this many salts.
 NULL_KEY_SPREAD = 1024
 
-_SALT, _SALTS, _ROWS = "_ew_salt", "_ew_salts", "_ew_rows"
+_SALT, _SALTS, _ROWS, _MATCH, _HOT = "_ew_salt", "_ew_salts", "_ew_rows", "_ew_match", "_ew_hot_"
 
 
 def _any_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
-def _row_hash(df: DataFrame) -> Column:
+def _row_hash(cols: list[str]) -> Column:
     # The partition id spreads exact copies of a row that sit in different
     # input partitions; it is stable when a task is re-run.
-    return F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
+    return F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in cols])
 
 
-def hot_keys(key_rows: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
-    """(keys, salts) for keys with >= hot_rows rows; ``key_rows`` has column _ew_rows."""
-    return (key_rows.filter((F.col(_ROWS) >= F.lit(hot_rows)) & ~_any_null(keys))
-            .select(*keys, F.ceil(F.col(_ROWS) / F.lit(hot_rows)).cast("int").alias(_SALTS)))
+def _salts(rows: Column, hot_rows: int) -> Column:
+    return F.ceil(rows / F.lit(hot_rows)).cast("int")
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
-                hot_rows: int = DEFAULT_HOT_ROWS, key_rows: DataFrame | None = None) -> DataFrame:
-    """``left.join(right, keys, how)`` for a right side unique on ``keys``.
-
-    ``how`` is "inner" or "left". ``key_rows`` may supply (keys, _ew_rows) left
-    row counts when the caller already has them (e.g. from the aggregate that
-    built ``right``); otherwise they are computed with a partial aggregate.
-    """
-    if how not in ("inner", "left"):
-        raise ValueError("salted_join supports inner and left joins")
-    if key_rows is None:
-        key_rows = left.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS))
-    hot = F.broadcast(hot_keys(key_rows, keys, hot_rows))  # size bounded by rows(left)/hot_rows
-
+def _split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str,
+                hot: DataFrame, match: str) -> DataFrame:
+    """Join ``left`` to ``right`` (unique on keys). ``match`` is a column of
+    ``right`` that is never NULL; ``hot`` holds, per hot key, (keys, _ew_salts,
+    right columns) with ``match`` NULL when the key has no right row, and is
+    small enough to broadcast."""
+    vals = [c for c in right.columns if c not in keys and c != match]
     left_cols = left.columns
-    salt = (F.when(_any_null(keys), F.pmod(_row_hash(left), F.lit(NULL_KEY_SPREAD)))
+    clash = set(vals) & set(left_cols)
+    if clash:
+        raise ValueError(f"columns on both sides: {sorted(clash)}")
+    h = F.broadcast(hot.select(*keys, _SALTS, F.col(match).alias(_HOT + _MATCH),
+                               *[F.col(v).alias(_HOT + v) for v in vals]))
+    salt = (F.when(_any_null(keys), F.pmod(_row_hash(left_cols), F.lit(NULL_KEY_SPREAD)))
             .when(F.col(_SALTS).isNull(), F.lit(0))
-            .otherwise(F.pmod(_row_hash(left), F.col(_SALTS))))
-    left_salted = (left.join(hot, keys, "left")
-                   .select(*left_cols, salt.cast("int").alias(_SALT)))
+            .otherwise(F.pmod(_row_hash(left_cols), F.col(_SALTS).cast("long"))))
+    marked = left.join(h, keys, "left").withColumn(_SALT, salt.cast("int"))
+    # Salt 0 for every right row, written so the optimizer cannot fold it into
+    # a constant: a literal would turn the salt into a post-join filter and
+    # the shuffle would again partition on the keys alone.
+    zero = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(1)).cast("int")
+    r = right.withColumnRenamed(match, _MATCH).withColumn(_SALT, zero)
+    joined = marked.join(r, keys + [_SALT], "left")
+    is_hot = F.col(_SALTS).isNotNull()
+    out = joined.select(*left_cols,
+                        *[F.when(is_hot, F.col(_HOT + v)).otherwise(F.col(v)).alias(v) for v in vals],
+                        F.when(is_hot, F.col(_HOT + _MATCH)).otherwise(F.col(_MATCH)).alias(_MATCH))
+    if how == "inner":
+        out = out.filter(F.col(_MATCH).isNotNull())
+    return out.drop(_MATCH)
+
 
-    right_salted = (right.join(hot, keys, "left")
-                    .withColumn(_SALT, F.explode(F.sequence(
-                        F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - F.lit(1))))
-                    .drop(_SALTS))
-    joined = left_salted.join(right_salted, keys + [_SALT], how)
-    return joined.drop(_SALT)
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
+                hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """``left.join(right, keys, how)`` for a right side unique on ``keys``;
+    ``how`` is "inner" or "left". Costs one extra partial aggregate over the
+    left keys to find the hot ones."""
+    if how not in ("inner", "left"):
+        raise ValueError("salted_join supports inner and left joins")
+    key_rows = left.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS))
+    hot_keys = (key_rows.filter((F.col(_ROWS) >= F.lit(hot_rows)) & ~_any_null(keys))
+                .select(*keys, _salts(F.col(_ROWS), hot_rows).alias(_SALTS)))
+    # right rows of the hot keys: a map-side filter of ``right`` (<= #hot rows)
+    hot_vals = right.join(F.broadcast(hot_keys.select(*keys)), keys, "inner")
+    hot = hot_keys.join(hot_vals.withColumn(_MATCH, F.lit(True)), keys, "left")
+    return _split_join(left, right.withColumn(_MATCH, F.lit(True)), keys, how, hot, _MATCH)
 
 
 def attach_group_aggregates(detail: DataFrame, keys: list[str], aggs: dict[str, Column],
@@ -85,12 +103,16 @@ def attach_group_aggregates(detail: DataFrame, keys: list[str], aggs: dict[str,
     """Every detail row with a non-NULL key plus the aggregates of its key group.
 
     Same rows as ``detail.join(detail.groupBy(keys).agg(...), keys)`` or as a
-    window over ``keys``, but the aggregate is combined map-side and hot groups
-    are split (see module doc). Rows with a NULL key part are dropped, as an
+    window over ``keys``, but the aggregate is combined map-side, computed once
+    for both the hot-key broadcast and the shuffle join, and hot groups are
+    split (see module doc). Rows with a NULL key part are dropped, as an
     equi-join would drop them.
     """
     kept = detail.filter(~_any_null(keys))
     agg = kept.groupBy(*keys).agg(*[e.alias(n) for n, e in aggs.items()],
                                   F.count(F.lit(1)).alias(_ROWS))
-    return salted_join(kept, agg.drop(_ROWS), keys, "inner", hot_rows,
-                       key_rows=agg.select(*keys, _ROWS))
+    # both branches read every aggregate column (the row count doubles as the
+    # match marker), so the aggregate is planned once and its shuffle reused
+    hot = (agg.filter(F.col(_ROWS) >= F.lit(hot_rows))
+           .withColumn(_SALTS, _salts(F.col(_ROWS), hot_rows)))
+    return _split_join(kept, agg, keys, "inner", hot, _ROWS)

@@ -88,6 +88,10 @@ def build(changes: DataFrame, entity_locations: DataFrame, suppliers: DataFrame,
         long = part if long is None else long.unionByName(part)
     located = entity_locations_of(changes, entity_locations).join(long, "lvid", "inner")
     if loaded is not None:
-        located = not_yet_loaded(located, loaded, LOAD_KEYS)
+        # only the elements being built can match; with a target partitioned
+        # by element this prunes partitions, and it shrinks the anti-join shuffle
+        elements = sorted({s.element for _, specs in sources for s in specs})
+        located = not_yet_loaded(located, loaded.filter(F.col("element").isin(*elements)),
+                                 LOAD_KEYS)
     named = located.join(suppliers.select("supplier_nb", "supplier_nm"), "supplier_nb", "left")
     return named.select(*S.SUPPLEMENT_LAYOUT)

@@ -28,11 +28,12 @@ def invalid_responses(spark: SparkSession, responses: DataFrame) -> DataFrame:
     answer not among the options). The question dimension is a 14-row literal,
     so it is broadcast; the responses are never shuffled.
     """
-    q = questions(spark)
-    dim = F.broadcast(q.groupBy("input_id").agg(F.first("input_type").alias("input_type"),
-                                                F.max(F.col("required").cast("int")).alias("req")))
-    opts = F.broadcast(q.filter(F.col("input_type").isin(*CHOICE_TYPES))
-                       .select("input_id", F.col("option").alias("answer")))
+    dim = F.broadcast(spark.createDataFrame(
+        [(iid, itype, 1) for _, _, itype, iid in S.SURVEY_QUESTIONS],
+        "input_id string, input_type string, req int"))
+    opts = F.broadcast(spark.createDataFrame(
+        [(iid, o) for _, os_, itype, iid in S.SURVEY_QUESTIONS if itype in CHOICE_TYPES for o in os_],
+        "input_id string, answer string"))
     r = responses.join(dim, "input_id", "left")
     blank = F.col("answer").isNull() | (F.trim(F.col("answer")) == F.lit(""))
     problem = (F.when(F.col("input_type").isNull(), F.lit("unknown_question"))

@@ -27,13 +27,17 @@ def test_hot_key_is_spread_over_salts(spark):
     left = skewed(spark)
     right = spark.createDataFrame([("hot", "H")], "k string, r string")
     # inspect the salt the left side gets: expose it by joining on the salted frame
-    from entwise.operators import skew
-    key_rows = left.groupBy("k").agg(F.count(F.lit(1)).alias(skew._ROWS))
-    hot = skew.hot_keys(key_rows, ["k"], 100)
-    assert rows(hot) == [("hot", 10)]
     salted = salted_join(left, right, ["k"], "inner", hot_rows=100)
     assert salted.count() == 1000
     assert _SALT not in salted.columns
+    # the hot key's rows reach the shuffle under 10 different salts
+    from entwise.operators import skew
+    key_rows = left.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    salts = key_rows.filter("n >= 100 AND k IS NOT NULL").select("k", skew._salts(F.col("n"), 100).alias("s"))
+    assert rows(salts) == [("hot", 10)]
+    spread = (left.filter("k = 'hot'")
+              .select(F.pmod(skew._row_hash(left.columns), F.lit(10)).alias("salt")).distinct().count())
+    assert spread >= 5
 
 
 def test_attach_group_aggregates_matches_groupby_join(spark):
@@ -52,3 +56,21 @@ def test_salted_join_plan_broadcasts_only_hot_keys(spark):
     plan = salted_join(left, right, ["k"], "left", hot_rows=100)._jdf.queryExecution() \
         .optimizedPlan().toString()
     assert "CartesianProduct" not in plan
+
+
+def test_salt_reaches_the_shuffle_partitioning(spark):
+    left = skewed(spark)
+    right = spark.createDataFrame([("hot", "H")], "k string, r string")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for df in (salted_join(left, right, ["k"], "left", hot_rows=100),
+                   attach_group_aggregates(left.filter("k IS NOT NULL"), ["k"], {"mx": F.max("v")},
+                                           hot_rows=100)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            parts = [ln for ln in plan.splitlines() if "hashpartitioning(" in ln and "_ew_salt" in ln]
+            assert len(parts) == 2, plan   # both join inputs are partitioned on (k, salt)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
