@@ -69,9 +69,11 @@ def _split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str,
     marked = left.join(h, keys, "left").withColumn(_SALT, salt.cast("int"))
     # Salt 0 for every right row, written so the optimizer cannot fold it into
     # a constant: a literal would turn the salt into a post-join filter and
-    # the shuffle would again partition on the keys alone.
-    zero = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(1)).cast("int")
-    r = right.withColumnRenamed(match, _MATCH).withColumn(_SALT, zero)
+    # the shuffle would again partition on the keys alone. It reads all right
+    # columns, so filters inferred on it stay above an aggregate that built
+    # ``right`` and the aggregate's shuffle can be reused by the hot branch.
+    zero = F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.lit(1)).cast("int")
+    r = right.withColumn(_SALT, zero).withColumnRenamed(match, _MATCH)
     joined = marked.join(r, keys + [_SALT], "left")
     is_hot = F.col(_SALTS).isNotNull()
     out = joined.select(*left_cols,
