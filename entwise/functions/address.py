@@ -1,8 +1,9 @@
-"""USPS address classification rules as Columns.
+"""USPS address classification rules.
 
 Flags are strings: '1', '0', or NULL where a rule does not apply. Base flags
-read raw columns; derived flags read base flags; ``govt`` reads the joined
-government marker. Each level is one ``withColumns`` (one Project).
+read raw columns; derived flags read base flags (after a trim); ``govt`` reads
+the joined government marker. The rules are SQL CASE expressions: each level
+is one projection, built with a single ``selectExpr``/``expr`` call.
 """
 
 from __future__ import annotations
@@ -11,16 +12,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from entwise import schemas as S
-from entwise.functions.text import blank_to_empty
-
-
-
-def _one() -> Column:
-    return F.lit("1")
-
-
-def _zero() -> Column:
-    return F.lit("0")
 
 KEY_PARTS_WITH_UNIT = ["std_hse_nb", "std_pre_direction", "std_str_addr", "std_pst_direction",
                        "std_unit_nb", "std_zip5_cd"]
@@ -28,38 +19,44 @@ KEY_PARTS_NO_UNIT = ["std_hse_nb", "std_pre_direction", "std_str_addr", "std_pst
                      "std_zip5_cd"]
 
 
-def address_key(with_unit: bool = True) -> Column:
+def _in(values) -> str:
+    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+def _flag(cond: str) -> str:
+    """'1' when cond is TRUE, otherwise (FALSE or NULL) '0'."""
+    return f"CASE WHEN {cond} THEN '1' ELSE '0' END"
+
+
+def address_key_sql(with_unit: bool = True) -> str:
     """Pipe-separated address key; NULL parts become '' so separators never shift."""
     parts = KEY_PARTS_WITH_UNIT if with_unit else KEY_PARTS_NO_UNIT
-    return F.concat_ws("|", *[blank_to_empty(p) for p in parts])
+    return "concat_ws('|', " + ", ".join(f"coalesce({p}, '')" for p in parts) + ")"
 
 
-def _flag(cond: Column) -> Column:
-    """'1' when cond is TRUE, otherwise (FALSE or NULL) '0'."""
-    return F.when(cond, _one()).otherwise(_zero())
+def address_key(with_unit: bool = True) -> Column:
+    return F.expr(address_key_sql(with_unit))
 
 
-def base_flag_columns() -> dict[str, Column]:
-    ONE, ZERO = _one(), _zero()
-    rc = F.col("std_usps_rc_ty_cd")
-    unit = F.col("std_unit_nb")
-    prbl = F.col("std_ovall_prbl_cor")
-    zip_ok = F.col("std_zip_cd_stat_cd").isin(*S.ZIP_OK_STATUS) & F.col("std_rtn_cd").isNull()
-    is_multi = rc == F.lit(S.MULTI_UNIT_TYPE)
-    is_single = rc == F.lit(S.SINGLE_LOC_TYPE)
+def base_flag_sql() -> dict[str, str]:
+    rc = "std_usps_rc_ty_cd"
+    zip_ok = f"std_zip_cd_stat_cd IN {_in(S.ZIP_OK_STATUS)} AND std_rtn_cd IS NULL"
+    multi, single = f"{rc} = '{S.MULTI_UNIT_TYPE}'", f"{rc} = '{S.SINGLE_LOC_TYPE}'"
     return {
-        "std_addr": _flag(zip_ok & rc.isin(*S.STANDARD_TYPES)),
-        "verified_addr": _flag(zip_ok & rc.isin(*S.VERIFIED_TYPES)),
-        "miss_ste_addr": F.when(is_multi & unit.isNull(), ONE).when(is_multi & unit.isNotNull(), ZERO),
-        "innac_ste_addr": F.when(is_multi & unit.isNotNull() & (prbl != F.lit("0")), ONE)
-                           .when(is_multi & (prbl == F.lit("0")), ZERO),
-        "ste_for_single_loc_addr": F.when(is_single & unit.isNotNull() & (prbl != F.lit("0")), ONE)
-                                    .when(is_single & unit.isNull() & (prbl == F.lit("0")), ZERO),
-        "cmra": _flag(F.col("hyg_cmra_in") == F.lit("Y")),
-        "multiunit_addr": _flag(is_multi),
-        "single_loc_addr": _flag(is_single),
-        "no_dir_strtnm_zip": address_key(with_unit=False),
-        "no_dir_strtnm_ste_zip": address_key(with_unit=True),
+        "std_addr": _flag(f"{zip_ok} AND {rc} IN {_in(S.STANDARD_TYPES)}"),
+        "verified_addr": _flag(f"{zip_ok} AND {rc} IN {_in(S.VERIFIED_TYPES)}"),
+        "miss_ste_addr": f"CASE WHEN {multi} AND std_unit_nb IS NULL THEN '1' "
+                         f"WHEN {multi} AND std_unit_nb IS NOT NULL THEN '0' END",
+        "innac_ste_addr": f"CASE WHEN {multi} AND std_unit_nb IS NOT NULL AND std_ovall_prbl_cor != '0' "
+                          f"THEN '1' WHEN {multi} AND std_ovall_prbl_cor = '0' THEN '0' END",
+        "ste_for_single_loc_addr":
+            f"CASE WHEN {single} AND std_unit_nb IS NOT NULL AND std_ovall_prbl_cor != '0' THEN '1' "
+            f"WHEN {single} AND std_unit_nb IS NULL AND std_ovall_prbl_cor = '0' THEN '0' END",
+        "cmra": _flag("hyg_cmra_in = 'Y'"),
+        "multiunit_addr": _flag(multi),
+        "single_loc_addr": _flag(single),
+        "no_dir_strtnm_zip": address_key_sql(with_unit=False),
+        "no_dir_strtnm_ste_zip": address_key_sql(with_unit=True),
     }
 
 
@@ -68,29 +65,30 @@ TRIMMED_AFTER_BASE = ["verified_addr", "hyg_cmra_in", "hyg_residential_in", "std
                       "miss_ste_addr", "innac_ste_addr", "no_dir_strtnm_ste_zip"]
 
 
-def derived_flag_columns() -> dict[str, Column]:
-    ONE, ZERO = _one(), _zero()
-    verified = F.col("verified_addr") == ONE
-    cmra_in = F.col("hyg_cmra_in")
-    resid = F.col("hyg_residential_in")
-
-    def zero_or_null(c: str) -> Column:
-        return (F.col(c) == ZERO) | F.col(c).isNull()
-
-    suite_flags = ["miss_ste_addr", "innac_ste_addr", "ste_for_single_loc_addr"]
-    complete = verified & zero_or_null(suite_flags[0]) & zero_or_null(suite_flags[1]) \
-        & zero_or_null(suite_flags[2])
-    any_suite_problem = (F.col(suite_flags[0]) == ONE) | (F.col(suite_flags[1]) == ONE) \
-        | (F.col(suite_flags[2]) == ONE)
+def derived_flag_sql() -> dict[str, str]:
+    verified = "verified_addr = '1'"
+    suite = ["miss_ste_addr", "innac_ste_addr", "ste_for_single_loc_addr"]
+    complete = " AND ".join([verified] + [f"({c} = '0' OR {c} IS NULL)" for c in suite])
+    problem = " OR ".join(f"{c} = '1'" for c in suite)
     return {
-        "rsdl": _flag(verified & ((cmra_in == F.lit("N")) | cmra_in.isNull()) & (resid == F.lit("Y"))),
-        "comml": _flag(verified & ((resid == F.lit("N")) | resid.isNull())),
-        "non_phys": _flag((F.col("std_addr") == ONE) & (F.col("verified_addr") == ZERO)),
-        "comp_addr": F.when(complete, ONE).otherwise(F.when(verified & any_suite_problem, ZERO)),
+        "rsdl": _flag(f"{verified} AND (hyg_cmra_in = 'N' OR hyg_cmra_in IS NULL) "
+                      "AND hyg_residential_in = 'Y'"),
+        "comml": _flag(f"{verified} AND (hyg_residential_in = 'N' OR hyg_residential_in IS NULL)"),
+        "non_phys": _flag("std_addr = '1' AND verified_addr = '0'"),
+        "comp_addr": f"CASE WHEN {complete} THEN '1' WHEN {verified} AND ({problem}) THEN '0' END",
     }
 
 
+GOVT_SQL = _flag("verified_addr = '1' AND govt_flag = '1' AND comml = '1'")
+
+
+def base_flag_columns() -> dict[str, Column]:
+    return {k: F.expr(v) for k, v in base_flag_sql().items()}
+
+
+def derived_flag_columns() -> dict[str, Column]:
+    return {k: F.expr(v) for k, v in derived_flag_sql().items()}
+
+
 def govt_column() -> Column:
-    one = _one()
-    return _flag((F.col("verified_addr") == one) & (F.col("govt_flag") == one)
-                 & (F.col("comml") == one))
+    return F.expr(GOVT_SQL)

@@ -13,18 +13,16 @@ def _c(c: str | Column) -> Column:
 
 
 def code_map(c: str | Column, mapping: Mapping[str, str], default: str | None) -> Column:
-    """Multi-way CASE: ``mapping[c]`` when listed, else ``default`` (NULL input -> default).
+    """``mapping[c]`` when listed, else ``default`` (NULL input -> default).
 
-    Written as a ``CASE WHEN`` chain on literals; Catalyst folds it into one
-    expression evaluated in generated code.
+    A lookup in a literal map rather than a CASE chain: the input expression
+    appears once, so plans stay small when it is itself a long expression and
+    is inlined into filters, joins and aggregates.
     """
-    col = _c(c)
-    out = None
-    for k, v in mapping.items():
-        out = F.when(col == F.lit(k), F.lit(v)) if out is None else out.when(col == F.lit(k), F.lit(v))
-    if out is None:
+    if not mapping:
         return F.lit(default)
-    return out.otherwise(F.lit(default))
+    lookup = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
+    return F.coalesce(F.try_element_at(lookup, _c(c)), F.lit(default))
 
 
 def replace_values(c: str | Column, mapping: Mapping[str, str]) -> Column:

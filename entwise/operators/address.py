@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entwise import schemas as S
-from entwise.functions.address import (TRIMMED_AFTER_BASE, address_key, base_flag_columns,
-                                       derived_flag_columns, govt_column)
+from entwise.functions.address import (GOVT_SQL, TRIMMED_AFTER_BASE, address_key_sql,
+                                       base_flag_sql, derived_flag_sql)
 from entwise.operators.skew import DEFAULT_HOT_ROWS, salted_join
 
 GOVT_KEY = "no_dir_strtnm_ste_zip"
@@ -50,20 +50,21 @@ def government_keys(address: DataFrame, location_addresses: DataFrame, naics_sou
     lvids = govt_lvids.join(active_lvids, "lvid", "left_semi")
     ains = location_addresses.join(lvids, "lvid", "left_semi").select("ain").distinct()
     keys = (address.join(ains, "ain", "left_semi")
-            .select(F.trim(address_key(with_unit=True)).alias(GOVT_KEY))
+            .selectExpr(f"trim({address_key_sql(with_unit=True)}) AS {GOVT_KEY}")
             .distinct())
     return keys.withColumn("govt", F.lit("1"))
 
 
 def base_flags(address: DataFrame) -> DataFrame:
-    """Raw address columns plus the base flags and keys."""
-    return address.withColumns(base_flag_columns())
+    """Raw address columns plus the base flags and keys (one projection)."""
+    return address.selectExpr("*", *[f"{e} AS {n}" for n, e in base_flag_sql().items()])
 
 
 def derived_flags(address_with_base: DataFrame) -> DataFrame:
     """Trims then residential / commercial / non-physical / complete flags."""
-    trimmed = address_with_base.withColumns({c: F.trim(F.col(c)) for c in TRIMMED_AFTER_BASE})
-    return trimmed.withColumns(derived_flag_columns())
+    trimmed = address_with_base.selectExpr(
+        *[f"trim({c}) AS {c}" if c in TRIMMED_AFTER_BASE else c for c in address_with_base.columns])
+    return trimmed.selectExpr("*", *[f"{e} AS {n}" for n, e in derived_flag_sql().items()])
 
 
 def classify(address: DataFrame, govt_keys: DataFrame,
@@ -80,4 +81,4 @@ def classify(address: DataFrame, govt_keys: DataFrame,
                                F.trim(F.col("govt")).alias("govt_flag"))
               .groupBy(GOVT_KEY).agg(F.max("govt_flag").alias("govt_flag")))
     joined = salted_join(flagged, marker, [GOVT_KEY], "left", hot_rows)
-    return joined.withColumn("govt", govt_column()).select(*S.ADDRESS_LAYOUT)
+    return joined.selectExpr(*[f"{GOVT_SQL} AS govt" if c == "govt" else c for c in S.ADDRESS_LAYOUT])

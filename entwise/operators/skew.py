@@ -43,7 +43,7 @@ def _any_null(keys: list[str]) -> Column:
 def _row_hash(cols: list[str]) -> Column:
     # The partition id spreads exact copies of a row that sit in different
     # input partitions; it is stable when a task is re-run.
-    return F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in cols])
+    return F.expr("xxhash64(spark_partition_id(), " + ", ".join(f"`{c}`" for c in cols) + ")")
 
 
 def _salts(rows: Column, hot_rows: int) -> Column:
@@ -72,13 +72,12 @@ def _split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str,
     # the shuffle would again partition on the keys alone. It reads all right
     # columns, so filters inferred on it stay above an aggregate that built
     # ``right`` and the aggregate's shuffle can be reused by the hot branch.
-    zero = F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.lit(1)).cast("int")
+    zero = F.expr("CAST(pmod(xxhash64(" + ", ".join(f"`{c}`" for c in right.columns) + "), 1) AS INT)")
     r = right.withColumn(_SALT, zero).withColumnRenamed(match, _MATCH)
     joined = marked.join(r, keys + [_SALT], "left")
-    is_hot = F.col(_SALTS).isNotNull()
-    out = joined.select(*left_cols,
-                        *[F.when(is_hot, F.col(_HOT + v)).otherwise(F.col(v)).alias(v) for v in vals],
-                        F.when(is_hot, F.col(_HOT + _MATCH)).otherwise(F.col(_MATCH)).alias(_MATCH))
+    pick = "CASE WHEN {s} IS NOT NULL THEN `{h}` ELSE `{c}` END AS `{c}`"
+    out = joined.selectExpr(*[f"`{c}`" for c in left_cols],
+                            *[pick.format(s=_SALTS, h=_HOT + v, c=v) for v in vals + [_MATCH]])
     if how == "inner":
         out = out.filter(F.col(_MATCH).isNotNull())
     return out.drop(_MATCH)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entwise import schemas as S
+from entwise.functions.text import code_map
 
 # Fixture recipe values (our own, not from the source jobs).
 EVENT_COLUMN_CODES = {
@@ -39,44 +40,57 @@ PROVINCES = ["San Jose", "Alajuela", "Heredia", "Cartago", "Guanacaste", "Puntar
 GENDERS = ["M", "F", "Other", None]
 
 
+_READS: dict[tuple[str, str], DataFrame] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str, cols: Sequence[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Parquet table, read once per session (re-reading would repeat the
+    footer/schema job for every adapter that uses the table)."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    df = _READS[key]
     return df.select(*cols) if cols else df
 
 
-def _pick(index: Column, values: Sequence[str | None]) -> Column:
-    """values[index] as a CASE chain (NULL entries give NULL)."""
-    out = None
-    for i, v in enumerate(values):
-        lit = F.lit(v).cast("string")
-        out = F.when(index == F.lit(i), lit) if out is None else out.when(index == F.lit(i), lit)
-    return out
+def _lit(v: str | None) -> str:
+    return "NULL" if v is None else "'" + v.replace("'", "''") + "'"
+
 
+def _pick(index_sql: str, values: Sequence[str | None]) -> str:
+    """SQL: values[index] as a CASE (NULL entries give NULL)."""
+    whens = " ".join(f"WHEN {i} THEN {_lit(v)}" for i, v in enumerate(values))
+    return f"CAST(CASE {index_sql} {whens} END AS STRING)"
 
-def _s(c: str | Column) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("string")
 
+def _map_sql(col: str, mapping: dict) -> str:
+    whens = " ".join(f"WHEN {_lit(k)} THEN {_lit(v)}" for k, v in mapping.items())
+    return f"CASE {col} {whens} END"
 
-def _mmddyyyy(c: Column) -> Column:
-    return F.date_format(c, "MM/dd/yyyy")
+
+REPORT_SQL = [
+    "CAST(l_orderkey AS STRING) AS lvid",
+    "CAST(l_suppkey AS INT) AS supplier_nb",
+    "date_format(date_sub(CAST(l_shipdate AS DATE), 30), 'MM/dd/yyyy') AS dt_first_rpted",
+    "date_format(l_shipdate, 'MM/dd/yyyy') AS dt_last_rpted",
+]
 
 
 # --- change log -------------------------------------------------------------
 
 def raw_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = load(spark, sf_dir, "events", ["ts", "user_id", "event_type", "value", "props"])
-    user_mod = F.col("user_id") % 10
-    return ev.select(
-        _s("user_id").alias("pbin"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("trn_ts"),
-        F.upper("event_type").alias("table_nm"),
-        F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in EVENT_COLUMN_CODES.items()])
-        .alias("column_nm"),
-        _s(F.floor("value")).alias("after_value"),
-        F.get_json_object("props", "$.k").alias("before_value"),
-        F.when(user_mod == 9, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("U"), _s(user_mod))).alias("sbu_user_id"),
-        (F.col("user_id") % 100).cast("int").alias("sbu_supplier_nb"),
+    return ev.selectExpr(
+        "CAST(user_id AS STRING) AS pbin",
+        "date_format(ts, 'yyyy-MM-dd HH:mm:ss') AS trn_ts",
+        "upper(event_type) AS table_nm",
+        f"{_map_sql('event_type', EVENT_COLUMN_CODES)} AS column_nm",
+        "CAST(floor(value) AS STRING) AS after_value",
+        "get_json_object(props, '$.k') AS before_value",
+        "CASE WHEN user_id % 10 = 9 THEN NULL ELSE concat('U', CAST(user_id % 10 AS STRING)) END "
+        "AS sbu_user_id",
+        "CAST(user_id % 100 AS INT) AS sbu_supplier_nb",
     )
 
 
@@ -95,73 +109,66 @@ def entity_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = (load(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus"])
          .filter(F.col("o_orderstatus") == "F"))
     j = c.join(o, c.c_custkey == o.o_custkey, "left")
-    return j.select(
-        _s("c_custkey").alias("pbin"),
-        _s(F.col("c_custkey") * 10).alias("child_pbin"),
-        _s("o_orderkey").alias("lvid"),
-        F.col("c_mktsegment").alias("std_usps_nprf_str"),
-        F.concat(F.lit("CITY"), _s("c_nationkey")).alias("std_city_nm"),
-        F.lpad(_s("c_nationkey"), 2, "0").alias("std_state_cd"),
-        F.lpad(_s("c_nationkey"), 5, "0").alias("std_zip5_cd"),
-        _s("c_custkey").alias("ain"),
-        F.upper("c_name").alias("name_norm_long"),
-        F.col("c_name").alias("ol_lgl_nm_long"),
+    return j.selectExpr(
+        "CAST(c_custkey AS STRING) AS pbin",
+        "CAST(c_custkey * 10 AS STRING) AS child_pbin",
+        "CAST(o_orderkey AS STRING) AS lvid",
+        "c_mktsegment AS std_usps_nprf_str",
+        "concat('CITY', CAST(c_nationkey AS STRING)) AS std_city_nm",
+        "lpad(CAST(c_nationkey AS STRING), 2, '0') AS std_state_cd",
+        "lpad(CAST(c_nationkey AS STRING), 5, '0') AS std_zip5_cd",
+        "CAST(c_custkey AS STRING) AS ain",
+        "upper(c_name) AS name_norm_long",
+        "c_name AS ol_lgl_nm_long",
     )
 
 
-def _lineitem_report(spark: SparkSession, sf_dir: str, extra: Sequence[str]) -> DataFrame:
-    return load(spark, sf_dir, "lineitem",
-                ["l_orderkey", "l_suppkey", "l_shipdate", *extra])
-
-
-def _report_cols() -> list[Column]:
-    return [
-        _s("l_orderkey").alias("lvid"),
-        F.col("l_suppkey").cast("int").alias("supplier_nb"),
-        _mmddyyyy(F.date_sub(F.col("l_shipdate").cast("date"), 30)).alias("dt_first_rpted"),
-        _mmddyyyy(F.col("l_shipdate")).alias("dt_last_rpted"),
-    ]
+def _lineitem_report(spark: SparkSession, sf_dir: str, extra: Sequence[str],
+                     shipped_before: str | None = None) -> DataFrame:
+    li = load(spark, sf_dir, "lineitem", ["l_orderkey", "l_suppkey", "l_shipdate", *extra])
+    if shipped_before:
+        # on the raw column, so the scan takes it as a pushed filter
+        li = li.filter(F.col("l_shipdate") < F.lit(shipped_before).cast("timestamp_ntz"))
+    return li
 
 
-def sic_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _lineitem_report(spark, sf_dir, ["l_partkey", "l_returnflag"])
-    part4 = F.lpad(_s(F.col("l_partkey") % 10000), 4, "0")
-    return li.select(
-        *_report_cols(),
-        F.col("l_returnflag").alias("sic_ty_cd"),
-        part4.alias("sic_cd"),
-        F.concat(F.when(F.col("l_partkey") % 5 == 0, F.lit("92")).otherwise(F.lit("44")), part4)
-        .alias("naics_std_cd"),
+def sic_source(spark: SparkSession, sf_dir: str, shipped_before: str | None = None) -> DataFrame:
+    li = _lineitem_report(spark, sf_dir, ["l_partkey", "l_returnflag"], shipped_before)
+    part4 = "lpad(CAST(l_partkey % 10000 AS STRING), 4, '0')"
+    return li.selectExpr(
+        *REPORT_SQL,
+        "l_returnflag AS sic_ty_cd",
+        f"{part4} AS sic_cd",
+        f"concat(CASE WHEN l_partkey % 5 = 0 THEN '92' ELSE '44' END, {part4}) AS naics_std_cd",
     )
 
 
-def phone_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _lineitem_report(spark, sf_dir, ["l_partkey", "l_linenumber"])
-    return li.select(
-        *_report_cols(),
-        _s(F.col("l_linenumber") + 200).alias("ph_area_cd"),
-        F.lpad(_s(F.col("l_partkey") % 1000), 3, "0").alias("ph_nb_pfx"),
+def phone_source(spark: SparkSession, sf_dir: str, shipped_before: str | None = None) -> DataFrame:
+    li = _lineitem_report(spark, sf_dir, ["l_partkey", "l_linenumber"], shipped_before)
+    return li.selectExpr(
+        *REPORT_SQL,
+        "CAST(l_linenumber + 200 AS STRING) AS ph_area_cd",
+        "lpad(CAST(l_partkey % 1000 AS STRING), 3, '0') AS ph_nb_pfx",
     )
 
 
-def size_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+def size_source(spark: SparkSession, sf_dir: str, shipped_before: str | None = None) -> DataFrame:
     li = _lineitem_report(spark, sf_dir, ["l_quantity", "l_extendedprice", "l_returnflag",
-                                          "l_linestatus"])
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    return li.select(
-        *_report_cols(),
-        F.concat(_s(F.floor(cents / 100)), F.lit("."), F.lpad(_s(cents % 100), 2, "0"))
-        .alias("act_sls_sz"),
-        F.col("l_linestatus").alias("emp_sls_sz_ty_cd"),
-        _s(F.floor("l_quantity")).alias("act_emp_sz"),
-        F.col("l_returnflag").alias("sls_sz_cd"),
+                                          "l_linestatus"], shipped_before)
+    cents = "CAST(round(l_extendedprice * 100) AS BIGINT)"
+    return li.selectExpr(
+        *REPORT_SQL,
+        f"concat(CAST({cents} div 100 AS STRING), '.', lpad(CAST({cents} % 100 AS STRING), 2, '0')) "
+        "AS act_sls_sz",
+        "l_linestatus AS emp_sls_sz_ty_cd",
+        "CAST(floor(l_quantity) AS STRING) AS act_emp_sz",
+        "l_returnflag AS sls_sz_cd",
     )
 
 
 def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = load(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
-    return s.select(F.col("s_suppkey").cast("int").alias("supplier_nb"),
-                    F.col("s_name").alias("supplier_nm"))
+    return s.selectExpr("CAST(s_suppkey AS INT) AS supplier_nb", "s_name AS supplier_nm")
 
 
 def loaded_supplement(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,9 +179,7 @@ def loaded_supplement(spark: SparkSession, sf_dir: str) -> DataFrame:
              (size_source, [sup.SLS_SIZE, sup.EMP_SIZE])]
     out = None
     for fn, specs in parts:
-        src = fn(spark, sf_dir).filter(
-            F.to_date("dt_last_rpted", "MM/dd/yyyy") < F.lit(LOADED_BEFORE_SHIPDATE).cast("date"))
-        long = sup.unpivot_elements(src, specs)
+        long = sup.unpivot_elements(fn(spark, sf_dir, shipped_before=LOADED_BEFORE_SHIPDATE), specs)
         out = long if out is None else out.unionByName(long)
     return out
 
@@ -183,50 +188,48 @@ def loaded_supplement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def address(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = load(spark, sf_dir, "customer", ["c_custkey", "c_nationkey", "c_mktsegment"])
-    k = F.col("c_custkey")
-    nation = _s("c_nationkey")
-    has_unit = k % 3 != 0
+    nation = "CAST(c_nationkey AS STRING)"
+    has_unit = "c_custkey % 3 <> 0"
     derived = {
-        "ain": _s(k),
-        "std_addr_hsh_nb": _s(k * 7919),
-        "std_hse_nb": _s(k),
-        "std_str_addr": F.col("c_mktsegment"),
-        "std_str_sfx": F.lit("ST"),
-        "std_pre_direction": F.when(k % 4 == 1, F.lit("N")),
-        "std_pst_direction": F.when(k % 6 == 2, F.lit("SW")),
-        "std_zip4_cd": F.lpad(_s(k % 10000), 4, "0"),
-        "std_zip5_cd": F.lpad(nation, 5, "0"),
-        "std_unit_ty_cd": F.when(has_unit, F.lit("STE")),
-        "std_unit_nb": F.when(has_unit, _s(k % 50)),
-        "std_state_cd": F.lpad(nation, 2, "0"),
-        "std_city_nm": F.concat(F.lit("CITY"), nation),
-        "std_rtn_cd": F.when(k % 11 == 0, F.lit("R")),
-        "std_usps_rc_ty_cd": _pick(k % 7, RC_TYPES),
-        "std_zip_cd_stat_cd": _pick(k % 4, ZIP_STATUS),
-        "std_ovall_prbl_cor": _pick(k % 5, PROBLEM_CODES),
-        "std_usps_nprf_city": F.concat(F.lit("CITY"), nation),
-        "std_usps_nprf_str": F.col("c_mktsegment"),
-        "hyg_cmra_in": _pick(F.floor(k / 3) % 4, CMRA),
-        "hyg_residential_in": _pick(F.floor(k / 9) % 3, RESIDENTIAL),
+        "ain": "CAST(c_custkey AS STRING)",
+        "std_addr_hsh_nb": "CAST(c_custkey * 7919 AS STRING)",
+        "std_hse_nb": "CAST(c_custkey AS STRING)",
+        "std_str_addr": "c_mktsegment",
+        "std_str_sfx": "'ST'",
+        "std_pre_direction": "CASE WHEN c_custkey % 4 = 1 THEN 'N' END",
+        "std_pst_direction": "CASE WHEN c_custkey % 6 = 2 THEN 'SW' END",
+        "std_zip4_cd": "lpad(CAST(c_custkey % 10000 AS STRING), 4, '0')",
+        "std_zip5_cd": f"lpad({nation}, 5, '0')",
+        "std_unit_ty_cd": f"CASE WHEN {has_unit} THEN 'STE' END",
+        "std_unit_nb": f"CASE WHEN {has_unit} THEN CAST(c_custkey % 50 AS STRING) END",
+        "std_state_cd": f"lpad({nation}, 2, '0')",
+        "std_city_nm": f"concat('CITY', {nation})",
+        "std_rtn_cd": "CASE WHEN c_custkey % 11 = 0 THEN 'R' END",
+        "std_usps_rc_ty_cd": _pick("c_custkey % 7", RC_TYPES),
+        "std_zip_cd_stat_cd": _pick("c_custkey % 4", ZIP_STATUS),
+        "std_ovall_prbl_cor": _pick("c_custkey % 5", PROBLEM_CODES),
+        "std_usps_nprf_city": f"concat('CITY', {nation})",
+        "std_usps_nprf_str": "c_mktsegment",
+        "hyg_cmra_in": _pick("(c_custkey div 3) % 4", CMRA),
+        "hyg_residential_in": _pick("(c_custkey div 9) % 3", RESIDENTIAL),
     }
-    cols = [(derived[n] if n in derived else F.lit(None)).cast("string").alias(n)
-            for n in S.ADDRESS_INPUT_COLUMNS]
-    return c.select(*cols)
+    return c.selectExpr(*[f"CAST({derived.get(n, 'NULL')} AS STRING) AS {n}"
+                          for n in S.ADDRESS_INPUT_COLUMNS])
 
 
 def location_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = load(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
-    return o.select(_s("o_custkey").alias("ain"), _s("o_orderkey").alias("lvid"))
+    return o.selectExpr("CAST(o_custkey AS STRING) AS ain", "CAST(o_orderkey AS STRING) AS lvid")
 
 
 def entity_location_assoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = load(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
-    return o.select(_s("o_orderkey").alias("lvid"), _s("o_custkey").alias("pbin"))
+    return o.selectExpr("CAST(o_orderkey AS STRING) AS lvid", "CAST(o_custkey AS STRING) AS pbin")
 
 
 def operating_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = load(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"])
-    return c.select(_s("c_custkey").alias("pbin"), F.col("c_mktsegment").alias("ol_activity_ind"))
+    return c.selectExpr("CAST(c_custkey AS STRING) AS pbin", "c_mktsegment AS ol_activity_ind")
 
 
 # --- dashboard extracts --------------------------------------------------------
@@ -234,9 +237,8 @@ def operating_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mapped change rows with the event id as transaction id; strChange is a
     test stand-in: 1 for structural attributes, else 0."""
-    from entwise.functions.text import code_map
     ev = load(spark, sf_dir, "events", ["event_id", "user_id", "event_type"])
-    code = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in EVENT_COLUMN_CODES.items()])
+    code = code_map("event_type", EVENT_COLUMN_CODES, None)
     name = code_map(F.trim(code), S.CHANGE_CODE_MAP, S.UNMAPPED_CODE)
     return (ev.select(F.col("event_id").alias("transactionID"), name.alias("COLUMN_NM"),
                       (F.col("user_id") % 100).alias("SUPPLIER_NB"))
@@ -260,12 +262,12 @@ def analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           "l_tax"])
     s = load(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
     j = li.join(s, li.l_suppkey == s.s_suppkey, "inner")
-    return j.select(
-        F.col("l_orderkey").alias("PBIN"),
-        F.col("s_name").alias("SUPPLIER_NM"),
-        _pick(F.col("l_linenumber") - 1, ANALYSIS_ELEMENTS).alias("COLUMN_NM"),
-        F.col("l_discount").alias("pRatio"),
-        F.col("l_tax").alias("tsoRatio"),
+    return j.selectExpr(
+        "l_orderkey AS PBIN",
+        "s_name AS SUPPLIER_NM",
+        f"{_pick('l_linenumber - 1', ANALYSIS_ELEMENTS)} AS COLUMN_NM",
+        "l_discount AS pRatio",
+        "l_tax AS tsoRatio",
     )
 
 
@@ -274,16 +276,14 @@ def survey_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     options and some genders are missing."""
     c = load(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal",
                                          "c_mktsegment"])
-    k = F.col("c_custkey")
     answers = [
-        ("name", F.col("c_name")),
-        ("food", F.lower("c_mktsegment")),
-        ("hobbie", F.when(k % 7 == 3, F.lit(" ")).otherwise(F.lit("reading"))),
-        ("age", _s(F.floor(F.abs(F.col("c_acctbal")) / 100))),
-        ("province", _pick(F.col("c_nationkey") % 8, PROVINCES)),
-        ("gender", _pick(k % 4, GENDERS)),
+        ("name", "c_name"),
+        ("food", "lower(c_mktsegment)"),
+        ("hobbie", "CASE WHEN c_custkey % 7 = 3 THEN ' ' ELSE 'reading' END"),
+        ("age", "CAST(floor(abs(c_acctbal) / 100) AS STRING)"),
+        ("province", _pick("c_nationkey % 8", PROVINCES)),
+        ("gender", _pick("c_custkey % 4", GENDERS)),
     ]
-    entries = [F.struct(F.lit(i).alias("input_id"), v.cast("string").alias("answer"))
-               for i, v in answers]
-    return (c.select(k.alias("respondent_id"), F.explode(F.array(*entries)).alias("a"))
-            .select("respondent_id", "a.input_id", "a.answer"))
+    stack = ", ".join(f"'{i}', CAST({v} AS STRING)" for i, v in answers)
+    return c.selectExpr("c_custkey AS respondent_id",
+                        f"stack({len(answers)}, {stack}) AS (input_id, answer)")
