@@ -31,12 +31,15 @@ class ElementSpec:
     ty_cd_col: str | None = None     # None -> typed NULL type code
     clean: str | None = None         # "leading_digits" for size values like '1200.50'
 
-    def value(self) -> Column:
-        v = F.col(self.value_col)
-        return leading_digits(v) if self.clean == "leading_digits" else v
+    def value_sql(self) -> str:
+        v = f"`{self.value_col}`"
+        return f"regexp_extract({v}, '^[0-9]*', 0)" if self.clean == "leading_digits" else v
+
+    def ty_cd_sql(self) -> str:
+        return f"`{self.ty_cd_col}`" if self.ty_cd_col else "CAST(NULL AS STRING)"
 
-    def ty_cd(self) -> Column:
-        return F.col(self.ty_cd_col) if self.ty_cd_col else F.lit(None).cast("string")
+    def value(self) -> Column:
+        return leading_digits(self.value_col) if self.clean == "leading_digits" else F.col(self.value_col)
 
 
 SIC = ElementSpec(S.ELEMENT_SIC, "sic_cd", "sic_ty_cd")
@@ -49,14 +52,13 @@ EMP_SIZE = ElementSpec(S.ELEMENT_EMP_SIZE, "act_emp_sz", "emp_sls_sz_ty_cd")
 def unpivot_elements(source: DataFrame, specs: Sequence[ElementSpec]) -> DataFrame:
     """One pass over ``source``: each row becomes one row per spec with
     (lvid, supplier_nb, dt_first_rpted, dt_last_rpted, element, value, ty_cd)."""
-    entries = [F.struct(F.lit(s.element).alias("element"), s.value().alias("value"),
-                        s.ty_cd().alias("ty_cd")) for s in specs]
-    cols = [F.col(k) for k in SOURCE_KEYS]
-    if len(entries) == 1:
-        return source.select(*cols, *[entries[0].getField(f).alias(f)
-                                      for f in ("element", "value", "ty_cd")])
-    return (source.select(*cols, F.explode(F.array(*entries)).alias("_e"))
-            .select(*cols, "_e.element", "_e.value", "_e.ty_cd"))
+    if len(specs) == 1:
+        s = specs[0]
+        return source.selectExpr(*SOURCE_KEYS, f"'{s.element}' AS element",
+                                 f"CAST({s.value_sql()} AS STRING) AS value",
+                                 f"{s.ty_cd_sql()} AS ty_cd")
+    rows = ", ".join(f"'{s.element}', CAST({s.value_sql()} AS STRING), {s.ty_cd_sql()}" for s in specs)
+    return source.selectExpr(*SOURCE_KEYS, f"stack({len(specs)}, {rows}) AS (element, value, ty_cd)")
 
 
 def entity_locations_of(changes: DataFrame, entity_locations: DataFrame) -> DataFrame:

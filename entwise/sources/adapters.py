@@ -175,8 +175,10 @@ def loaded_supplement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplement keys an earlier load stored: every element reported before
     LOADED_BEFORE_SHIPDATE. Only the anti-join keys matter."""
     from entwise.operators import supplement as sup
-    parts = [(sic_source, [sup.SIC]), (phone_source, [sup.PHONE_AREA, sup.PHONE_PFX]),
-             (size_source, [sup.SLS_SIZE, sup.EMP_SIZE])]
+    # one branch per element, each with a literal element name, so a filter on
+    # ``element`` drops whole branches (as it would prune a partitioned table)
+    parts = [(sic_source, [sup.SIC]), (phone_source, [sup.PHONE_AREA]), (phone_source, [sup.PHONE_PFX]),
+             (size_source, [sup.SLS_SIZE]), (size_source, [sup.EMP_SIZE])]
     out = None
     for fn, specs in parts:
         long = sup.unpivot_elements(fn(spark, sf_dir, shipped_before=LOADED_BEFORE_SHIPDATE), specs)
