@@ -46,7 +46,9 @@ def government_keys(address: DataFrame, location_addresses: DataFrame, naics_sou
     active = (operating_locations
               .filter(F.substring("ol_activity_ind", 1, 1).isin(*activity))
               .select("pbin").distinct())
-    active_lvids = entity_location_assoc.join(active, "pbin", "left_semi").select("lvid").distinct()
+    # an entity with very many locations is a hot pbin: salted semi-join
+    active_lvids = salted_join(entity_location_assoc.select("lvid", "pbin"), active, ["pbin"],
+                               "left_semi").select("lvid").distinct()
     lvids = govt_lvids.join(active_lvids, "lvid", "left_semi")
     ains = location_addresses.join(lvids, "lvid", "left_semi").select("ain").distinct()
     keys = (address.join(ains, "ain", "left_semi")

@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from entwise.operators.skew import DEFAULT_HOT_ROWS, salted_join
 
-def not_yet_loaded(new: DataFrame, loaded: DataFrame, keys: list[str]) -> DataFrame:
+
+def not_yet_loaded(new: DataFrame, loaded: DataFrame, keys: list[str],
+                   hot_rows: int = DEFAULT_HOT_ROWS, key_rows: DataFrame | None = None) -> DataFrame:
     """Rows of ``new`` with no row of ``loaded`` on ``keys`` (a left-anti join).
 
     Rows with a NULL key part never match and are kept, like the
     ``LEFT JOIN ... WHERE t.k IS NULL`` form. The target side is reduced to its
-    distinct keys first: duplicates cost shuffle volume but cannot change the
-    answer, and the partial aggregate removes them before the shuffle. If the
-    key set turns out small at run time, AQE broadcasts it instead.
+    distinct keys first (map-side), so duplicates in the target cost nothing.
+    Many copies of one report in ``new`` make a hot key on the probe side; the
+    salted join spreads such keys over several tasks (see ``operators.skew``).
+    If the target key set is small at run time, AQE broadcasts it instead.
+    ``key_rows`` may give per-key counts from a cheaper input (see
+    ``skew.salted_join``).
     """
     target_keys = loaded.select(*keys).dropDuplicates()
-    return new.join(target_keys, keys, "left_anti")
+    return salted_join(new, target_keys, keys, "left_anti", hot_rows, key_rows)

@@ -78,19 +78,35 @@ def _split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str,
     pick = "CASE WHEN {s} IS NOT NULL THEN `{h}` ELSE `{c}` END AS `{c}`"
     out = joined.selectExpr(*[f"`{c}`" for c in left_cols],
                             *[pick.format(s=_SALTS, h=_HOT + v, c=v) for v in vals + [_MATCH]])
-    if how == "inner":
+    if how in ("inner", "left_semi"):
         out = out.filter(F.col(_MATCH).isNotNull())
+    elif how == "left_anti":
+        out = out.filter(F.col(_MATCH).isNull())
+    if how in ("left_semi", "left_anti"):
+        return out.select(*[F.col(f"`{c}`") for c in left_cols])
     return out.drop(_MATCH)
 
 
+def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, _ew_rows): rows per key, combined map-side."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS))
+
+
 def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
-                hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                hot_rows: int = DEFAULT_HOT_ROWS, key_rows: DataFrame | None = None) -> DataFrame:
     """``left.join(right, keys, how)`` for a right side unique on ``keys``;
-    ``how`` is "inner" or "left". Costs one extra partial aggregate over the
-    left keys to find the hot ones."""
-    if how not in ("inner", "left"):
-        raise ValueError("salted_join supports inner and left joins")
-    key_rows = left.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS))
+    ``how`` is "inner", "left", "left_semi" or "left_anti" (for the last two
+    ``right`` is a key set).
+
+    Hot keys are found from ``key_rows`` (see ``key_counts``), by default
+    computed from ``left`` with one extra partial aggregate. When ``left`` is
+    expensive to recompute, pass counts taken from a cheaper input that holds
+    the same keys; the counts only steer where rows go, never the result.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError("salted_join supports inner, left, left_semi and left_anti joins")
+    if key_rows is None:
+        key_rows = key_counts(left, keys)
     hot_keys = (key_rows.filter((F.col(_ROWS) >= F.lit(hot_rows)) & ~_any_null(keys))
                 .select(*keys, _salts(F.col(_ROWS), hot_rows).alias(_SALTS)))
     # right rows of the hot keys: a map-side filter of ``right`` (<= #hot rows)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from entwise import schemas as S
 from entwise.functions.text import leading_digits
 from entwise.operators.incremental import not_yet_loaded
+from entwise.operators.skew import key_counts, salted_join
 
 SOURCE_KEYS = ["lvid", "supplier_nb", "dt_first_rpted", "dt_last_rpted"]
 # Anti-join keys against the loaded supplement. ``element`` is part of the key
@@ -66,11 +67,12 @@ def entity_locations_of(changes: DataFrame, entity_locations: DataFrame) -> Data
 
     A semi-join: keeps each location row once, whatever the number of change
     rows per entity; entities without a location drop out (they would not
-    survive the join on ``lvid`` anyway).
+    survive the join on ``lvid`` anyway). An entity with very many locations
+    is a hot key, so the semi-join is salted.
     """
     changed = changes.select("pbin").distinct()
-    return (entity_locations.join(changed, "pbin", "left_semi")
-            .select("pbin", F.col("child_pbin").alias("bin"), "lvid"))
+    locs = entity_locations.select("pbin", F.col("child_pbin").alias("bin"), "lvid")
+    return salted_join(locs, changed, ["pbin"], "left_semi")
 
 
 def build(changes: DataFrame, entity_locations: DataFrame, suppliers: DataFrame,
@@ -93,7 +95,9 @@ def build(changes: DataFrame, entity_locations: DataFrame, suppliers: DataFrame,
         # only the elements being built can match; with a target partitioned
         # by element this prunes partitions, and it shrinks the anti-join shuffle
         elements = sorted({s.element for _, specs in sources for s in specs})
+        # hot load keys are counted on the source rows before the location
+        # join (scans + map-side counts), so that join is not run twice
         located = not_yet_loaded(located, loaded.filter(F.col("element").isin(*elements)),
-                                 LOAD_KEYS)
+                                 LOAD_KEYS, key_rows=key_counts(long, LOAD_KEYS))
     named = located.join(suppliers.select("supplier_nb", "supplier_nm"), "supplier_nb", "left")
     return named.select(*S.SUPPLEMENT_LAYOUT)

@@ -74,3 +74,14 @@ def test_salt_reaches_the_shuffle_partitioning(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_salted_semi_and_anti_joins(spark):
+    left = skewed(spark)
+    keyset = spark.createDataFrame([("hot",), ("k1",), ("k2",), ("zz",)], "k string")
+    for how in ("left_semi", "left_anti"):
+        plain = left.join(keyset, "k", how)
+        for hot in (5_000_000, 100):
+            salted = salted_join(left, keyset, ["k"], how, hot_rows=hot)
+            assert salted.columns == left.columns
+            assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
