@@ -85,3 +85,21 @@ def test_salted_semi_and_anti_joins(spark):
             salted = salted_join(left, keyset, ["k"], how, hot_rows=hot)
             assert salted.columns == left.columns
             assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+
+
+def test_hot_key_rows_leave_from_several_reducers(spark):
+    left = skewed(spark, 6000)
+    right = spark.createDataFrame([("hot", "H")] + [(f"k{i}", f"K{i}") for i in range(50)],
+                                  "k string, r string")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        def reducers(df):
+            return (df.filter("k = 'hot'").select(F.spark_partition_id().alias("p"))
+                    .distinct().count())
+        assert reducers(left.join(right, "k", "inner")) == 1
+        assert reducers(salted_join(left, right, ["k"], "inner", hot_rows=200)) >= 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
