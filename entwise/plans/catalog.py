@@ -23,15 +23,15 @@ def _normalized(spark, d):
     return chg.normalize(A.raw_changes(spark, d), A.EXCLUDED_USERS)
 
 
-def _supplement(spark, d, sources):
+def _supplement(spark, d, parts):
+    """``parts``: (source adapter, specs). The loaded target holds the same elements."""
+    sources = [(fn(spark, d), specs) for fn, specs in parts]
     return sup.build(_normalized(spark, d), A.entity_locations(spark, d), A.suppliers(spark, d),
-                     sources, loaded=A.loaded_supplement(spark, d))
+                     sources, loaded=A.loaded_supplement(spark, d, parts))
 
 
-def _all_sources(spark, d):
-    return [(A.sic_source(spark, d), [sup.SIC]),
-            (A.phone_source(spark, d), [sup.PHONE_AREA, sup.PHONE_PFX]),
-            (A.size_source(spark, d), [sup.SLS_SIZE, sup.EMP_SIZE])]
+ALL_PARTS = [(A.sic_source, [sup.SIC]), (A.phone_source, [sup.PHONE_AREA, sup.PHONE_PFX]),
+             (A.size_source, [sup.SLS_SIZE, sup.EMP_SIZE])]
 
 
 def _government_keys(spark, d):
@@ -46,11 +46,11 @@ def _classified(spark, d):
 
 QUERIES: dict[str, Query] = {
     # supplements (one operator, several specs)
-    "supplement_sic": lambda s, d: _supplement(s, d, [(A.sic_source(s, d), [sup.SIC])]),
-    "supplement_phone_area": lambda s, d: _supplement(s, d, [(A.phone_source(s, d), [sup.PHONE_AREA])]),
-    "supplement_phone_prefix": lambda s, d: _supplement(s, d, [(A.phone_source(s, d), [sup.PHONE_PFX])]),
-    "supplement_sizes": lambda s, d: _supplement(s, d, [(A.size_source(s, d), [sup.SLS_SIZE, sup.EMP_SIZE])]),
-    "supplement_all": lambda s, d: _supplement(s, d, _all_sources(s, d)),
+    "supplement_sic": lambda s, d: _supplement(s, d, [(A.sic_source, [sup.SIC])]),
+    "supplement_phone_area": lambda s, d: _supplement(s, d, [(A.phone_source, [sup.PHONE_AREA])]),
+    "supplement_phone_prefix": lambda s, d: _supplement(s, d, [(A.phone_source, [sup.PHONE_PFX])]),
+    "supplement_sizes": lambda s, d: _supplement(s, d, [(A.size_source, [sup.SLS_SIZE, sup.EMP_SIZE])]),
+    "supplement_all": lambda s, d: _supplement(s, d, ALL_PARTS),
     # change log
     "changed_entities": lambda s, d: chg.changed_entities(_normalized(s, d)),
     "not_yet_loaded": lambda s, d: not_yet_loaded(
@@ -62,9 +62,9 @@ QUERIES: dict[str, Query] = {
     "changes_incremental": lambda s, d: chg.normalize(A.raw_changes(s, d), A.EXCLUDED_USERS,
                                                       loaded=A.loaded_changes(s, d)),
     "clean_changes": lambda s, d: cleaning.clean_changes(_normalized(s, d)),
-    "clean_supplement": lambda s, d: cleaning.clean_supplement(_supplement(s, d, _all_sources(s, d))),
+    "clean_supplement": lambda s, d: cleaning.clean_supplement(_supplement(s, d, ALL_PARTS)),
     "location_attach": lambda s, d: cleaning.attach_location(
-        cleaning.clean_supplement(_supplement(s, d, [(A.sic_source(s, d), [sup.SIC])])),
+        cleaning.clean_supplement(_supplement(s, d, [(A.sic_source, [sup.SIC])])),
         A.entity_locations(s, d)),
     # addresses
     "address_keys": lambda s, d: addr.base_flags(A.address(s, d)).select(

@@ -171,14 +171,15 @@ def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.selectExpr("CAST(s_suppkey AS INT) AS supplier_nb", "s_name AS supplier_nm")
 
 
-def loaded_supplement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Supplement keys an earlier load stored: every element reported before
-    LOADED_BEFORE_SHIPDATE. Only the anti-join keys matter."""
+def loaded_supplement(spark: SparkSession, sf_dir: str, parts=None) -> DataFrame:
+    """Supplement keys an earlier load stored: the given elements as reported
+    before LOADED_BEFORE_SHIPDATE. ``parts`` lists (source adapter, specs) as
+    the build uses them (default: every element); each source is scanned once.
+    Only the anti-join keys matter."""
     from entwise.operators import supplement as sup
-    # one branch per element, each with a literal element name, so a filter on
-    # ``element`` drops whole branches (as it would prune a partitioned table)
-    parts = [(sic_source, [sup.SIC]), (phone_source, [sup.PHONE_AREA]), (phone_source, [sup.PHONE_PFX]),
-             (size_source, [sup.SLS_SIZE]), (size_source, [sup.EMP_SIZE])]
+    if parts is None:
+        parts = [(sic_source, [sup.SIC]), (phone_source, [sup.PHONE_AREA, sup.PHONE_PFX]),
+                 (size_source, [sup.SLS_SIZE, sup.EMP_SIZE])]
     out = None
     for fn, specs in parts:
         long = sup.unpivot_elements(fn(spark, sf_dir, shipped_before=LOADED_BEFORE_SHIPDATE), specs)
