@@ -32,6 +32,10 @@ from pyspark.sql import functions as F
 DEFAULT_HOT_ROWS = 5_000_000
 # Rows whose key has a NULL part never match; spread them over this many salts.
 NULL_KEY_SPREAD = 1024
+# Hot keys are found from a sample that keeps about this many rows of a key
+# that sits exactly at the threshold (relative error ~1 %).
+SAMPLE_ROWS_AT_THRESHOLD = 10_000
+SAMPLE_SEED = 17
 
 _SALT, _SALTS, _ROWS, _MATCH, _HOT = "_ew_salt", "_ew_salts", "_ew_rows", "_ew_match", "_ew_hot_"
 
@@ -87,9 +91,21 @@ def _split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str,
     return out.drop(_MATCH)
 
 
-def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, _ew_rows): rows per key, combined map-side."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS))
+def key_counts(df: DataFrame, keys: list[str], hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """(keys, _ew_rows): estimated rows per key, good enough to find keys with
+    at least ``hot_rows`` rows.
+
+    Counting every key exactly would aggregate (and shuffle) one row per
+    distinct key, which for nearly unique keys is as large as the data. A
+    seeded Bernoulli sample with ``SAMPLE_ROWS_AT_THRESHOLD / hot_rows`` of the
+    rows keeps the aggregate tiny; counts are scaled back up. For small
+    thresholds the fraction is 1 and the counts are exact.
+    """
+    fraction = min(1.0, SAMPLE_ROWS_AT_THRESHOLD / hot_rows)
+    src = df if fraction >= 1.0 else df.sample(withReplacement=False, fraction=fraction,
+                                                 seed=SAMPLE_SEED)
+    return src.groupBy(*keys).agg(
+        F.round(F.count(F.lit(1)) / F.lit(fraction)).cast("long").alias(_ROWS))
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
@@ -98,15 +114,15 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     ``how`` is "inner", "left", "left_semi" or "left_anti" (for the last two
     ``right`` is a key set).
 
-    Hot keys are found from ``key_rows`` (see ``key_counts``), by default
-    computed from ``left`` with one extra partial aggregate. When ``left`` is
-    expensive to recompute, pass counts taken from a cheaper input that holds
-    the same keys; the counts only steer where rows go, never the result.
+    Hot keys are found from ``key_rows`` (see ``key_counts``), by default a
+    sampled count over ``left``. When ``left`` is expensive to recompute, pass
+    counts taken from a cheaper input that holds the same keys; the counts only
+    steer where rows go, never the result.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("salted_join supports inner, left, left_semi and left_anti joins")
     if key_rows is None:
-        key_rows = key_counts(left, keys)
+        key_rows = key_counts(left, keys, hot_rows)
     hot_keys = (key_rows.filter((F.col(_ROWS) >= F.lit(hot_rows)) & ~_any_null(keys))
                 .select(*keys, _salts(F.col(_ROWS), hot_rows).alias(_SALTS)))
     # right rows of the hot keys: a map-side filter of ``right`` (<= #hot rows)
