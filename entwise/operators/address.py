@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from entwise import schemas as S
 from entwise.functions.address import (GOVT_SQL, TRIMMED_AFTER_BASE, address_key_sql,
                                        base_flag_sql, derived_flag_sql)
-from entwise.operators.skew import DEFAULT_HOT_ROWS, salted_join
+from entwise.operators.skew import salted_join
 
 GOVT_KEY = "no_dir_strtnm_ste_zip"
 
@@ -70,7 +70,7 @@ def derived_flags(address_with_base: DataFrame) -> DataFrame:
 
 
 def classify(address: DataFrame, govt_keys: DataFrame,
-             hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+             hot_rows: int | None = None) -> DataFrame:
     """All 91 columns of the classified address table, in ``ADDRESS_LAYOUT`` order.
 
     The government marker is attached with a left join on the 6-part key. An

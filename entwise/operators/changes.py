@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from entwise import schemas as S
 from entwise.functions.text import code_map, day_of
 from entwise.operators.incremental import not_yet_loaded
-from entwise.operators.skew import DEFAULT_HOT_ROWS, attach_group_aggregates
+from entwise.operators.skew import attach_group_aggregates
 
 CHANGE_KEYS = ["pbin", "trn_ts", "table_nm", "column_nm"]
 GROUP_KEYS = ["pbin", "trn_ts", "column_nm"]
@@ -37,7 +37,7 @@ def exclude(df: DataFrame, excluded_users: Sequence[str]) -> DataFrame:
     return df.filter(cond)
 
 
-def max_per_key(df: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+def max_per_key(df: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """Each row plus the text maxima of after/before over (pbin, day, column).
 
     The two maxima are independent and compared as strings ('9' > '10'). Rows
@@ -58,7 +58,7 @@ def drop_noops(df: DataFrame, null_safe: bool = False) -> DataFrame:
 
 
 def normalize(raw: DataFrame, excluded_users: Sequence[str] = (), loaded: DataFrame | None = None,
-              hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+              hot_rows: int | None = None) -> DataFrame:
     """Full change-log normalisation in the ``CHANGES_LAYOUT`` order.
 
     With ``loaded`` (the transformed table), rows whose normalised key

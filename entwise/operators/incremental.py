@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from entwise.operators.skew import DEFAULT_HOT_ROWS, salted_join
+from entwise.operators.skew import salted_join
 
 
 def not_yet_loaded(new: DataFrame, loaded: DataFrame, keys: list[str],
-                   hot_rows: int = DEFAULT_HOT_ROWS, key_rows: DataFrame | None = None) -> DataFrame:
+                   hot_rows: int | None = None, key_rows: DataFrame | None = None) -> DataFrame:
     """Rows of ``new`` with no row of ``loaded`` on ``keys`` (a left-anti join).
 
     Rows with a NULL key part never match and are kept, like the

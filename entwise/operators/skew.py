@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 # Rows per key above which a key is split. With N rows in total at most
 # N / DEFAULT_HOT_ROWS keys are hot (e.g. <= 200,000 keys for 1e12 rows).
+# Operators take ``hot_rows=None`` and read this value when they are called.
 DEFAULT_HOT_ROWS = 5_000_000
 # Rows whose key has a NULL part never match; spread them over this many salts.
 NULL_KEY_SPREAD = 1024
@@ -91,7 +92,7 @@ def _split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str,
     return out.drop(_MATCH)
 
 
-def key_counts(df: DataFrame, keys: list[str], hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+def key_counts(df: DataFrame, keys: list[str], hot_rows: int | None = None) -> DataFrame:
     """(keys, _ew_rows): estimated rows per key, good enough to find keys with
     at least ``hot_rows`` rows.
 
@@ -101,6 +102,7 @@ def key_counts(df: DataFrame, keys: list[str], hot_rows: int = DEFAULT_HOT_ROWS)
     rows keeps the aggregate tiny; counts are scaled back up. For small
     thresholds the fraction is 1 and the counts are exact.
     """
+    hot_rows = hot_rows or DEFAULT_HOT_ROWS
     fraction = min(1.0, SAMPLE_ROWS_AT_THRESHOLD / hot_rows)
     src = df if fraction >= 1.0 else df.sample(withReplacement=False, fraction=fraction,
                                                  seed=SAMPLE_SEED)
@@ -109,7 +111,7 @@ def key_counts(df: DataFrame, keys: list[str], hot_rows: int = DEFAULT_HOT_ROWS)
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
-                hot_rows: int = DEFAULT_HOT_ROWS, key_rows: DataFrame | None = None) -> DataFrame:
+                hot_rows: int | None = None, key_rows: DataFrame | None = None) -> DataFrame:
     """``left.join(right, keys, how)`` for a right side unique on ``keys``;
     ``how`` is "inner", "left", "left_semi" or "left_anti" (for the last two
     ``right`` is a key set).
@@ -121,6 +123,7 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("salted_join supports inner, left, left_semi and left_anti joins")
+    hot_rows = hot_rows or DEFAULT_HOT_ROWS
     if key_rows is None:
         key_rows = key_counts(left, keys, hot_rows)
     hot_keys = (key_rows.filter((F.col(_ROWS) >= F.lit(hot_rows)) & ~_any_null(keys))
@@ -132,7 +135,7 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
 
 
 def attach_group_aggregates(detail: DataFrame, keys: list[str], aggs: dict[str, Column],
-                            hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                            hot_rows: int | None = None) -> DataFrame:
     """Every detail row with a non-NULL key plus the aggregates of its key group.
 
     Same rows as ``detail.join(detail.groupBy(keys).agg(...), keys)`` or as a
@@ -141,6 +144,7 @@ def attach_group_aggregates(detail: DataFrame, keys: list[str], aggs: dict[str,
     split (see module doc). Rows with a NULL key part are dropped, as an
     equi-join would drop them.
     """
+    hot_rows = hot_rows or DEFAULT_HOT_ROWS
     kept = detail.filter(~_any_null(keys))
     agg = kept.groupBy(*keys).agg(*[e.alias(n) for n, e in aggs.items()],
                                   F.count(F.lit(1)).alias(_ROWS))
