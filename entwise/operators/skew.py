@@ -6,10 +6,13 @@ split only applies when both join inputs are bare shuffle stages, which is not
 the case when one side is an aggregate (as in "attach the per-group maximum to
 each row"). The helpers here split hot keys explicitly:
 
-* per-key left row counts come from a partial (map-side combined) aggregate;
+* per-key left row counts come from the aggregate that built the right side
+  (``attach_group_aggregates``) or from a seeded sample (``key_counts``);
 * keys with at least ``hot_rows`` left rows are *hot*. There are at most
-  ``rows(left) / hot_rows`` of them, which bounds the broadcast that carries
-  their right-side values;
+  ``rows(left) / hot_rows`` of them (for the sample: a key needs
+  ``SAMPLE_ROWS_AT_THRESHOLD`` sampled rows, and the sample holds
+  ``rows(left) * SAMPLE_ROWS_AT_THRESHOLD / hot_rows`` rows), which bounds the
+  broadcast that carries their right-side values;
 * every left row of a hot key takes its right values from that broadcast
   (map-side) and a salt in ``[0, ceil(rows / hot_rows))`` from a deterministic
   row hash, so in the shuffle join on (keys, salt) its rows spread over many
