@@ -32,17 +32,14 @@ def invalid_responses(spark: SparkSession, responses: DataFrame) -> DataFrame:
         [(iid, itype, 1) for _, _, itype, iid in S.SURVEY_QUESTIONS],
         "input_id string, input_type string, req int"))
     opts = F.broadcast(spark.createDataFrame(
-        [(iid, o) for _, os_, itype, iid in S.SURVEY_QUESTIONS if itype in CHOICE_TYPES for o in os_],
-        "input_id string, answer string"))
-    r = responses.join(dim, "input_id", "left")
+        [(iid, o, True) for _, os_, itype, iid in S.SURVEY_QUESTIONS if itype in CHOICE_TYPES
+         for o in os_], "input_id string, answer string, is_option boolean"))
+    # one pass: both dimensions are literals joined map-side
+    r = responses.join(dim, "input_id", "left").join(opts, ["input_id", "answer"], "left")
     blank = F.col("answer").isNull() | (F.trim(F.col("answer")) == F.lit(""))
     problem = (F.when(F.col("input_type").isNull(), F.lit("unknown_question"))
                .when(blank & (F.col("req") == 1), F.lit("missing"))
-               .when(F.col("input_type").isin(*CHOICE_TYPES) & ~blank, F.lit("check_option")))
-    flagged = r.withColumn("problem", problem).filter(F.col("problem").isNotNull())
-    direct = flagged.filter(F.col("problem") != F.lit("check_option"))
-    bad_opt = (flagged.filter(F.col("problem") == F.lit("check_option"))
-               .join(opts, ["input_id", "answer"], "left_anti")
-               .withColumn("problem", F.lit("invalid_option")))
-    cols = ["respondent_id", "input_id", "answer", "problem"]
-    return direct.select(*cols).unionByName(bad_opt.select(*cols))
+               .when(F.col("input_type").isin(*CHOICE_TYPES) & ~blank & F.col("is_option").isNull(),
+                     F.lit("invalid_option")))
+    return (r.select("respondent_id", "input_id", "answer", problem.alias("problem"))
+            .filter(F.col("problem").isNotNull()))
