@@ -73,7 +73,7 @@ REPORT_SQL = [
     "CAST(l_orderkey AS STRING) AS lvid",
     "CAST(l_suppkey AS INT) AS supplier_nb",
     "date_format(date_sub(CAST(l_shipdate AS DATE), 30), 'MM/dd/yyyy') AS dt_first_rpted",
-    "date_format(l_shipdate, 'MM/dd/yyyy') AS dt_last_rpted",
+    "date_format(CAST(l_shipdate AS DATE), 'MM/dd/yyyy') AS dt_last_rpted",
 ]
 
 
@@ -83,7 +83,7 @@ def raw_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = load(spark, sf_dir, "events", ["ts", "user_id", "event_type", "value", "props"])
     return ev.selectExpr(
         "CAST(user_id AS STRING) AS pbin",
-        "date_format(ts, 'yyyy-MM-dd HH:mm:ss') AS trn_ts",
+        "substring(CAST(ts AS STRING), 1, 19) AS trn_ts",   # no time-zone round trip
         "upper(event_type) AS table_nm",
         f"{_map_sql('event_type', EVENT_COLUMN_CODES)} AS column_nm",
         "CAST(floor(value) AS STRING) AS after_value",
@@ -257,7 +257,7 @@ def structural(spark: SparkSession, sf_dir: str) -> DataFrame:
                          if S.CHANGE_CODE_MAP.get(v.strip()) in S.STRUCTURAL_COLUMNS]
     return (ev.filter(F.col("event_type").isin(*structural_events))
             .select(F.col("user_id").alias("pbin"), F.col("event_id").alias("transactionID"),
-                    F.date_format("ts", "yyyy-MM-dd").alias("trn_day")))
+                    F.col("ts").cast("date").cast("string").alias("trn_day")))
 
 
 def analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
