@@ -11,8 +11,9 @@ each row"). The helpers here split hot keys explicitly:
 * keys with at least ``hot_rows`` left rows are *hot*. There are at most
   ``rows(left) / hot_rows`` of them (for the sample: a key needs
   ``SAMPLE_ROWS_AT_THRESHOLD`` sampled rows, and the sample holds
-  ``rows(left) * SAMPLE_ROWS_AT_THRESHOLD / hot_rows`` rows), which bounds the
-  broadcast that carries their right-side values;
+  ``rows(left) * SAMPLE_ROWS_AT_THRESHOLD / hot_rows`` rows), and only the
+  ``MAX_HOT_KEYS`` largest are kept, which bounds the broadcast that carries
+  their right-side values whatever the data size;
 * every left row of a hot key takes its right values from that broadcast
   (map-side) and a salt in ``[0, ceil(rows / hot_rows))`` from a deterministic
   row hash, so in the shuffle join on (keys, salt) its rows spread over many
@@ -40,6 +41,9 @@ NULL_KEY_SPREAD = 1024
 # that sits exactly at the threshold (relative error ~1 %).
 SAMPLE_ROWS_AT_THRESHOLD = 10_000
 SAMPLE_SEED = 17
+# At most this many keys are treated as hot (the largest ones), which caps the
+# broadcast whatever the data size; any other key takes the exact shuffle path.
+MAX_HOT_KEYS = 100_000
 
 _SALT, _SALTS, _ROWS, _MATCH, _HOT = "_ew_salt", "_ew_salts", "_ew_rows", "_ew_match", "_ew_hot_"
 
@@ -54,6 +58,12 @@ def _row_hash(cols: list[str]) -> Column:
     return F.expr("xxhash64(spark_partition_id(), " + ", ".join(f"`{c}`" for c in cols) + ")")
 
 
+def _largest(key_rows: DataFrame) -> DataFrame:
+    """The MAX_HOT_KEYS keys with the most rows (a top-n: each partition keeps
+    at most that many rows before the final merge)."""
+    return key_rows.orderBy(F.col(_ROWS).desc()).limit(MAX_HOT_KEYS)
+
+
 def _salts(rows: Column, hot_rows: int) -> Column:
     return F.ceil(rows / F.lit(hot_rows)).cast("int")
 
@@ -129,7 +139,7 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     hot_rows = hot_rows or DEFAULT_HOT_ROWS
     if key_rows is None:
         key_rows = key_counts(left, keys, hot_rows)
-    hot_keys = (key_rows.filter((F.col(_ROWS) >= F.lit(hot_rows)) & ~_any_null(keys))
+    hot_keys = (_largest(key_rows.filter((F.col(_ROWS) >= F.lit(hot_rows)) & ~_any_null(keys)))
                 .select(*keys, _salts(F.col(_ROWS), hot_rows).alias(_SALTS)))
     # right rows of the hot keys: a map-side filter of ``right`` (<= #hot rows)
     hot_vals = right.join(F.broadcast(hot_keys.select(*keys)), keys, "inner")
@@ -153,6 +163,6 @@ def attach_group_aggregates(detail: DataFrame, keys: list[str], aggs: dict[str,
                                   F.count(F.lit(1)).alias(_ROWS))
     # both branches read every aggregate column (the row count doubles as the
     # match marker), so the aggregate is planned once and its shuffle reused
-    hot = (agg.filter(F.col(_ROWS) >= F.lit(hot_rows))
+    hot = (_largest(agg.filter(F.col(_ROWS) >= F.lit(hot_rows)))
            .withColumn(_SALTS, _salts(F.col(_ROWS), hot_rows)))
     return _split_join(kept, agg, keys, "inner", hot, _ROWS)

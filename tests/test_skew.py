@@ -103,3 +103,16 @@ def test_hot_key_rows_leave_from_several_reducers(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_hot_key_cap_keeps_results_exact(spark, monkeypatch):
+    from entwise.operators import skew
+    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 1)
+    left = skewed(spark)
+    right = spark.createDataFrame([("hot", "H")] + [(f"k{i}", f"K{i}") for i in range(50)],
+                                  "k string, r string")
+    plain = left.join(right, "k", "left")
+    salted = salted_join(left, right, ["k"], "left", hot_rows=20)   # 51 keys qualify, 1 is kept
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+    got = attach_group_aggregates(left.filter("k IS NOT NULL"), ["k"], {"mx": F.max("v")}, hot_rows=20)
+    assert got.count() == left.filter("k IS NOT NULL").count()
