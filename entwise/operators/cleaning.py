@@ -11,6 +11,15 @@ from entwise import schemas as S
 from entwise.functions.text import replace_values, strip_zeros_if_gt_one
 
 
+def content_changes(changes: DataFrame) -> DataFrame:
+    """Trimmed, renamed, non-structural change rows (before the dedupe)."""
+    flagged = changes.withColumn("column_nm", F.trim(F.col("column_nm"))).withColumn(
+        "structure", F.when(F.col("column_nm").isin(*S.STRUCTURAL_COLUMNS), F.lit("1"))
+        .otherwise(F.lit("0")))
+    return (flagged.withColumnsRenamed({"after": "after_value", "before": "before_value"})
+            .filter(F.col("structure") == F.lit("0")))
+
+
 def clean_changes(changes: DataFrame) -> DataFrame:
     """Content (non-structural) changes, deduplicated, with zero-padded numbers stripped.
 
@@ -18,18 +27,20 @@ def clean_changes(changes: DataFrame) -> DataFrame:
     ``after_value``/``before_value`` plus ``structure`` ('0' on every kept row).
     Dedupe runs before the stripping, so '0012' and '12' both survive.
     """
-    flagged = changes.withColumn("column_nm", F.trim(F.col("column_nm"))).withColumn(
-        "structure", F.when(F.col("column_nm").isin(*S.STRUCTURAL_COLUMNS), F.lit("1"))
-        .otherwise(F.lit("0")))
-    content = (flagged.withColumnsRenamed({"after": "after_value", "before": "before_value"})
-               .filter(F.col("structure") == F.lit("0"))
-               .dropDuplicates())
+    content = content_changes(changes).dropDuplicates()
     return content.withColumns({
         "after_value": strip_zeros_if_gt_one("after_value"),
         "before_value": strip_zeros_if_gt_one("before_value"),
     })
 
 
+def supplement_dates_mapped(supplement: DataFrame,
+                            first_map: Mapping[str, str] = S.SENTINEL_ISO) -> DataFrame:
+    """Report dates trimmed and the first sentinel map applied (before the dedupe)."""
+    dates = ["dt_first_rpted", "dt_last_rpted"]
+    return supplement.withColumns({d: replace_values(F.trim(F.col(d)), first_map) for d in dates})
+
+
 def clean_supplement(supplement: DataFrame, first_map: Mapping[str, str] = S.SENTINEL_ISO,
                      second_map: Mapping[str, str] = S.SENTINEL_US) -> DataFrame:
     """Trim the report dates, replace sentinel dates, dedupe.
@@ -38,9 +49,8 @@ def clean_supplement(supplement: DataFrame, first_map: Mapping[str, str] = S.SEN
     second after it, so two rows that only become equal in the second map stay
     two rows.
     """
+    df = supplement_dates_mapped(supplement, first_map).dropDuplicates()
     dates = ["dt_first_rpted", "dt_last_rpted"]
-    df = supplement.withColumns({d: replace_values(F.trim(F.col(d)), first_map) for d in dates})
-    df = df.dropDuplicates()
     return df.withColumns({d: replace_values(F.col(d), second_map) for d in dates})
 
 

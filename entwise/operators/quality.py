@@ -30,6 +30,14 @@ def value_counts(df: DataFrame, column: str, name: str = "n") -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias(name))
 
 
+def dedupe_counts(df: DataFrame) -> DataFrame:
+    """One row: (rows, distinct_rows) — the row count before and after a
+    whole-row dedupe. Duplicates are combined map-side; the distinct count
+    is a scalar subquery, not a second job driven from the driver."""
+    distinct_rows = df.dropDuplicates().agg(F.count(F.lit(1))).scalar()
+    return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("distinct_rows", distinct_rows)
+
+
 def row_metrics(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Attach a row counter that is filled in by whatever action runs ``df``
     (no extra job). Read ``observation.get`` after the action."""

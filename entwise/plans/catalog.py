@@ -78,6 +78,10 @@ QUERIES: dict[str, Query] = {
     "address_classified": _classified,
     "flag_audit": lambda s, d: quality.flag_audit(_classified(s, d)),
     "value_counts": lambda s, d: quality.value_counts(chg.map_codes(A.raw_changes(s, d)), "column_nm"),
+    "value_counts_raw": lambda s, d: quality.value_counts(A.raw_changes(s, d), "column_nm"),
+    "change_dedupe_counts": lambda s, d: quality.dedupe_counts(cleaning.content_changes(_normalized(s, d))),
+    "supplement_dedupe_counts": lambda s, d: quality.dedupe_counts(
+        cleaning.supplement_dates_mapped(_supplement(s, d, ALL_PARTS))),
     # dashboard
     "top_suppliers": lambda s, d: metrics.top_suppliers(A.analysis(s, d)),
     "totals": lambda s, d: metrics.totals(A.transactions(s, d), A.analysis(s, d)),

@@ -84,3 +84,9 @@ def test_flag_audit_and_value_counts(spark):
     counted, obs = quality.row_metrics(df, "audit")
     counted.collect()
     assert obs.get["rows"] == 3
+
+
+def test_dedupe_counts(spark):
+    df = spark.createDataFrame([("a", None), ("a", None), ("b", 1)], "x string, y int")
+    r = quality.dedupe_counts(df).collect()[0]
+    assert (r.rows, r.distinct_rows) == (3, 2)   # NULLs count as equal, unlike count(DISTINCT ...)
