@@ -32,10 +32,12 @@ def value_counts(df: DataFrame, column: str, name: str = "n") -> DataFrame:
 
 def dedupe_counts(df: DataFrame) -> DataFrame:
     """One row: (rows, distinct_rows) — the row count before and after a
-    whole-row dedupe. Duplicates are combined map-side; the distinct count
-    is a scalar subquery, not a second job driven from the driver."""
-    distinct_rows = df.dropDuplicates().agg(F.count(F.lit(1))).scalar()
-    return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("distinct_rows", distinct_rows)
+    whole-row dedupe, from one pass: group by every column (NULLs group
+    together, as in ``dropDuplicates``; copies combine map-side), then sum the
+    group sizes and count the groups."""
+    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    return groups.agg(F.sum("_n").cast("long").alias("rows"),
+                      F.count(F.lit(1)).alias("distinct_rows"))
 
 
 def row_metrics(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
