@@ -36,3 +36,8 @@ def test_query_matches_oracle(spark, duck, name):
         order = sorted(range(len(cols)), key=lambda i: cols[i])
         return sorted(tuple(canon(r[i]) for i in order) for r in recs)
     assert norm(df.columns, df.collect()) == norm(res.columns, res.fetchall())
+
+
+def test_sf_dir_with_trailing_slash(spark):
+    q = E.queries()["supplement_sic"]
+    assert q(spark, SF + "/").count() == q(spark, SF).count() > 0
