@@ -3,9 +3,11 @@ distributed ranks, and iteration over Arrow batches in bounded slices."""
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,15 @@ def work_root(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def importable(spark: SparkSession) -> None:
+    """Let local workers import this package from where the driver found it,
+    whatever the current folder. On a cluster ship it with ``--py-files``."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
+
+
 class Work:
     """A folder of written intermediate tables for one operator call.
 
@@ -38,6 +49,7 @@ class Work:
     """
 
     def __init__(self, spark: SparkSession, name: str):
+        importable(spark)
         self.spark = spark
         self.path = f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
         self._n = 0

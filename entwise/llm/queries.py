@@ -5,9 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from entwise.llm import near_dedup
+from entwise.llm import near_dedup, token_files
+from entwise.llm.common import Work
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,8 +19,17 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = Work(spark, "token-files").path
+    token_files.write_token_files(_read(spark, sf_dir, "documents"), out,
+                                  public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return token_files.read_token_files(spark, out).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_dedup": lambda s, d: near_dedup.near_duplicates(_read(s, d, "documents"), width=3, percent=85),
+    "op2_token_files": _op2,
 }
 
 ORACLE: dict[str, str] = {}
