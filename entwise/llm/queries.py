@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entwise.llm import near_dedup, token_files
+from entwise.llm import near_dedup, repeats, token_files
 from entwise.llm.common import Work
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,7 @@ def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_near_dedup": lambda s, d: near_dedup.near_duplicates(_read(s, d, "documents"), width=3, percent=85),
     "op2_token_files": _op2,
+    "op3_repeats": lambda s, d: repeats.remove_repeats(_read(s, d, "documents"), 400).drop("spans"),
 }
 
 ORACLE: dict[str, str] = {}
