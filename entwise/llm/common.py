@@ -32,9 +32,16 @@ def work_root(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def importable(spark: SparkSession) -> None:
-    """Let local workers import this package from where the driver found it,
-    whatever the current folder. On a cluster ship it with ``--py-files``."""
+#: Texts are wide rows: a batch for Python holds at most so many rows and bytes.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "512", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+
+
+def prepare(spark: SparkSession) -> None:
+    """Bound the batches that go to Python workers, and let local workers import
+    this package from where the driver found it, whatever the current folder.
+    On a cluster ship the package with ``--py-files``."""
+    for k, v in BATCH.items():
+        spark.conf.set(k, v)
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
@@ -49,7 +56,7 @@ class Work:
     """
 
     def __init__(self, spark: SparkSession, name: str):
-        importable(spark)
+        prepare(spark)
         self.spark = spark
         self.path = f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
         self._n = 0
