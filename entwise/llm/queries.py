@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entwise.llm import near_dedup, repeats, token_files
+from entwise.llm import decontaminate, language, near_dedup, packing, repeats, secrets, sharding, token_files, topk
 from entwise.llm.common import Work
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,10 +27,42 @@ def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4))
+    docs = language.identify(_read(spark, sf_dir, "documents"), train="pmod(crc32(cast(doc_id AS string)), 4) <> 2")
+    return docs.select("doc_id", (remainder == 2).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_dedup": lambda s, d: near_dedup.near_duplicates(_read(s, d, "documents"), width=3, percent=85),
     "op2_token_files": _op2,
     "op3_repeats": lambda s, d: repeats.remove_repeats(_read(s, d, "documents"), 400).drop("spans"),
+    "op4_secrets": lambda s, d: secrets.report(_read(s, d, "documents")),
+    "op5_packing": lambda s, d: packing.pack(
+        _read(s, d, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2),
+    "op6_decontaminate": lambda s, d: decontaminate.contamination(
+        _read(s, d, "documents"), _read(s, d, "benchmark")).drop("spans", "items"),
+    "op7_topk": lambda s, d: topk.top_products(_read(s, d, "embeddings"), k=20, every=20),
+    "op9_sharding": lambda s, d: sharding.shard_documents(_read(s, d, "documents"), 24),
+    "op10_language": _op10,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                   CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+        ), r AS (
+            SELECT query_id, vec_id, score,
+                   row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+            FROM s
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+    """,
+}
