@@ -11,13 +11,22 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 
-_OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -‍    ⁠　﻿]|<\\|")
-_RUNS = re.compile(r"[ \t\r\n]{2}|[\t\r]")
+_OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200d\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
+_ASCII_SPACE = re.compile("[\x0b\x0c\x1c-\x1f]")
+_RUNS = ("  ", "\n\n", " \n", "\n ", "\t", "\r")
 _PIECES = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+$")
 
+_LETTERS = re.compile("[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+_ENDED = re.compile(f"({_LETTERS.pattern})([!-/:-@[-`{{-~]+)")
+
 #: Pieces held in each of the two generations of a worker's cache.
-CACHE_PIECES = 250_000
+CACHE_PIECES = 300_000
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class _Cache(dict):
@@ -41,34 +50,58 @@ class _Cache(dict):
 
 class Encoder:
     """``ids(text)``: the token ids of a whole text as little-endian unsigned
-    32-bit integers in bytes. ``by_words``: the tokenizer drops white space;
-    otherwise a leading blank belongs to its word."""
+    32-bit integers in bytes. ``by_words``: the tokenizer drops white space and
+    case; otherwise a leading blank belongs to its word."""
 
     def __init__(self, path: str, by_words: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import numpy as np
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         tok = Tokenizer.from_file(path)
         tok.encode_special_tokens = True  # a special token's name inside a text is ordinary text
+        alphabet = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.tok, self.model, self.by_words = tok, tok.model, by_words
+        # the byte alphabet's characters for those of Latin-1, for str.translate
+        self.bytes_of = {i: alphabet.pre_tokenize_str(chr(i))[0][0] for i in (*range(0x20, 0x7F), *range(0xA0, 0x100))}
+        self.exact = _Cache(self.piece)
+        # keyed by the word without its leading blank; a leading line end stays
+        self.led = _Cache(self.led_piece)
 
-        def encode(piece: str) -> bytes:
-            return np.array(tok.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+    def whole(self, text: str) -> bytes:
+        return _packed(self.tok.encode(text, add_special_tokens=False).ids)
 
-        self.whole = encode
-        self.by_words = by_words
-        self.exact = _Cache(encode)
-        # keyed by the word without its leading blank; a leading line end stays
-        self.led = _Cache(lambda w: encode(w if w[:1] == "\n" else " " + w))
+    def letters(self, word: str) -> bytes:
+        """A word of Latin-1 letters, with or without a leading blank, is one
+        pre-token: the model gets it as the normalizer and the byte alphabet
+        would write it."""
+        if self.by_words:
+            word = word.lower()
+        return _packed([t.id for t in self.model.tokenize(word.translate(self.bytes_of))])
+
+    def piece(self, piece: str) -> bytes:
+        if _LETTERS.fullmatch(piece):
+            return self.letters(piece)
+        if m := _ENDED.fullmatch(piece):  # punctuation after letters is a pre-token of its own
+            return self.exact[m[1]] + self.exact[m[2]]
+        return self.whole(piece)
+
+    def led_piece(self, word: str) -> bytes:
+        if word[0] == "\n":
+            return self.exact["\n"] + self.exact[word[1:]]
+        if _LETTERS.fullmatch(word):
+            return self.letters(" " + word)
+        if m := _ENDED.fullmatch(word):
+            return self.led[m[1]] + self.exact[m[2]]
+        return self.whole(" " + word)
 
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if _OTHER_SPACE.search(text):
+        if "<|" in text or (_ASCII_SPACE if text.isascii() else _OTHER_SPACE).search(text):
             return self.whole(text)
         if self.by_words:
             return b"".join(map(self.exact.__getitem__, text.split()))
-        if _RUNS.search(text) or text[0] in " \n" or text[-1] in " \n":
+        if any(run in text for run in _RUNS) or text[0] in " \n" or text[-1] in " \n":
             return b"".join(map(self.exact.__getitem__, _PIECES.findall(text)))
         first, *rest = text.replace("\n", " \n").split(" ")
         return self.exact[first] + b"".join(map(self.led.__getitem__, rest))
