@@ -1,20 +1,64 @@
-"""Corpus pipeline over the documents table; see STAGES."""
+"""Corpus pipeline over the documents table.
+
+``STAGES`` are (name, function) pairs; each function takes (spark, docs, sf_dir),
+where docs is what the stage before it kept, and returns the documents it keeps,
+with the columns of ``documents``. The last returns the packed pieces.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from entwise.llm import decontaminate, language, near_dedup, packing, secrets
+from entwise.llm.common import Work
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents in a language that their lang column knows: those whose
+    text is null or has no letter (``und``) go."""
+    return language.identify(docs).filter("lang_pred <> 'und'").select(*docs.columns)
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, the smallest doc_id
+    (5-word shingles, similarity 0.8)."""
+    kept = Work(spark, "kept").table(
+        near_dedup.near_duplicates(docs, width=5, percent=80).filter("kept").select("doc_id"), "kept")
+    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+
 
-STAGES: list = []
+def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of whose words a twentieth lies in benchmark passages go."""
+    benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    bad = Work(spark, "contaminated").table(
+        decontaminate.contamination(docs, benchmark).filter("contaminated").select("doc_id"), "contaminated")
+    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
 
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark in the text; every document stays."""
+    return secrets.redact(docs).withColumn("n_chars", F.when(
+        F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of 4096 ids."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+STAGES = [("language", language_id), ("near_dedup", near_dedup_stage), ("decontaminate", decontaminate_stage),
+          ("secrets", secret_scan), ("packing", pack)]
+
+#: SQL can't express string kernels or tokenizers; tests use brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages, each over all that the one before it kept."""
-    from entwise.llm.common import Work
-
+    """All stages in order, each result written and read again for the next."""
     work = Work(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = work.table(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir) if STAGES else docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from entwise.llm.common import Work, ranked
+from entwise.llm.common import Work, by_row, ranked
 from entwise.llm.tokens import encoder
 
 CAPACITY = 4096
@@ -174,19 +174,24 @@ def _tokenized(path: str, end_id: int, keep_ids: bool):
 
 
 def pack(docs: DataFrame, tokenizer_file: str, end_id: int = 2, keep_ids: bool = False) -> DataFrame:
-    """A row for each piece of each document of ``docs`` (doc_id, text): doc_id,
-    start (its document's ids before it), length, ids_crc32, doc_tokens,
-    sequence_id, offset (its place there, gapless from 0) and, with ``keep_ids``,
-    ids (little-endian unsigned 32-bit).
+    """A row for each piece of each row of ``docs`` (doc_id, text): doc_id, start
+    (its document's ids before it), length, ids_crc32, doc_tokens, sequence_id,
+    offset (its place there, gapless from 0) and, with ``keep_ids``, ids
+    (little-endian unsigned 32-bit).
 
     A document's ids are those of its whole text and ``end_id``; a null or empty
-    text has the end id only. Rows with a null doc_id are left out; doc_id must
-    be unique. Extra columns are ignored; an empty table gives an empty result.
+    text has the end id only. Rows with a null doc_id are left out; rows that
+    share a doc_id are documents of their own. Extra columns are ignored; an
+    empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    work = Work(spark, "packing")
+    work = Work(docs.sparkSession, "packing")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .filter("doc_id IS NOT NULL")
+    return by_row(rows, work, lambda rows: _pack(rows, tokenizer_file, end_id, keep_ids, work))
+
+
+def _pack(rows: DataFrame, tokenizer_file: str, end_id: int, keep_ids: bool, work: Work) -> DataFrame:
+    spark = rows.sparkSession
     schema = _PIECE + (", ids binary" if keep_ids else "")
     pieces = work.table(rows.mapInArrow(_tokenized(tokenizer_file, end_id, keep_ids), schema), "pieces")
     rests = pieces.filter(F.col("length") < CAPACITY)

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entwise.llm import decontaminate, language, near_dedup, packing, repeats, secrets, sharding, token_files, topk
+from entwise.llm import decontaminate, language, licenses, near_dedup, packing, repeats, secrets, sharding, token_files, topk
 from entwise.llm.common import Work
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,13 @@ def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", F.size("found").cast("long").alias("n_licenses"),
+                        F.array_join("found.license", ",").alias("licenses"),
+                        F.round(F.array_max("found.containment"), 6).alias("containment"))
+
+
 def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     remainder = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4))
     docs = language.identify(_read(spark, sf_dir, "documents"), train="pmod(crc32(cast(doc_id AS string)), 4) <> 2")
@@ -43,6 +50,7 @@ QUERIES: dict[str, Query] = {
     "op6_decontaminate": lambda s, d: decontaminate.contamination(
         _read(s, d, "documents"), _read(s, d, "benchmark")).drop("spans", "items"),
     "op7_topk": lambda s, d: topk.top_products(_read(s, d, "embeddings"), k=20, every=20),
+    "op8_licenses": _op8,
     "op9_sharding": lambda s, d: sharding.shard_documents(_read(s, d, "documents"), 24),
     "op10_language": _op10,
 }

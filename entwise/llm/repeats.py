@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entwise.llm.common import SpanHashes, Work, mix64, slices, string_buffers
+from entwise.llm.common import SpanHashes, Work, by_row, mix64, slices, string_buffers
 
 Q = 128
 FAN = 8
@@ -230,12 +230,17 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
 
     Every byte covered by a string of ``length`` bytes that also starts anywhere
     else goes; strings never cross documents and are judged on the input. A null
-    or empty text has no bytes. Rows with a null doc_id are left out. doc_id must
-    be unique. Extra columns are ignored; an empty table gives an empty result.
+    or empty text has no bytes. Rows with a null doc_id are left out; rows that
+    share a doc_id are documents of their own. Extra columns are ignored; an
+    empty table gives an empty result.
     """
     work = Work(docs.sparkSession, "repeats")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .filter("doc_id IS NOT NULL")
+    return by_row(texts, work, lambda texts: _removed(texts, length, work))
+
+
+def _removed(texts: DataFrame, length: int, work: Work) -> DataFrame:
     runs = repeated_runs(texts, length, work)
     runs = work.table(runs.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("runs")), "runs")
     return texts.join(runs, "doc_id", "left").select("doc_id", "text", "runs").mapInArrow(
