@@ -6,5 +6,5 @@ from entwise.functions.text import (  # noqa: F401
     strip_zeros_if_gt_one, day_of,
 )
 from entwise.functions.address import (  # noqa: F401
-    address_key, base_flag_columns, derived_flag_columns, govt_column,
+    address_key_sql, base_flag_sql, derived_flag_sql,
 )

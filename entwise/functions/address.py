@@ -8,9 +8,6 @@ is one projection, built with a single ``selectExpr``/``expr`` call.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from entwise import schemas as S
 
 KEY_PARTS_WITH_UNIT = ["std_hse_nb", "std_pre_direction", "std_str_addr", "std_pst_direction",
@@ -34,10 +31,6 @@ def address_key_sql(with_unit: bool = True) -> str:
     return "concat_ws('|', " + ", ".join(f"coalesce({p}, '')" for p in parts) + ")"
 
 
-def address_key(with_unit: bool = True) -> Column:
-    return F.expr(address_key_sql(with_unit))
-
-
 def base_flag_sql() -> dict[str, str]:
     rc = "std_usps_rc_ty_cd"
     zip_ok = f"std_zip_cd_stat_cd IN {_in(S.ZIP_OK_STATUS)} AND std_rtn_cd IS NULL"
@@ -60,11 +53,6 @@ def base_flag_sql() -> dict[str, str]:
     }
 
 
-# Columns trimmed between the base and the derived level.
-TRIMMED_AFTER_BASE = ["verified_addr", "hyg_cmra_in", "hyg_residential_in", "std_addr",
-                      "miss_ste_addr", "innac_ste_addr", "no_dir_strtnm_ste_zip"]
-
-
 def derived_flag_sql() -> dict[str, str]:
     verified = "verified_addr = '1'"
     suite = ["miss_ste_addr", "innac_ste_addr", "ste_for_single_loc_addr"]
@@ -80,15 +68,3 @@ def derived_flag_sql() -> dict[str, str]:
 
 
 GOVT_SQL = _flag("verified_addr = '1' AND govt_flag = '1' AND comml = '1'")
-
-
-def base_flag_columns() -> dict[str, Column]:
-    return {k: F.expr(v) for k, v in base_flag_sql().items()}
-
-
-def derived_flag_columns() -> dict[str, Column]:
-    return {k: F.expr(v) for k, v in derived_flag_sql().items()}
-
-
-def govt_column() -> Column:
-    return F.expr(GOVT_SQL)

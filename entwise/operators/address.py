@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entwise import schemas as S
-from entwise.functions.address import (GOVT_SQL, TRIMMED_AFTER_BASE, address_key_sql,
-                                       base_flag_sql, derived_flag_sql)
-from entwise.operators.skew import salted_join
+from entwise.functions.address import GOVT_SQL, address_key_sql, base_flag_sql, derived_flag_sql
+from entwise.operators.skew import spread_join
 
 GOVT_KEY = "no_dir_strtnm_ste_zip"
 
@@ -38,19 +37,15 @@ def government_keys(address: DataFrame, location_addresses: DataFrame, naics_sou
 
     address -(ain)- location -(lvid)- government report, location -(lvid)-
     entity -(pbin)- operating location with activity A/B/C. The output is a key
-    set, so only existence matters: reports and operating locations are
-    reduced to distinct keys (map-side) before they meet the address rows,
-    which keeps hot locations from multiplying rows.
+    set, so only existence matters: every step is a plain semi-join, which never
+    multiplies rows, and whose inputs are bare shuffles, so AQE splits a hot
+    location, entity or address. Only the final keys are made distinct.
     """
-    govt_lvids = government_source_rows(naics_source, excluded_supplier, years).distinct()
-    active = (operating_locations
-              .filter(F.substring("ol_activity_ind", 1, 1).isin(*activity))
-              .select("pbin").distinct())
-    # an entity with very many locations is a hot pbin: salted semi-join
-    active_lvids = salted_join(entity_location_assoc.select("lvid", "pbin"), active, ["pbin"],
-                               "left_semi").select("lvid").distinct()
-    lvids = govt_lvids.join(active_lvids, "lvid", "left_semi")
-    ains = location_addresses.join(lvids, "lvid", "left_semi").select("ain").distinct()
+    govt = government_source_rows(naics_source, excluded_supplier, years)
+    active = operating_locations.filter(F.substring("ol_activity_ind", 1, 1).isin(*activity)).select("pbin")
+    active_lvids = entity_location_assoc.select("lvid", "pbin").join(active, "pbin", "left_semi").select("lvid")
+    ains = (location_addresses.select("ain", "lvid").join(govt, "lvid", "left_semi")
+            .join(active_lvids, "lvid", "left_semi").select("ain"))
     keys = (address.join(ains, "ain", "left_semi")
             .selectExpr(f"trim({address_key_sql(with_unit=True)}) AS {GOVT_KEY}")
             .distinct())
@@ -65,22 +60,19 @@ def base_flags(address: DataFrame) -> DataFrame:
 def derived_flags(address_with_base: DataFrame) -> DataFrame:
     """Trims then residential / commercial / non-physical / complete flags."""
     trimmed = address_with_base.selectExpr(
-        *[f"trim({c}) AS {c}" if c in TRIMMED_AFTER_BASE else c for c in address_with_base.columns])
+        *[f"trim({c}) AS {c}" if c in S.TRIMMED_AFTER_BASE else c for c in address_with_base.columns])
     return trimmed.selectExpr("*", *[f"{e} AS {n}" for n, e in derived_flag_sql().items()])
 
 
-def classify(address: DataFrame, govt_keys: DataFrame,
-             hot_rows: int | None = None) -> DataFrame:
+def classify(address: DataFrame, govt_keys: DataFrame) -> DataFrame:
     """All 91 columns of the classified address table, in ``ADDRESS_LAYOUT`` order.
 
-    The government marker is attached with a left join on the 6-part key. An
-    empty address ('|||||') can be a very common key, so the join splits hot
-    keys (see ``operators.skew``); the key set is deduplicated after trimming,
-    which keeps the right side unique.
+    The government marker is attached with a left join on the 6-part key.
+    ``govt_keys`` holds each trimmed key once, as ``government_keys`` makes it
+    (``plans.jobs`` checks the written table). An empty address ('|||||') can be
+    a very common key, so the join spreads keys by a fixed factor.
     """
     flagged = derived_flags(base_flags(address))
-    marker = (govt_keys.select(F.trim(F.col(GOVT_KEY)).alias(GOVT_KEY),
-                               F.trim(F.col("govt")).alias("govt_flag"))
-              .groupBy(GOVT_KEY).agg(F.max("govt_flag").alias("govt_flag")))
-    joined = salted_join(flagged, marker, [GOVT_KEY], "left", hot_rows)
+    marker = govt_keys.select(GOVT_KEY, F.col("govt").alias("govt_flag"))
+    joined = spread_join(flagged, marker, [GOVT_KEY], "left")
     return joined.selectExpr(*[f"{GOVT_SQL} AS govt" if c == "govt" else c for c in S.ADDRESS_LAYOUT])

@@ -4,21 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from entwise.operators.skew import salted_join
 
-
-def not_yet_loaded(new: DataFrame, loaded: DataFrame, keys: list[str],
-                   hot_rows: int | None = None, key_rows: DataFrame | None = None) -> DataFrame:
+def not_yet_loaded(new: DataFrame, loaded: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``new`` with no row of ``loaded`` on ``keys`` (a left-anti join).
 
-    Rows with a NULL key part never match and are kept, like the
-    ``LEFT JOIN ... WHERE t.k IS NULL`` form. The target side is reduced to its
-    distinct keys first (map-side), so duplicates in the target cost nothing.
-    Many copies of one report in ``new`` make a hot key on the probe side; the
-    salted join spreads such keys over several tasks (see ``operators.skew``).
-    If the target key set is small at run time, AQE broadcasts it instead.
-    ``key_rows`` may give per-key counts from a cheaper input (see
-    ``skew.salted_join``).
+    Rows with a NULL key part never match and are kept, like the ``LEFT JOIN ...
+    WHERE t.k IS NULL`` form. The target is not deduplicated: that would not
+    change the result, and with two bare shuffles AQE splits a key that many new
+    rows share. Each side is read once.
     """
-    target_keys = loaded.select(*keys).dropDuplicates()
-    return salted_join(new, target_keys, keys, "left_anti", hot_rows, key_rows)
+    return new.join(loaded.select(*keys), keys, "left_anti").select(*new.columns)

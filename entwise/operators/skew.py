@@ -1,27 +1,18 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-A plain shuffle join sends every row of a key to one task, so a key holding a
-third of the data becomes a third of the job in a single task. AQE's skew-join
-split only applies when both join inputs are bare shuffle stages, which is not
-the case when one side is an aggregate (as in "attach the per-group maximum to
-each row"). The helpers here split hot keys explicitly:
-
-* per-key left row counts come from the aggregate that built the right side
-  (``attach_group_aggregates``) or from a seeded sample (``key_counts``);
-* keys with at least ``hot_rows`` left rows are *hot*. There are at most
-  ``rows(left) / hot_rows`` of them (for the sample: a key needs
-  ``SAMPLE_ROWS_AT_THRESHOLD`` sampled rows, and the sample holds
-  ``rows(left) * SAMPLE_ROWS_AT_THRESHOLD / hot_rows`` rows), and only the
-  ``MAX_HOT_KEYS`` largest are kept, which bounds the broadcast that carries
-  their right-side values whatever the data size;
-* every left row of a hot key takes its right values from that broadcast
-  (map-side) and a salt in ``[0, ceil(rows / hot_rows))`` from a deterministic
-  row hash, so in the shuffle join on (keys, salt) its rows spread over many
-  tasks and no task sees more than about ``hot_rows`` rows of one key;
-* cold keys get salt 0 and take their values from an ordinary shuffle join.
-
-The right side must be unique on the keys (an aggregate or a key set); then
-the result equals ``left.join(right, keys, how)``.
+Where both inputs of a join are bare shuffles, AQE splits a hot key itself; plain
+joins are used there. It does not when one input is an aggregate on the join
+keys, because no shuffle stands between the aggregate and the join. The two
+helpers here are for that case:
+
+* ``spread_join``: a fixed salt factor. Left rows take a salt from a hash of the
+  row, the right side's keys are repeated once for each salt. For small right
+  sides (key sets), which are cheaper to repeat than to look at twice.
+* ``attach_group_aggregates``: the right side is the left side's own aggregate
+  and may be as large, so only hot keys are spread. Their exact row counts come
+  from that aggregate. A key is hot if it holds more rows than a shuffle
+  partition's share, so there are fewer hot keys than shuffle partitions, which
+  bounds the broadcast that carries their values.
 """
 
 from __future__ import annotations
@@ -31,21 +22,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows per key above which a key is split. With N rows in total at most
-# N / DEFAULT_HOT_ROWS keys are hot (e.g. <= 200,000 keys for 1e12 rows).
-# Operators take ``hot_rows=None`` and read this value when they are called.
-DEFAULT_HOT_ROWS = 5_000_000
-# Rows whose key has a NULL part never match; spread them over this many salts.
-NULL_KEY_SPREAD = 1024
-# Hot keys are found from a sample that keeps about this many rows of a key
-# that sits exactly at the threshold (relative error ~1 %).
-SAMPLE_ROWS_AT_THRESHOLD = 10_000
-SAMPLE_SEED = 17
-# At most this many keys are treated as hot (the largest ones), which caps the
-# broadcast whatever the data size; any other key takes the exact shuffle path.
-MAX_HOT_KEYS = 100_000
+#: Tasks that the rows of one key may be dealt to by ``spread_join``.
+SALTS = 16
 
-_SALT, _SALTS, _ROWS, _MATCH, _HOT = "_ew_salt", "_ew_salts", "_ew_rows", "_ew_match", "_ew_hot_"
+_SALT, _SALTS, _ROWS, _HOT = "_ew_salt", "_ew_salts", "_ew_rows", "_ew_hot_"
 
 
 def _any_null(keys: list[str]) -> Column:
@@ -53,116 +33,51 @@ def _any_null(keys: list[str]) -> Column:
 
 
 def _row_hash(cols: list[str]) -> Column:
-    # The partition id spreads exact copies of a row that sit in different
-    # input partitions; it is stable when a task is re-run.
+    # the partition id spreads exact copies that sit in different input
+    # partitions; it is the same when a task is run again
     return F.expr("xxhash64(spark_partition_id(), " + ", ".join(f"`{c}`" for c in cols) + ")")
 
 
-def _largest(key_rows: DataFrame) -> DataFrame:
-    """The MAX_HOT_KEYS keys with the most rows (a top-n: each partition keeps
-    at most that many rows before the final merge)."""
-    return key_rows.orderBy(F.col(_ROWS).desc()).limit(MAX_HOT_KEYS)
-
-
-def _salts(rows: Column, hot_rows: int) -> Column:
-    return F.ceil(rows / F.lit(hot_rows)).cast("int")
+def spread_join(left: DataFrame, right: DataFrame, keys: list[str], how: str,
+                salts: int = SALTS) -> DataFrame:
+    """``left.join(right, keys, how)`` with the columns in ``left``'s order;
+    ``how`` is "inner", "left", "left_semi" or "left_anti"."""
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError("spread_join supports inner, left, left_semi and left_anti joins")
+    salted = left.withColumn(_SALT, F.pmod(_row_hash(left.columns), F.lit(salts)).cast("int"))
+    repeated = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    out = salted.join(repeated, [*keys, _SALT], how)
+    more = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in keys]
+    return out.select(*left.columns, *more)
 
 
-def _split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str,
-                hot: DataFrame, match: str) -> DataFrame:
-    """Join ``left`` to ``right`` (unique on keys). ``match`` is a column of
-    ``right`` that is never NULL; ``hot`` holds, per hot key, (keys, _ew_salts,
-    right columns) with ``match`` NULL when the key has no right row, and is
-    small enough to broadcast."""
-    vals = [c for c in right.columns if c not in keys and c != match]
-    left_cols = left.columns
-    clash = set(vals) & set(left_cols)
-    if clash:
-        raise ValueError(f"columns on both sides: {sorted(clash)}")
-    h = F.broadcast(hot.select(*keys, _SALTS, F.col(match).alias(_HOT + _MATCH),
-                               *[F.col(v).alias(_HOT + v) for v in vals]))
-    salt = (F.when(_any_null(keys), F.pmod(_row_hash(left_cols), F.lit(NULL_KEY_SPREAD)))
-            .when(F.col(_SALTS).isNull(), F.lit(0))
-            .otherwise(F.pmod(_row_hash(left_cols), F.col(_SALTS).cast("long"))))
-    marked = left.join(h, keys, "left").withColumn(_SALT, salt.cast("int"))
-    # Salt 0 for every right row, written so the optimizer cannot fold it into
-    # a constant: a literal would turn the salt into a post-join filter and
-    # the shuffle would again partition on the keys alone. It reads all right
-    # columns, so filters inferred on it stay above an aggregate that built
-    # ``right`` and the aggregate's shuffle can be reused by the hot branch.
-    zero = F.expr("CAST(pmod(xxhash64(" + ", ".join(f"`{c}`" for c in right.columns) + "), 1) AS INT)")
-    r = right.withColumn(_SALT, zero).withColumnRenamed(match, _MATCH)
-    joined = marked.join(r, keys + [_SALT], "left")
-    pick = "CASE WHEN {s} IS NOT NULL THEN `{h}` ELSE `{c}` END AS `{c}`"
-    out = joined.selectExpr(*[f"`{c}`" for c in left_cols],
-                            *[pick.format(s=_SALTS, h=_HOT + v, c=v) for v in vals + [_MATCH]])
-    if how in ("inner", "left_semi"):
-        out = out.filter(F.col(_MATCH).isNotNull())
-    elif how == "left_anti":
-        out = out.filter(F.col(_MATCH).isNull())
-    if how in ("left_semi", "left_anti"):
-        return out.select(*[F.col(f"`{c}`") for c in left_cols])
-    return out.drop(_MATCH)
-
-
-def key_counts(df: DataFrame, keys: list[str], hot_rows: int | None = None) -> DataFrame:
-    """(keys, _ew_rows): estimated rows per key, good enough to find keys with
-    at least ``hot_rows`` rows.
-
-    Counting every key exactly would aggregate (and shuffle) one row per
-    distinct key, which for nearly unique keys is as large as the data. A
-    seeded Bernoulli sample with ``SAMPLE_ROWS_AT_THRESHOLD / hot_rows`` of the
-    rows keeps the aggregate tiny; counts are scaled back up. For small
-    thresholds the fraction is 1 and the counts are exact.
-    """
-    hot_rows = hot_rows or DEFAULT_HOT_ROWS
-    fraction = min(1.0, SAMPLE_ROWS_AT_THRESHOLD / hot_rows)
-    src = df if fraction >= 1.0 else df.sample(withReplacement=False, fraction=fraction,
-                                                 seed=SAMPLE_SEED)
-    return src.groupBy(*keys).agg(
-        F.round(F.count(F.lit(1)) / F.lit(fraction)).cast("long").alias(_ROWS))
-
-
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
-                hot_rows: int | None = None, key_rows: DataFrame | None = None) -> DataFrame:
-    """``left.join(right, keys, how)`` for a right side unique on ``keys``;
-    ``how`` is "inner", "left", "left_semi" or "left_anti" (for the last two
-    ``right`` is a key set).
-
-    Hot keys are found from ``key_rows`` (see ``key_counts``), by default a
-    sampled count over ``left``. When ``left`` is expensive to recompute, pass
-    counts taken from a cheaper input that holds the same keys; the counts only
-    steer where rows go, never the result.
-    """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError("salted_join supports inner, left, left_semi and left_anti joins")
-    hot_rows = hot_rows or DEFAULT_HOT_ROWS
-    if key_rows is None:
-        key_rows = key_counts(left, keys, hot_rows)
-    hot_keys = (_largest(key_rows.filter((F.col(_ROWS) >= F.lit(hot_rows)) & ~_any_null(keys)))
-                .select(*keys, _salts(F.col(_ROWS), hot_rows).alias(_SALTS)))
-    # right rows of the hot keys: a map-side filter of ``right`` (<= #hot rows)
-    hot_vals = right.join(F.broadcast(hot_keys.select(*keys)), keys, "inner")
-    hot = hot_keys.join(hot_vals.withColumn(_MATCH, F.lit(True)), keys, "left")
-    return _split_join(left, right.withColumn(_MATCH, F.lit(True)), keys, how, hot, _MATCH)
-
-
-def attach_group_aggregates(detail: DataFrame, keys: list[str], aggs: dict[str, Column],
-                            hot_rows: int | None = None) -> DataFrame:
+def attach_group_aggregates(detail: DataFrame, keys: list[str], aggs: dict[str, Column]) -> DataFrame:
     """Every detail row with a non-NULL key plus the aggregates of its key group.
 
     Same rows as ``detail.join(detail.groupBy(keys).agg(...), keys)`` or as a
-    window over ``keys``, but the aggregate is combined map-side, computed once
-    for both the hot-key broadcast and the shuffle join, and hot groups are
-    split (see module doc). Rows with a NULL key part are dropped, as an
-    equi-join would drop them.
+    window over ``keys``, but the aggregate is combined map-side and computed
+    once for both the hot keys and the shuffle join. A row of a hot key takes
+    its values from the broadcast, and a salt that spreads it in the shuffle;
+    every other row has salt 0 and meets its group there. Rows with a NULL key
+    part are dropped, as an equi-join would drop them.
     """
-    hot_rows = hot_rows or DEFAULT_HOT_ROWS
+    clash = set(aggs) & set(detail.columns)
+    if clash:
+        raise ValueError(f"columns on both sides: {sorted(clash)}")
+    partitions = int(detail.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kept = detail.filter(~_any_null(keys))
-    agg = kept.groupBy(*keys).agg(*[e.alias(n) for n, e in aggs.items()],
-                                  F.count(F.lit(1)).alias(_ROWS))
-    # both branches read every aggregate column (the row count doubles as the
-    # match marker), so the aggregate is planned once and its shuffle reused
-    hot = (_largest(agg.filter(F.col(_ROWS) >= F.lit(hot_rows)))
-           .withColumn(_SALTS, _salts(F.col(_ROWS), hot_rows)))
-    return _split_join(kept, agg, keys, "inner", hot, _ROWS)
+    agg = kept.groupBy(*keys).agg(*[e.alias(n) for n, e in aggs.items()], F.count(F.lit(1)).alias(_ROWS))
+    total = agg.agg(F.sum(_ROWS)).scalar()
+    hot = agg.filter(F.col(_ROWS) * F.lit(partitions) > total)
+    share = F.ceil(F.col(_ROWS) * F.lit(partitions) / total).cast("int")
+    hot = F.broadcast(hot.select(*keys, share.alias(_SALTS), *[F.col(n).alias(_HOT + n) for n in aggs]))
+    salt = F.when(F.col(_SALTS).isNull(), F.lit(0)).otherwise(
+        F.pmod(_row_hash(detail.columns), F.col(_SALTS).cast("long")))
+    marked = kept.join(hot, keys, "left").withColumn(_SALT, salt.cast("int"))
+    # salt 0 for every group, written so that the optimizer cannot fold it: a
+    # literal would become a filter after a join that is partitioned on the keys
+    zero = F.expr("CAST(pmod(xxhash64(" + ", ".join(f"`{c}`" for c in agg.columns) + "), 1) AS INT)")
+    joined = marked.join(agg.withColumn(_SALT, zero), [*keys, _SALT], "left")
+    return joined.selectExpr(
+        *[f"`{c}`" for c in detail.columns],
+        *[f"CASE WHEN {_SALTS} IS NOT NULL THEN `{_HOT}{n}` ELSE `{n}` END AS `{n}`" for n in aggs])

@@ -11,13 +11,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from entwise import schemas as S
-from entwise.functions.text import leading_digits
 from entwise.operators.incremental import not_yet_loaded
-from entwise.operators.skew import key_counts, salted_join
+from entwise.operators.skew import spread_join
 
 SOURCE_KEYS = ["lvid", "supplier_nb", "dt_first_rpted", "dt_last_rpted"]
 # Anti-join keys against the loaded supplement. ``element`` is part of the key
@@ -39,9 +38,6 @@ class ElementSpec:
     def ty_cd_sql(self) -> str:
         return f"`{self.ty_cd_col}`" if self.ty_cd_col else "CAST(NULL AS STRING)"
 
-    def value(self) -> Column:
-        return leading_digits(self.value_col) if self.clean == "leading_digits" else F.col(self.value_col)
-
 
 SIC = ElementSpec(S.ELEMENT_SIC, "sic_cd", "sic_ty_cd")
 PHONE_AREA = ElementSpec(S.ELEMENT_PHONE_AREA, "ph_area_cd")
@@ -67,12 +63,13 @@ def entity_locations_of(changes: DataFrame, entity_locations: DataFrame) -> Data
 
     A semi-join: keeps each location row once, whatever the number of change
     rows per entity; entities without a location drop out (they would not
-    survive the join on ``lvid`` anyway). An entity with very many locations
-    is a hot key, so the semi-join is salted.
+    survive the join on ``lvid`` anyway). The change log has many rows per
+    entity, so it is reduced to its entities first; that makes it an aggregate,
+    so an entity with very many locations is spread by a fixed factor.
     """
     changed = changes.select("pbin").distinct()
     locs = entity_locations.select("pbin", F.col("child_pbin").alias("bin"), "lvid")
-    return salted_join(locs, changed, ["pbin"], "left_semi")
+    return spread_join(locs, changed, ["pbin"], "left_semi")
 
 
 def build(changes: DataFrame, entity_locations: DataFrame, suppliers: DataFrame,
@@ -95,9 +92,6 @@ def build(changes: DataFrame, entity_locations: DataFrame, suppliers: DataFrame,
         # only the elements being built can match; with a target partitioned
         # by element this prunes partitions, and it shrinks the anti-join shuffle
         elements = sorted({s.element for _, specs in sources for s in specs})
-        # hot load keys are counted on the source rows before the location
-        # join (scans + map-side counts), so that join is not run twice
-        located = not_yet_loaded(located, loaded.filter(F.col("element").isin(*elements)),
-                                 LOAD_KEYS, key_rows=key_counts(long, LOAD_KEYS))
+        located = not_yet_loaded(located, loaded.filter(F.col("element").isin(*elements)), LOAD_KEYS)
     named = located.join(suppliers.select("supplier_nb", "supplier_nm"), "supplier_nb", "left")
     return named.select(*S.SUPPLEMENT_LAYOUT)

@@ -102,10 +102,9 @@ def test_government_keys(spark):
 def test_classify_layout_and_govt(spark):
     address, loc_addr, naics, assoc, oper = small_world(spark)
     keys = addr.government_keys(address, loc_addr, naics, assoc, oper)
-    for hot in (5_000_000, 1):
-        out = addr.classify(address, keys, hot_rows=hot)
-        assert out.columns == S.ADDRESS_LAYOUT and len(out.columns) == 91
-        assert rows(out, "ain", "govt") == [("A1", "1"), ("A2", "0"), ("A3", "0")]
+    out = addr.classify(address, keys)
+    assert out.columns == S.ADDRESS_LAYOUT and len(out.columns) == 91
+    assert rows(out, "ain", "govt") == [("A1", "1"), ("A2", "0"), ("A3", "0")]
 
 
 def test_classify_scan_prunes_nothing_needed(spark, tmpdir_path):
