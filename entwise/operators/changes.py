@@ -9,10 +9,8 @@ from pyspark.sql import functions as F
 
 from entwise import schemas as S
 from entwise.functions.text import code_map, day_of
-from entwise.operators.incremental import not_yet_loaded
-from entwise.operators.skew import attach_group_aggregates
+from entwise.operators.skew import attach_group_aggregates, spread_join
 
-CHANGE_KEYS = ["pbin", "trn_ts", "table_nm", "column_nm"]
 GROUP_KEYS = ["pbin", "trn_ts", "column_nm"]
 
 
@@ -37,7 +35,7 @@ def exclude(df: DataFrame, excluded_users: Sequence[str]) -> DataFrame:
     return df.filter(cond)
 
 
-def max_per_key(df: DataFrame, hot_rows: int | None = None) -> DataFrame:
+def max_per_key(df: DataFrame) -> DataFrame:
     """Each row plus the text maxima of after/before over (pbin, day, column).
 
     The two maxima are independent and compared as strings ('9' > '10'). Rows
@@ -46,7 +44,7 @@ def max_per_key(df: DataFrame, hot_rows: int | None = None) -> DataFrame:
     return attach_group_aggregates(df, GROUP_KEYS, {
         "after": F.max("after_value"),
         "before": F.max("before_value"),
-    }, hot_rows=hot_rows)
+    })
 
 
 def drop_noops(df: DataFrame, null_safe: bool = False) -> DataFrame:
@@ -57,19 +55,38 @@ def drop_noops(df: DataFrame, null_safe: bool = False) -> DataFrame:
     return df.filter(~b.eqNullSafe(a) if null_safe else (b != a))
 
 
-def normalize(raw: DataFrame, excluded_users: Sequence[str] = (), loaded: DataFrame | None = None,
-              hot_rows: int | None = None) -> DataFrame:
+def normalize(raw: DataFrame, excluded_users: Sequence[str] = ()) -> DataFrame:
     """Full change-log normalisation in the ``CHANGES_LAYOUT`` order.
 
-    With ``loaded`` (the transformed table), rows whose normalised key
-    (pbin, day, table, column) is already there are skipped, so re-running the
-    load adds nothing. Keys are normalised on both sides before comparing.
+    Detail rows are kept, each with the maxima of its (pbin, day, column); so the
+    result for a day depends on all raw rows of that day and on nothing else.
     """
-    mapped = map_codes(raw)
-    if loaded is not None:
-        mapped = not_yet_loaded(mapped, loaded, CHANGE_KEYS)
-    out = drop_noops(max_per_key(exclude(mapped, excluded_users), hot_rows))
-    return out.select(*S.CHANGES_LAYOUT)
+    return drop_noops(max_per_key(exclude(map_codes(raw), excluded_users))).select(*S.CHANGES_LAYOUT)
+
+
+def touched_days(batch: DataFrame, raw: DataFrame) -> DataFrame:
+    """Raw rows of every day on which ``batch`` has a row. ``raw`` is the whole
+    raw log, the batch included."""
+    days = batch.select(day_of("trn_ts").alias("_day")).distinct()
+    return spread_join(raw.withColumn("_day", day_of("trn_ts")), days, ["_day"], "left_semi").drop("_day")
+
+
+def load_days(batch: DataFrame, raw: DataFrame, excluded_users: Sequence[str] = ()) -> DataFrame:
+    """Normalised rows of the days that ``batch`` touches, to replace these days
+    in the stored table.
+
+    Normalising whole days makes the stored table independent of how the raw log
+    is cut into loads: a late row changes the maxima of its group, and a load
+    that runs twice replaces the days by the same rows.
+    """
+    return normalize(touched_days(batch, raw), excluded_users)
+
+
+def replace_days(stored: DataFrame, recomputed: DataFrame, batch: DataFrame) -> DataFrame:
+    """The stored table after a load: the days that ``batch`` touches as
+    recomputed, all others as they were."""
+    days = batch.select(day_of("trn_ts").alias("trn_ts")).distinct()
+    return spread_join(stored, days, ["trn_ts"], "left_anti").unionByName(recomputed)
 
 
 def changed_entities(changes: DataFrame) -> DataFrame:

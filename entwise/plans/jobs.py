@@ -13,21 +13,28 @@ from pyspark.sql import functions as F
 
 from entwise import schemas as S
 from entwise import sinks
+from entwise.functions.text import day_of
 from entwise.operators import address as addr
 from entwise.operators import changes as chg
 from entwise.operators import supplement as sup
+from entwise.operators import survey
 from entwise.operators.quality import AUDITED_FLAGS
 from entwise.sources import snapshots as snap
 from entwise.sources.csv import csv_snapshot
 
 
-def normalize_changes(spark: SparkSession, raw_table: str, changes_table: str,
-                      excluded_users: Sequence[str]) -> dict:
-    """Append newly normalised change rows to ``changes_table`` (idempotent)."""
-    out = chg.normalize(spark.table(raw_table), excluded_users, loaded=spark.table(changes_table))
-    obs = Observation("normalize_changes")
-    sinks.append_by_name(out.observe(obs, F.count(F.lit(1)).alias("rows")), changes_table)
-    return obs.get
+def normalize_changes(spark: SparkSession, batch: DataFrame, raw: DataFrame, changes_table: str,
+                      excluded_users: Sequence[str]) -> list[str]:
+    """Load the change rows of every day that ``batch`` touches into
+    ``changes_table`` (partitioned by ``trn_ts``), computed from the whole raw log
+    ``raw``, the batch included. Any way to cut the log into loads, and a load
+    that runs again, gives the same table. Returns the days (a load's own)."""
+    day = batch.select(day_of("trn_ts").alias("day")).filter("day IS NOT NULL")
+    days = sorted(r.day for r in day.distinct().collect())
+    if days:
+        out = chg.normalize(raw.filter(day_of("trn_ts").isin(*days)), excluded_users)
+        sinks.replace_partitions(out, changes_table, "trn_ts", days)
+    return days
 
 
 def build_supplement(spark: SparkSession, changes_table: str, entity_locations_table: str,
@@ -50,6 +57,10 @@ def build_government_keys(spark: SparkSession, address_table: str, location_addr
                                 spark.table(naics_table), spark.table(assoc_table),
                                 spark.table(operating_table), **rule)
     sinks.replace_rows(keys, govt_table)
+    # the classification joins on the key and relies on this
+    twice = spark.table(govt_table).groupBy(addr.GOVT_KEY).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if twice.limit(1).count():
+        raise ValueError(f"{govt_table} holds a key twice")
 
 
 def classify_addresses(spark: SparkSession, address_table: str, govt_table: str,
@@ -67,28 +78,37 @@ def classify_addresses(spark: SparkSession, address_table: str, govt_table: str,
 
 
 def refresh_snapshots(spark: SparkSession, control_path: str, new_control_path: str,
-                      as_of: str | None = None, schemas: dict | None = None) -> DataFrame:
+                      as_of: str | None = None, schemas: dict | None = None) -> tuple[DataFrame, DataFrame]:
     """Reload every due table from its newest snapshot folder.
 
     The plan is computed once; the loop runs over the tables marked 'update'
     (control rows, one per table), each load being its own distributed job.
-    After every successful load the advanced control file is rewritten, so a
-    failure later in the run does not forget finished loads. Returns the plan
-    with the final status per table.
+    After every successful load a new version of the control file is written, so
+    a failure later in the run does not forget finished loads. Returns the plan
+    with the status per table, and the run report: the lists of updated, not
+    needed and failed tables.
     """
     rows = snap.read_control(spark, control_path).collect()  # control file: one row per table
     control = spark.createDataFrame(rows, S.CONTROL_SCHEMA)
     latest = snap.latest(snap.snapshot_folders(spark, sorted({r["source"] for r in rows})))
-    plan = snap.refresh_plan(control, latest, as_of)
-    plan_rows = plan.collect()
+    plan_rows = snap.refresh_plan(control, latest, as_of).collect()
+    schema = snap.refresh_plan(control, latest, as_of).schema
     loaded = []
     for r in plan_rows:
         if r["status"] != "update":
             continue
         path = f"{r['source'].rstrip('/')}/{r['snapshot']}"
-        schema = (schemas or {}).get(r["table"])
-        sinks.overwrite(csv_snapshot(spark, path, schema), r["destination"])
+        sinks.overwrite(csv_snapshot(spark, path, (schemas or {}).get(r["table"])), r["destination"])
         loaded.append((r["table"], r["snapshot"]))
         done = spark.createDataFrame(loaded, "table string, snapshot string")
         snap.write_control(snap.advance_control(control, done), new_control_path)
-    return spark.createDataFrame(plan_rows, plan.schema)
+    plan = spark.createDataFrame(plan_rows, schema)
+    return plan, snap.report(plan)
+
+
+def load_survey(spark: SparkSession, responses_table: str, accepted_table: str, invalid_table: str) -> None:
+    """Append the responses that pass the survey's checks to ``accepted_table`` and
+    the problems of the others to ``invalid_table``; both are created if absent."""
+    accepted, invalid = survey.load_responses(spark, spark.table(responses_table))
+    sinks.append_or_create(invalid, invalid_table)
+    sinks.append_or_create(accepted, accepted_table)

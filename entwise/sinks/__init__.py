@@ -1,5 +1,5 @@
-"""Writers: overwrite, append by name, replace rows, CSV export."""
+"""Writers: overwrite, append by name, replace rows or partitions, CSV export."""
 
 from entwise.sinks.writers import (  # noqa: F401
-    append_by_name, append_or_create, export_csv, overwrite, replace_rows,
+    append_by_name, append_or_create, export_csv, overwrite, replace_partitions, replace_rows,
 )

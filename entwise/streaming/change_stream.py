@@ -1,11 +1,10 @@
-"""The incremental change-log load as a file stream.
+"""The change-log load as a file stream.
 
-The batch job appends the change rows whose normalised key is not in the
-target yet. Driven by Structured Streaming, every micro-batch of newly arrived
-raw files runs that same step: normalise, anti-join against the target,
-append by name. The stream's checkpoint records which files were processed;
-if a batch is replayed after a failure, the anti-join makes the replay add
-nothing that is already stored, so the sink stays exactly-once in effect.
+Every micro-batch of newly arrived raw files runs the load that a scheduled job
+runs: the days that the batch touches are normalised from the whole raw folder
+and replace these days in the target. The table therefore does not depend on
+which files came in which batch, and a batch that is replayed after a failure
+writes the same rows again.
 
 ``trigger(availableNow=True)`` processes everything present and stops, which
 fits a scheduled job; a processing-time trigger keeps it running.
@@ -20,26 +19,26 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from entwise import schemas as S
-from entwise.operators.changes import normalize
-from entwise.sinks import append_by_name
+from entwise.plans.jobs import normalize_changes
 
 
 def start_change_stream(spark: SparkSession, raw_path: str, changes_table: str,
                         checkpoint_path: str, excluded_users: Sequence[str] = (),
                         schema: StructType = S.RAW_CHANGES_SCHEMA, fmt: str = "parquet",
-                        available_now: bool = True,
-                        max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the stream; returns the running query (call ``awaitTermination``)."""
-    reader = spark.readStream.schema(schema).format(fmt)
-    if fmt == "csv":
-        reader = reader.option("header", True)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+                        available_now: bool = True, files_per_batch: int | None = None) -> StreamingQuery:
+    """Start the stream; returns the running query (call ``awaitTermination``).
+    ``files_per_batch`` bounds the files a batch looks for new days in; it does
+    not change the table."""
+    options = {"header": "true"} if fmt == "csv" else {}
+    reader = spark.readStream.schema(schema).format(fmt).options(**options)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     raw = reader.load(raw_path)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        target = batch.sparkSession.table(changes_table)
-        append_by_name(normalize(batch, excluded_users, loaded=target), changes_table)
+        session = batch.sparkSession
+        log = session.read.schema(schema).format(fmt).options(**options).load(raw_path)
+        normalize_changes(session, batch, log, changes_table, excluded_users)
 
     writer = (raw.writeStream.foreachBatch(load_batch)
               .option("checkpointLocation", checkpoint_path)

@@ -40,18 +40,13 @@ def test_null_safe_option_keeps_inserts(spark):
     assert ("5", "y") in [(r.pbin, r.before) for r in kept.collect()]
 
 
-def test_incremental_normalize_is_idempotent(spark):
+def test_load_days_returns_the_touched_days_only(spark):
     df = raw_df(spark)
-    first = chg.normalize(df, ["JB"])
-    second = chg.normalize(df, ["JB"], loaded=first)
-    assert second.count() == 0
-
-
-def test_incremental_skips_loaded_days_only(spark):
-    df = raw_df(spark)
-    loaded = chg.normalize(df.filter(F.col("trn_ts") < "2024-01-02"), ["JB"])
-    fresh = chg.normalize(df, ["JB"], loaded=loaded)
-    assert [r.pbin for r in fresh.collect()] == ["6"]
+    late = df.filter(F.col("trn_ts") >= "2024-01-02")
+    assert [r.pbin for r in chg.load_days(late, df, ["JB"]).collect()] == ["6"]
+    stored = chg.normalize(df.filter(F.col("trn_ts") < "2024-01-02"), ["JB"])
+    after = chg.replace_days(stored, chg.load_days(late, df, ["JB"]), late)
+    assert rows(after) == rows(chg.normalize(df, ["JB"]))
 
 
 def test_max_per_key_equals_window_form_and_salted_path(spark):
@@ -63,9 +58,8 @@ def test_max_per_key_equals_window_form_and_salted_path(spark):
     w = Window.partitionBy(*chg.GROUP_KEYS)
     expected = df.withColumns({"after": F.max("after_value").over(w),
                                "before": F.max("before_value").over(w)})
-    for hot in (5_000_000, 3):
-        got = chg.max_per_key(df, hot_rows=hot).select(*expected.columns)
-        assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+    got = chg.max_per_key(df).select(*expected.columns)
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
 
 
 def test_changed_entities_distinct(spark):

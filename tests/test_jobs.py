@@ -1,6 +1,7 @@
 """End-to-end jobs against catalog tables built from the sf0.001 driver tables."""
 
 from entwise import schemas as S
+from entwise.operators import changes as chg
 from entwise.operators import supplement as sup
 from entwise.plans import jobs
 from entwise.sources import adapters as A
@@ -18,10 +19,14 @@ def empty(spark, schema, name):
 
 def test_change_and_supplement_jobs_are_idempotent(spark):
     save(A.raw_changes(spark, SF), "j_raw_changes")
-    empty(spark, S.CHANGES_SCHEMA, "j_changes")
-    first = jobs.normalize_changes(spark, "j_raw_changes", "j_changes", A.EXCLUDED_USERS)
-    assert first["rows"] > 0 and spark.table("j_changes").count() == first["rows"]
-    assert jobs.normalize_changes(spark, "j_raw_changes", "j_changes", A.EXCLUDED_USERS)["rows"] == 0
+    raw = spark.table("j_raw_changes")
+    spark.createDataFrame([], S.CHANGES_SCHEMA).write.partitionBy("trn_ts").saveAsTable("j_changes")
+    early = raw.filter(raw.trn_ts < A.LOADED_BEFORE_TIME)
+    assert jobs.normalize_changes(spark, early, early, "j_changes", A.EXCLUDED_USERS)
+    late = raw.filter(raw.trn_ts >= A.LOADED_BEFORE_TIME)
+    for _ in range(2):  # a second run changes nothing
+        jobs.normalize_changes(spark, late, raw, "j_changes", A.EXCLUDED_USERS)
+        assert spark.table("j_changes").count() == chg.normalize(raw, A.EXCLUDED_USERS).count() > 0
 
     save(A.entity_locations(spark, SF), "j_locations")
     save(A.suppliers(spark, SF), "j_suppliers")
@@ -61,3 +66,12 @@ def test_address_jobs(spark):
     assert audit["rows"] == out.count() == spark.table("j_address").count()
     assert audit["rsdl_ones"] == out.filter("rsdl = '1'").count()
     assert out.filter("govt = '1'").count() > 0
+
+
+def test_survey_load(spark):
+    save(A.survey_responses(spark, SF), "j_responses")
+    jobs.load_survey(spark, "j_responses", "j_accepted", "j_invalid")
+    bad = {r.respondent_id for r in spark.table("j_invalid").collect()}
+    good = {r.respondent_id for r in spark.table("j_accepted").collect()}
+    assert good and bad and not good & bad
+    assert spark.table("j_accepted").columns == spark.table("j_responses").columns
