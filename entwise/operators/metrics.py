@@ -32,10 +32,10 @@ def totals(transactions: DataFrame, analysis: DataFrame) -> DataFrame:
 
 def structural_pct(transactions: DataFrame) -> DataFrame:
     """Share of structural changes in percent, and its label ('%2.0f%%' style,
-    rounded half up)."""
+    exact ties to the even number, as that format rounds)."""
     agg = transactions.agg((F.lit(100.0) * F.sum(F.abs(F.col("strChange")))
                             / F.count(F.lit(1))).alias("structural_pct"))
-    rounded = F.round(F.col("structural_pct"), 0).cast("bigint")
+    rounded = F.bround(F.col("structural_pct"), 0).cast("bigint")
     return agg.withColumn("label", F.format_string("%2d%%", rounded))
 
 

@@ -24,9 +24,10 @@ def invalid_responses(spark: SparkSession, responses: DataFrame) -> DataFrame:
 
     ``responses`` is long-form (respondent_id, input_id, answer). Output rows:
     (respondent_id, input_id, answer, problem) with problem 'missing' (required
-    answer NULL or blank), 'unknown_question', or 'invalid_option' (choice
-    answer not among the options). The question dimension is a 14-row literal,
-    so it is broadcast; the responses are never shuffled.
+    answer NULL or blank, or no row for the question at all), 'unknown_question',
+    or 'invalid_option' (choice answer not among the options). The question
+    dimension is a 14-row literal, so it is broadcast. Questions without a row
+    come from one aggregate with a flag for each question per respondent.
     """
     dim = F.broadcast(spark.createDataFrame(
         [(iid, itype, 1) for _, _, itype, iid in S.SURVEY_QUESTIONS],
@@ -41,5 +42,20 @@ def invalid_responses(spark: SparkSession, responses: DataFrame) -> DataFrame:
                .when(blank & (F.col("req") == 1), F.lit("missing"))
                .when(F.col("input_type").isin(*CHOICE_TYPES) & ~blank & F.col("is_option").isNull(),
                      F.lit("invalid_option")))
-    return (r.select("respondent_id", "input_id", "answer", problem.alias("problem"))
-            .filter(F.col("problem").isNotNull()))
+    found = (r.select("respondent_id", "input_id", "answer", problem.alias("problem"))
+             .filter(F.col("problem").isNotNull()))
+    ids = [iid for _, _, _, iid in S.SURVEY_QUESTIONS]
+    asked = responses.groupBy("respondent_id").agg(
+        *[F.max(F.col("input_id").eqNullSafe(F.lit(i))).alias(i) for i in ids])
+    absent = asked.select("respondent_id", F.explode(F.filter(
+        F.array(*[F.when(~F.col(i), F.lit(i)) for i in ids]), lambda x: x.isNotNull())).alias("input_id"))
+    return found.unionByName(absent.select(
+        "respondent_id", "input_id", F.lit(None).cast("string").alias("answer"), F.lit("missing").alias("problem")))
+
+
+def load_responses(spark: SparkSession, responses: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted, invalid): a respondent's answers are accepted only if none of
+    them breaks the survey definition."""
+    invalid = invalid_responses(spark, responses)
+    return responses.join(invalid.select("respondent_id"), "respondent_id", "left_anti") \
+        .select(*responses.columns), invalid

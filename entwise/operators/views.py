@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PIVOT_AGGS = {"count", "sum", "avg", "min", "max"}
+MAX_PIVOT_VALUES = 10_000
 
 
 def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -18,14 +19,31 @@ def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*columns)
 
 
-def page(df: DataFrame, sort_col: str, ascending: bool = True, offset: int = 0,
-         size: int = 10) -> DataFrame:
+def page(df: DataFrame, sort_col: str, ascending: bool = True, size: int = 10,
+         after: Mapping[str, object] | None = None) -> DataFrame:
     """One page of rows ordered by ``sort_col`` (NULLs last), ties broken by all
-    columns so the page is deterministic. Each partition contributes at most
-    offset+size rows to the final merge."""
-    key = F.col(sort_col).asc_nulls_last() if ascending else F.col(sort_col).desc_nulls_last()
-    ties = [F.col(c).asc_nulls_last() for c in df.columns if c != sort_col]
-    return df.orderBy(key, *ties).offset(offset).limit(size)
+    other columns, so the page is deterministic.
+
+    ``after`` is the last row of the page before (a value for every column): only
+    rows behind it are sorted, and each partition hands on ``size`` rows at most,
+    however deep the page is. NULLs in it sort last, as in the order.
+    """
+    order = [(sort_col, ascending)] + [(c, True) for c in df.columns if c != sort_col]
+    if after is not None:
+        missing = [c for c, _ in order if c not in after]
+        if missing:
+            raise ValueError(f"after lacks {missing}")
+        behind = F.lit(False)
+        for c, up in reversed(order):
+            col, last = F.col(c), F.lit(after[c])
+            if after[c] is None:  # nothing of this column sorts behind a NULL
+                behind = col.isNull() & behind
+            else:
+                beyond = col > last if up else col < last
+                behind = col.isNull() | beyond | ((col == last) & behind)
+        df = df.filter(behind)
+    return df.orderBy(*[F.col(c).asc_nulls_last() if up else F.col(c).desc_nulls_last()
+                        for c, up in order]).limit(size)
 
 
 def sample_rows(df: DataFrame, key: str, n: int = 1000, seed: str = "0") -> DataFrame:
@@ -60,19 +78,30 @@ def feature_scatter(analysis: DataFrame, feature: str) -> DataFrame:
                            F.col(feature).alias("value"))
 
 
-def pivot(df: DataFrame, rows: Sequence[str], column: str, values: Sequence[str],
-          agg: str = "count", measure: str | None = None) -> DataFrame:
+def pivot(df: DataFrame, rows: Sequence[str], column: str, values: Sequence[str] | None = None,
+          agg: str = "count", measure: str | None = None, other: str = "other") -> DataFrame:
     """Pivot table: ``rows`` x ``values`` of ``column`` with count/sum/avg/min/max.
 
-    The pivot values are explicit, so no extra job collects them and the
-    output width is fixed. Cells without rows are NULL (0 for count).
+    Without ``values`` they are looked up first (a column with more than
+    ``MAX_PIVOT_VALUES`` is refused, as Spark's own pivot does). Rows whose value
+    is not listed, or NULL, go to the column ``other`` (with underscores added if
+    a value has that name), so the cells of a line always cover all of its rows. Cells without rows are NULL (0 for count).
     """
     if agg not in PIVOT_AGGS:
         raise ValueError(f"agg must be one of {sorted(PIVOT_AGGS)}")
-    g = df.groupBy(*rows).pivot(column, list(values))
-    if agg == "count":
-        out = g.agg(F.count(F.lit(1)))
-        return out.fillna(0, subset=list(values))
-    if measure is None:
+    if agg != "count" and measure is None:
         raise ValueError("measure is required for " + agg)
+    if values is None:
+        found = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(MAX_PIVOT_VALUES + 1).collect()
+        if len(found) > MAX_PIVOT_VALUES:
+            raise ValueError(f"{column} has more than {MAX_PIVOT_VALUES} values")
+        values = sorted(str(r[0]) for r in found)
+    while other.lower() in {v.lower() for v in values}:
+        other += "_"
+    cell = F.col(column).cast("string")
+    cell = F.when(cell.isin(*values), cell).otherwise(F.lit(other)) if values else F.lit(other)
+    cells = [*values, other]
+    g = df.withColumn(column, cell).groupBy(*rows).pivot(column, cells)
+    if agg == "count":
+        return g.agg(F.count(F.lit(1))).fillna(0, subset=cells)
     return g.agg(getattr(F, agg)(F.col(measure)))

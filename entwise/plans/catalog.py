@@ -6,17 +6,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from entwise.operators import (address as addr, changes as chg, cleaning, metrics, quality,
                                supplement as sup, survey, views)
 from entwise.operators.incremental import not_yet_loaded
 from entwise.sources import adapters as A
+from entwise.sources import snapshots as snap
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 STRUCTURAL_SHOW_VARS = ["pbin", "transactionID", "trn_day"]
-PIVOT_ELEMENTS = ["Name", "SIC", "Sls_Size", "CHILD_PBIN"]
+PIVOT_ELEMENTS = ["Name", "SIC", "Sls_Size"]
+# the last row of a page some way into the table
+PAGE_AFTER = {"pRatio": 0.05, "PBIN": 100, "SUPPLIER_NM": "", "COLUMN_NM": "", "tsoRatio": 0.0}
 
 
 def _normalized(spark, d):
@@ -44,6 +46,27 @@ def _classified(spark, d):
     return addr.classify(A.address(spark, d), _government_keys(spark, d))
 
 
+def _changes_incremental(spark, d):
+    raw = A.raw_changes(spark, d)
+    return chg.load_days(raw.filter(raw.trn_ts >= A.LOADED_BEFORE_DAY), raw, A.EXCLUDED_USERS)
+
+
+def _changes_split_day(spark, d):
+    """The stored table after two loads, cut inside a day."""
+    raw = A.raw_changes(spark, d)
+    early, late = raw.filter(raw.trn_ts < A.LOADED_BEFORE_TIME), raw.filter(raw.trn_ts >= A.LOADED_BEFORE_TIME)
+    return chg.replace_days(chg.normalize(early, A.EXCLUDED_USERS), chg.load_days(late, raw, A.EXCLUDED_USERS), late)
+
+
+def _pivoted(spark, d, agg):
+    """All values of the column, looked up at run time."""
+    return views.pivot(A.transactions(spark, d), ["SUPPLIER_NB"], "COLUMN_NM", None, agg, "transactionID")
+
+
+def _refresh_plan(spark, d):
+    return snap.refresh_plan(A.control_rows(spark, d), snap.latest(A.snapshot_names(spark, d)), A.AS_OF)
+
+
 QUERIES: dict[str, Query] = {
     # supplements (one operator, several specs)
     "supplement_sic": lambda s, d: _supplement(s, d, [(A.sic_source, [sup.SIC])]),
@@ -54,13 +77,14 @@ QUERIES: dict[str, Query] = {
     # change log
     "changed_entities": lambda s, d: chg.changed_entities(_normalized(s, d)),
     "not_yet_loaded": lambda s, d: not_yet_loaded(
-        sup.unpivot_elements(A.sic_source(s, d), [sup.SIC]), A.loaded_supplement(s, d), sup.LOAD_KEYS),
+        sup.unpivot_elements(A.sic_source(s, d), [sup.SIC]),
+        A.loaded_supplement(s, d, [(A.sic_source, [sup.SIC])]), sup.LOAD_KEYS),
     "change_code_map": lambda s, d: chg.map_codes(A.raw_changes(s, d)),
     "changes_max_per_key": lambda s, d: chg.max_per_key(
         chg.exclude(chg.map_codes(A.raw_changes(s, d)), A.EXCLUDED_USERS)),
     "changes_normalized": _normalized,
-    "changes_incremental": lambda s, d: chg.normalize(A.raw_changes(s, d), A.EXCLUDED_USERS,
-                                                      loaded=A.loaded_changes(s, d)),
+    "changes_incremental": _changes_incremental,
+    "changes_incremental_split_day": _changes_split_day,
     "clean_changes": lambda s, d: cleaning.clean_changes(_normalized(s, d)),
     "clean_supplement": lambda s, d: cleaning.clean_supplement(_supplement(s, d, ALL_PARTS)),
     "location_attach": lambda s, d: cleaning.attach_location(
@@ -92,10 +116,21 @@ QUERIES: dict[str, Query] = {
     "feature_scatter": lambda s, d: views.feature_scatter(A.analysis(s, d), "pRatio"),
     "pivot_view": lambda s, d: views.pivot(A.transactions(s, d), ["SUPPLIER_NB"], "COLUMN_NM",
                                            PIVOT_ELEMENTS, "count"),
+    "pivot_sum": lambda s, d: _pivoted(s, d, "sum"),
+    "pivot_avg": lambda s, d: _pivoted(s, d, "avg"),
+    "pivot_min": lambda s, d: _pivoted(s, d, "min"),
+    "pivot_max": lambda s, d: _pivoted(s, d, "max"),
     "choices": lambda s, d: views.choices(A.transactions(s, d), "COLUMN_NM"),
-    "page_view": lambda s, d: views.page(A.analysis(s, d), "pRatio", ascending=False, offset=0, size=25),
+    "page_view": lambda s, d: views.page(A.analysis(s, d), "pRatio", ascending=False, size=25),
+    "page_view_next": lambda s, d: views.page(A.analysis(s, d), "pRatio", ascending=False, size=25,
+                                              after=PAGE_AFTER),
     "sample_rows": lambda s, d: views.project(
         views.sample_rows(A.structural(s, d), "transactionID", 1000, "42"), STRUCTURAL_SHOW_VARS),
+    # refresh decision
+    "snapshot_latest": lambda s, d: snap.latest(A.snapshot_names(s, d)),
+    "refresh_plan": _refresh_plan,
+    "control_advanced": lambda s, d: snap.advance_control(
+        A.control_rows(s, d), _refresh_plan(s, d).filter("status = 'update'")),
     "survey_invalid": lambda s, d: survey.invalid_responses(s, A.survey_responses(s, d)),
 }
 
@@ -106,6 +141,3 @@ def queries() -> dict[str, Query]:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["supplement_sic"](spark, sf_dir)
-
-
-__all__ = ["queries", "flagship", "F"]

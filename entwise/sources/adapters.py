@@ -2,8 +2,8 @@
 
 The driver ships TPC-H-like tables with no NULLs and no orphans. These recipes
 derive the entity-data tables from them with deterministic rules that also
-create NULLs, padded codes and unmapped values, so every branch of the rules is
-exercised. Each recipe is a projection (plus at most one join), so its size
+create NULLs, padded codes, sentinel dates, copies and unmapped values;
+tests assert that the registered queries return rows that each rule changed. Each recipe is a projection (plus at most one join), so its size
 grows with the input. The DuckDB texts in ``plans.oracle`` mirror them.
 """
 
@@ -27,6 +27,8 @@ EVENT_COLUMN_CODES = {
 }
 EXCLUDED_USERS = ["U0"]
 LOADED_BEFORE_DAY = "2024-01-11"          # change days already transformed
+LOADED_BEFORE_TIME = "2024-01-11 12:00:00"  # a load that ended inside a day
+AS_OF = "1998-06-01"                      # the day of the refresh decision
 LOADED_BEFORE_SHIPDATE = "1998-01-01"     # supplement reports already loaded
 FIXTURE_GOVT_YEARS = ["1998", "1999", "2000", "2001"]
 ANALYSIS_ELEMENTS = ["Name", "Emp_Size", "Sls_Size", "AIN", "Phone_AREA", "Phone_PFX", "SIC"]
@@ -40,17 +42,8 @@ PROVINCES = ["San Jose", "Alajuela", "Heredia", "Cartago", "Guanacaste", "Puntar
 GENDERS = ["M", "F", "Other", None]
 
 
-_READS: dict[tuple[str, str], DataFrame] = {}
-
-
 def load(spark: SparkSession, sf_dir: str, name: str, cols: Sequence[str] | None = None) -> DataFrame:
-    """Parquet table, read once per session (re-reading would repeat the
-    footer/schema job for every adapter that uses the table)."""
-    path = f"{sf_dir}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(path)
-    df = _READS[key]
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*cols) if cols else df
 
 
@@ -69,50 +62,54 @@ def _map_sql(col: str, mapping: dict) -> str:
     return f"CASE {col} {whens} END"
 
 
+# both sentinel dates in both columns; some reports occur twice, the second time
+# with a blank before the date, which only the cleaning makes equal
 REPORT_SQL = [
     "CAST(l_orderkey AS STRING) AS lvid",
     "CAST(l_suppkey AS INT) AS supplier_nb",
-    "date_format(date_sub(CAST(l_shipdate AS DATE), 30), 'MM/dd/yyyy') AS dt_first_rpted",
-    "date_format(CAST(l_shipdate AS DATE), 'MM/dd/yyyy') AS dt_last_rpted",
+    "CASE l_orderkey % 23 WHEN 0 THEN '0401-01-01' WHEN 1 THEN '01/01/0401' "
+    "ELSE date_format(date_sub(CAST(l_shipdate AS DATE), 30), 'MM/dd/yyyy') END AS dt_first_rpted",
+    "concat(copy, CASE (l_orderkey + l_linenumber) % 29 WHEN 0 THEN '0401-01-01' WHEN 1 THEN '01/01/0401' "
+    "ELSE date_format(CAST(l_shipdate AS DATE), 'MM/dd/yyyy') END) AS dt_last_rpted",
 ]
+COPIES_SQL = "explode(CASE WHEN l_orderkey % 31 = 0 THEN array('', ' ') ELSE array('') END) AS copy"
 
 
 # --- change log -------------------------------------------------------------
 
 def raw_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = load(spark, sf_dir, "events", ["ts", "user_id", "event_type", "value", "props"])
+    ev = load(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "value", "props"])
+    after, before = "CAST(floor(value) AS STRING)", "get_json_object(props, '$.k')"
     return ev.selectExpr(
         "CAST(user_id AS STRING) AS pbin",
         "substring(CAST(ts AS STRING), 1, 19) AS trn_ts",   # no time-zone round trip
         "upper(event_type) AS table_nm",
         f"{_map_sql('event_type', EVENT_COLUMN_CODES)} AS column_nm",
-        "CAST(floor(value) AS STRING) AS after_value",
-        "get_json_object(props, '$.k') AS before_value",
+        # padded, absent, non-numeric and fractional values; some differ by blanks only
+        f"CASE event_id % 11 WHEN 0 THEN concat('00', {after}) WHEN 1 THEN NULL WHEN 2 THEN 'N/A' "
+        f"WHEN 3 THEN concat({after}, '.5') ELSE {after} END AS after_value",
+        f"CASE event_id % 13 WHEN 0 THEN concat('0', {before}) WHEN 1 THEN NULL "
+        f"WHEN 2 THEN concat(' ', {after}, ' ') ELSE {before} END AS before_value",
         "CASE WHEN user_id % 10 = 9 THEN NULL ELSE concat('U', CAST(user_id % 10 AS STRING)) END "
         "AS sbu_user_id",
         "CAST(user_id % 100 AS INT) AS sbu_supplier_nb",
     )
 
 
-def loaded_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The transformed table as an earlier run left it: all change days before
-    LOADED_BEFORE_DAY, normalised."""
-    from entwise.operators.changes import normalize
-    raw = raw_changes(spark, sf_dir).filter(F.col("trn_ts") < F.lit(LOADED_BEFORE_DAY))
-    return normalize(raw, EXCLUDED_USERS)
-
-
 # --- entities and supplier sources -------------------------------------------
 
 def entity_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = load(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"])
-    o = (load(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus"])
-         .filter(F.col("o_orderstatus") == "F"))
+    o = load(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
+    # some locations are stored a second time with a padded id, some have none
+    lvid = "CAST(o_orderkey AS STRING)"
+    lvids = (f"explode(CASE WHEN o_orderkey % 37 = 5 THEN array(CAST(NULL AS STRING)) WHEN o_orderkey % 17 = 0 "
+             f"THEN array({lvid}, concat(' ', {lvid}, ' ')) ELSE array({lvid}) END) AS lvid")
     j = c.join(o, c.c_custkey == o.o_custkey, "left")
     return j.selectExpr(
         "CAST(c_custkey AS STRING) AS pbin",
         "CAST(c_custkey * 10 AS STRING) AS child_pbin",
-        "CAST(o_orderkey AS STRING) AS lvid",
+        lvids,
         "c_mktsegment AS std_usps_nprf_str",
         "concat('CITY', CAST(c_nationkey AS STRING)) AS std_city_nm",
         "lpad(CAST(c_nationkey AS STRING), 2, '0') AS std_state_cd",
@@ -125,11 +122,11 @@ def entity_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _lineitem_report(spark: SparkSession, sf_dir: str, extra: Sequence[str],
                      shipped_before: str | None = None) -> DataFrame:
-    li = load(spark, sf_dir, "lineitem", ["l_orderkey", "l_suppkey", "l_shipdate", *extra])
+    li = load(spark, sf_dir, "lineitem", ["l_orderkey", "l_suppkey", "l_shipdate", "l_linenumber", *extra])
     if shipped_before:
         # on the raw column, so the scan takes it as a pushed filter
         li = li.filter(F.col("l_shipdate") < F.lit(shipped_before).cast("timestamp_ntz"))
-    return li
+    return li.selectExpr("*", COPIES_SQL)
 
 
 def sic_source(spark: SparkSession, sf_dir: str, shipped_before: str | None = None) -> DataFrame:
@@ -144,7 +141,7 @@ def sic_source(spark: SparkSession, sf_dir: str, shipped_before: str | None = No
 
 
 def phone_source(spark: SparkSession, sf_dir: str, shipped_before: str | None = None) -> DataFrame:
-    li = _lineitem_report(spark, sf_dir, ["l_partkey", "l_linenumber"], shipped_before)
+    li = _lineitem_report(spark, sf_dir, ["l_partkey"], shipped_before)
     return li.selectExpr(
         *REPORT_SQL,
         "CAST(l_linenumber + 200 AS STRING) AS ph_area_cd",
@@ -158,8 +155,8 @@ def size_source(spark: SparkSession, sf_dir: str, shipped_before: str | None = N
     cents = "CAST(round(l_extendedprice * 100) AS BIGINT)"
     return li.selectExpr(
         *REPORT_SQL,
-        f"concat(CAST({cents} div 100 AS STRING), '.', lpad(CAST({cents} % 100 AS STRING), 2, '0')) "
-        "AS act_sls_sz",
+        f"CASE WHEN l_orderkey % 13 = 0 THEN 'N/A' ELSE concat(CAST({cents} div 100 AS STRING), '.', "
+        f"lpad(CAST({cents} % 100 AS STRING), 2, '0')) END AS act_sls_sz",
         "l_linestatus AS emp_sls_sz_ty_cd",
         "CAST(floor(l_quantity) AS STRING) AS act_emp_sz",
         "l_returnflag AS sls_sz_cd",
@@ -167,7 +164,8 @@ def size_source(spark: SparkSession, sf_dir: str, shipped_before: str | None = N
 
 
 def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = load(spark, sf_dir, "supplier", ["s_suppkey", "s_name"])
+    """Suppliers with an odd number; reports of the others have no name."""
+    s = load(spark, sf_dir, "supplier", ["s_suppkey", "s_name"]).filter("s_suppkey % 2 = 1")
     return s.selectExpr("CAST(s_suppkey AS INT) AS supplier_nb", "s_name AS supplier_nm")
 
 
@@ -276,7 +274,7 @@ def analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def survey_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long-form answers, one respondent per customer; some provinces are not
-    options and some genders are missing."""
+    options, some genders are missing and some ages have no row."""
     c = load(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal",
                                          "c_mktsegment"])
     answers = [
@@ -289,4 +287,25 @@ def survey_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     stack = ", ".join(f"'{i}', CAST({v} AS STRING)" for i, v in answers)
     return c.selectExpr("c_custkey AS respondent_id",
-                        f"stack({len(answers)}, {stack}) AS (input_id, answer)")
+                        f"stack({len(answers)}, {stack}) AS (input_id, answer)") \
+        .filter("NOT (respondent_id % 10 = 4 AND input_id = 'age')")
+
+
+# --- refresh control -----------------------------------------------------------
+
+def control_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A control row for each customer; some tables are never refreshed."""
+    c = load(spark, sf_dir, "customer", ["c_custkey"])
+    return c.selectExpr(
+        "concat('table_', c_custkey) AS table", "concat('/src/', c_custkey) AS source",
+        "concat('db.t', c_custkey) AS destination",
+        "date_format(date_add(DATE '1996-01-01', CAST(c_custkey * 37 % 1000 AS INT)), 'yyyyMMdd') AS last_update",
+        "CAST(c_custkey % 5 * 30 AS INT) AS update_freq")
+
+
+def snapshot_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder for each order under its customer's source, some with other names."""
+    o = load(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    return o.selectExpr("concat('/src/', o_custkey) AS source",
+                        "CASE WHEN o_orderkey % 7 = 0 THEN concat('tmp_', o_orderkey) "
+                        "ELSE date_format(CAST(o_orderdate AS DATE), 'yyyyMMdd') END AS snapshot")

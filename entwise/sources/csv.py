@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def csv_snapshot(spark: SparkSession, path: str, schema: StructType | None = None,
@@ -19,8 +19,15 @@ def csv_snapshot(spark: SparkSession, path: str, schema: StructType | None = Non
     return reader.csv(path)
 
 
+CORRUPT = "_corrupt_record"
+
+
 def csv_ragged(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Header CSV whose short rows are padded with NULLs (PERMISSIVE mode)."""
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
+    """Header CSV whose short rows are padded with NULLs. Rows with surplus or
+    unreadable fields keep their whole line in the column ``_corrupt_record``
+    (as do short rows), so nothing is cut silently; it is NULL for all others."""
+    if schema is None:
+        schema = spark.read.option("header", True).option("inferSchema", True).csv(path).schema
+    schema = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    return (spark.read.option("header", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).schema(schema).csv(path))

@@ -8,6 +8,7 @@ table or per folder; the data loads themselves are Spark jobs.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,17 +46,41 @@ def latest(folders: DataFrame) -> DataFrame:
             .groupBy("source").agg(F.max("snapshot").alias("latest")))
 
 
+VERSION_PATTERN = r"v[0-9]{8}"
+
+
+def control_versions(spark: SparkSession, path: str) -> list[str]:
+    """Complete versions of the control file under ``path``, oldest first."""
+    names = sorted(n for n in list_folders(spark, path) if re.fullmatch(VERSION_PATTERN, n))
+    jvm = spark.sparkContext._jvm
+    done = []
+    for n in names:
+        mark = jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS")
+        if mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark):
+            done.append(n)
+    return done
+
+
 def read_control(spark: SparkSession, path: str) -> DataFrame:
     """Control file (one JSON object: table -> {source, destination, last_update,
-    update_freq}) as a DataFrame with ``CONTROL_SCHEMA``."""
-    doc = spark.read.option("wholetext", True).text(path)
+    update_freq}) as a DataFrame with ``CONTROL_SCHEMA``. If ``path`` holds
+    versions that ``write_control`` wrote, the newest complete one counts."""
+    versions = control_versions(spark, path)
+    doc = spark.read.option("wholetext", True).text(f"{path}/{versions[-1]}" if versions else path)
     entries = doc.select(F.explode(F.from_json("value", CONTROL_JSON_TYPE)).alias("table", "info"))
     return entries.select(F.col("table"), *[F.col(f"info.{c}").alias(c) for c in
                                             ("source", "destination", "last_update", "update_freq")])
 
 
 def today_in(zone: str = DEFAULT_ZONE) -> Column:
-    return F.to_date(F.from_utc_timestamp(F.current_timestamp(), zone))
+    """Today's date in ``zone``, whatever the session's time zone."""
+    return day_in(F.current_timestamp(), zone)
+
+
+def day_in(moment: Column, zone: str) -> Column:
+    """The date on which ``moment`` (a timestamp) falls in ``zone``: read as wall-
+    clock time of the session's zone and converted from there once."""
+    return F.to_date(F.convert_timezone(None, F.lit(zone), moment.cast("timestamp_ntz")))
 
 
 def refresh_plan(control: DataFrame, latest_snapshots: DataFrame, as_of: Column | str | None = None) -> DataFrame:
@@ -98,13 +123,18 @@ def advance_control(control: DataFrame, loaded: DataFrame) -> DataFrame:
             .drop("_new").select(*S.CONTROL_SCHEMA.fieldNames()))
 
 
-def write_control(control: DataFrame, path: str) -> None:
-    """Write the control rows back as one JSON object with sorted keys. The
-    target must not be the path the control rows were read from."""
+def write_control(control: DataFrame, path: str) -> str:
+    """Write the control rows as one JSON object with sorted keys, in a new
+    version folder under ``path``; nothing is deleted or overwritten. Readers take
+    the newest version whose job has finished, so a crash leaves the last one."""
+    spark = control.sparkSession
+    names = [n for n in list_folders(spark, path) if re.fullmatch(VERSION_PATTERN, n)]
+    out = f"{path}/v{max((int(n[1:]) for n in names), default=0) + 1:08d}"
     info = F.struct(*[F.col(c) for c in ("destination", "last_update", "source", "update_freq")])
     doc = control.agg(F.to_json(F.map_from_entries(
         F.array_sort(F.collect_list(F.struct(F.col("table"), info))))).alias("value"))
-    doc.write.mode("overwrite").text(path)
+    doc.write.text(out)
+    return out
 
 
 def report(plan: DataFrame) -> DataFrame:

@@ -49,12 +49,25 @@ def test_totals_and_pct(spark):
     assert (t.transaction_records, t.structural_changes, t.analysis_records) == (3, 2.0, 35)
     p = metrics.structural_pct(tx).collect()[0]
     assert round(p.structural_pct, 3) == 66.667 and p.label == "67%"
+    for ones, label in ((1, "12%"), (3, "38%")):   # 12.5 and 37.5: ties go to the even number
+        tie = spark.createDataFrame([(1.0 if i < ones else 0.0,) for i in range(8)], "strChange double")
+        assert metrics.structural_pct(tie).first().label == label
 
 
 def test_views(spark):
     df = analysis(spark)
-    page = views.page(df, "pRatio", ascending=False, offset=2, size=3).collect()
-    assert len(page) == 3 and all(r.pRatio == pytest.approx(0.4) for r in page)
+    everything = [tuple(r) for r in views.page(df, "pRatio", ascending=False, size=1000).collect()]
+    paged, after = [], None
+    while True:   # page by page, each from the last row of the one before
+        page = views.page(df, "pRatio", ascending=False, size=3, after=after).collect()
+        paged += [tuple(r) for r in page]
+        if len(page) < 3:
+            break
+        after = page[-1].asDict()
+    assert paged == everything and len(paged) == 35
+    assert "Offset" not in views.page(df, "pRatio", after=after)._jdf.queryExecution().optimizedPlan().toString()
+    with pytest.raises(ValueError):
+        views.page(df, "pRatio", after={"pRatio": 0.1})
     s1 = rows(views.sample_rows(df, "PBIN", 10, "7"))
     assert len(s1) == 10 and s1 == rows(views.sample_rows(df.repartition(5), "PBIN", 10, "7"))
     assert views.sample_rows(df, "PBIN", 1000).count() == 35
@@ -64,6 +77,10 @@ def test_views(spark):
     piv = views.pivot(df, ["SUPPLIER_NM"], "COLUMN_NM", ["Name", "SIC", "Phone_SFX"], "count")
     r = {x.SUPPLIER_NM: x for x in piv.collect()}
     assert r["S7"].Phone_SFX == 0 and sum(x.Name for x in r.values()) == 8
+    assert sum(x.Name + x.SIC + x.Phone_SFX + x.other for x in r.values()) == 35   # the cells cover all rows
+    found = views.pivot(df, ["SUPPLIER_NM"], "COLUMN_NM")
+    assert found.columns == ["SUPPLIER_NM", "Name", "Other", "SIC", "Sls_Size", "other_"]
+    assert found.agg({"other_": "sum"}).first()[0] == 0
     mx = views.pivot(df, ["SUPPLIER_NM"], "COLUMN_NM", ["Name"], "max", "pRatio")
     assert mx.count() == 7
     sc = views.element_scatter(spark.createDataFrame(

@@ -1,6 +1,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from entwise import schemas as S
@@ -73,6 +74,14 @@ def test_control_roundtrip(spark, tmpdir_path):
     snap.write_control(snap.advance_control(control, done), f"{tmpdir_path}/control2")
     back = snap.read_control(spark, f"{tmpdir_path}/control2")
     assert rows(back, "table", "last_update") == [("a", "20240102"), ("b", "20240301")]
+    # a version whose job did not finish is not read
+    os.makedirs(f"{tmpdir_path}/control2/v00000002")
+    assert rows(snap.read_control(spark, f"{tmpdir_path}/control2"), "table", "last_update") == rows(
+        back, "table", "last_update")
+    done = spark.createDataFrame([("a", "20240401")], "table string, snapshot string")
+    assert snap.write_control(snap.advance_control(back, done), f"{tmpdir_path}/control2").endswith("v00000003")
+    again = snap.read_control(spark, f"{tmpdir_path}/control2")
+    assert rows(again, "table", "last_update") == [("a", "20240401"), ("b", "20240301")]
 
 
 def test_refresh_job_end_to_end(spark, tmpdir_path):
@@ -83,20 +92,24 @@ def test_refresh_job_end_to_end(spark, tmpdir_path):
     with open(path, "w") as f:
         json.dump({"people": {"source": root, "destination": "people_snap", "last_update": "20240101",
                               "update_freq": 7}}, f)
-    plan = jobs.refresh_snapshots(spark, path, f"{tmpdir_path}/control_next", as_of="2024-03-05")
+    plan, report = jobs.refresh_snapshots(spark, path, f"{tmpdir_path}/control_next", as_of="2024-03-05")
     assert [r.status for r in plan.collect()] == ["update"]
+    assert [(r.status, r.tables) for r in report.collect()] == [("update", ["people"])]
     assert spark.table("people_snap").count() == 2
     assert rows(snap.read_control(spark, f"{tmpdir_path}/control_next"), "last_update") == [("20240301",)]
 
 
 def test_csv_readers(spark, tmpdir_path):
-    write_csv_folder(f"{tmpdir_path}/c", "a,b,c", ["1,x,2.5", "2,y"])
+    write_csv_folder(f"{tmpdir_path}/c", "a,b,c", ["1,x,2.5", "2,y", "3,z,4.5,surplus"])
     df = csv_ragged(spark, f"{tmpdir_path}/c")
-    assert rows(df) == [(1, "x", 2.5), (2, "y", None)]
+    got = {r.a: r for r in df.collect()}
+    assert (got[1].b, got[1].c, got[1]._corrupt_record) == ("x", 2.5, None)
+    assert (got[2].b, got[2].c) == ("y", None)
+    assert got[3]._corrupt_record == "3,z,4.5,surplus"
     typed = csv_snapshot(spark, f"{tmpdir_path}/c", schema=S.T.StructType(
         [S.T.StructField("a", S.T.StringType()), S.T.StructField("b", S.T.StringType()),
          S.T.StructField("c", S.T.StringType())]))
-    assert typed.count() == 2
+    assert typed.count() == 3
 
 
 def test_sinks(spark, tmpdir_path):
@@ -106,6 +119,12 @@ def test_sinks(spark, tmpdir_path):
     assert rows(spark.table("sink_t")) == [("A", "B", 1)]
     sinks.replace_rows(spark.createDataFrame([("X", "Y", 2)], "a string, b string, n int"), "sink_t")
     assert rows(spark.table("sink_t")) == [("X", "Y", 2)]
+    more = df.withColumn("unknown", F.lit(1))
+    for write in (sinks.append_by_name, sinks.replace_rows):
+        with pytest.raises(ValueError):
+            write(more, "sink_t")
+        with pytest.raises(ValueError):
+            write(df.drop("n"), "sink_t")
     sinks.append_or_create(df, "sink_new")
     sinks.append_or_create(df, "sink_new")
     assert spark.table("sink_new").count() == 2
@@ -114,3 +133,15 @@ def test_sinks(spark, tmpdir_path):
     sinks.export_csv(df, f"{tmpdir_path}/out_csv")
     back = spark.read.option("header", True).csv(f"{tmpdir_path}/out_csv")
     assert back.columns == ["n", "b", "a"] and back.count() == 1
+
+
+@pytest.mark.parametrize("session_zone", ["UTC", "America/Chicago", "Asia/Tokyo"])
+def test_day_in_zone_does_not_depend_on_the_session(spark, session_zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", session_zone)
+    try:
+        for moment, day in (("2024-01-10 06:30:00", "2024-01-10"), ("2024-01-10 05:30:00", "2024-01-09")):
+            instant = F.lit(f"{moment}+00:00").cast("timestamp")
+            assert spark.range(1).select(snap.day_in(instant, "America/Chicago").cast("string")).first()[0] == day
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
