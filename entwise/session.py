@@ -1,9 +1,8 @@
-"""Spark session defaults tuned for large shuffles, plus checkpoint-dir handling."""
+"""Spark session defaults tuned for large shuffles."""
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -39,27 +38,7 @@ def get_session(master: str | None = None, app_name: str = "entwise",
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
-    spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
-    """Use the cluster's shared ``spark.checkpoint.dir``.
-
-    Only when it is unset on a local master (tests, local runs) is a private
-    scratch folder created; on a cluster a machine-local folder would not
-    survive the loss of an executor, so nothing is set and ``checkpoint()``
-    fails loudly until the cluster names a shared folder.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        if not spark.sparkContext.master.startswith("local"):
-            return None
-        path = fallback or tempfile.mkdtemp(prefix="entwise-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    return builder.getOrCreate()
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:

@@ -11,17 +11,17 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 def spark():
     from pyspark.sql import SparkSession
 
-    from entwise.session import SCALE_CONF, ensure_checkpoint_dir
+    from entwise.session import SCALE_CONF
     scratch = tempfile.mkdtemp(prefix="entwise-test-")
     b = (SparkSession.builder.master("local[*]").appName("entwise-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
+         .config("spark.checkpoint.dir", f"{scratch}/checkpoints")
          .config("spark.driver.memory", "8g"))
     for k, v in SCALE_CONF.items():
         b = b.config(k, v)
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(s, f"{scratch}/checkpoints")
     yield s
     s.stop()
 

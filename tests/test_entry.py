@@ -2,6 +2,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from entwise import schemas as S
+from entwise.plans import catalog, oracle
 from tests.oracle_compare import TABLES, canon
 
 SF = "/root/testdata/sf0.001"
@@ -10,12 +12,12 @@ SF = "/root/testdata/sf0.001"
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
-    assert df.columns == ["pbin", "bin", "lvid", "value", "element", "ty_cd", "supplier_nb",
-                          "dt_first_rpted", "dt_last_rpted", "supplier_nm"]
+    assert df.columns == S.SUPPLEMENT_LAYOUT
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
+    assert set(catalog.queries()) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +28,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     res = duck.sql(E.oracle_sql()[name])

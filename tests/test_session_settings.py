@@ -4,7 +4,7 @@ ANSI mode: the driver runs them in a session of its own."""
 import duckdb
 import pytest
 
-import __spark_entry__ as E
+from entwise.plans import catalog, oracle
 from tests.oracle_compare import TABLES, canon
 
 SF = "/root/testdata/sf0.001"
@@ -26,9 +26,9 @@ def test_queries_independent_of_session_settings(spark, duck, conf):
         spark.conf.set(k, v)
     try:
         bad = []
-        for name, q in E.queries().items():
+        for name, q in catalog.queries().items():
             df = q(spark, SF)
-            res = duck.sql(E.oracle_sql()[name])
+            res = duck.sql(oracle.oracle_sql()[name])
 
             def norm(cols, recs):
                 order = sorted(range(len(cols)), key=lambda i: cols[i])
