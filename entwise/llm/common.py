@@ -64,21 +64,22 @@ class Work:
     def table(self, df: DataFrame, name: str) -> DataFrame:
         self._n += 1
         out = f"{self.path}/{self._n:02d}-{name}"
-        df.write.parquet(out)
+        # small row groups: a writer holds one in memory, next to the Python workers
+        df.write.option("parquet.block.size", 32 << 20).parquet(out)
         return self.spark.read.schema(df.schema).parquet(out)
 
 
 def by_row(docs: DataFrame, work: Work, run: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``run`` over rows (doc_id, text) whose doc_id is unique. If some doc_id
     repeats, each row gets a number of its own for the run, and its doc_id back
-    in the result."""
+    in the result, which then has the numbers as ``row``."""
     if docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count() == 0:
         return run(docs)
     own = work.table(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
     out = run(own.select(F.col("_row").alias("doc_id"), "text"))
     names = own.select(F.col("_row"), F.col("doc_id").alias("_name"))
     return out.withColumnRenamed("doc_id", "_row").join(names, "_row").select(
-        F.col("_name").alias("doc_id"), *[c for c in out.columns if c != "doc_id"])
+        F.col("_name").alias("doc_id"), *[c for c in out.columns if c != "doc_id"], F.col("_row").alias("row"))
 
 
 def shuffle_width(spark: SparkSession) -> int:

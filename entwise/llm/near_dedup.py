@@ -1,27 +1,30 @@
 """Near-duplicate documents from bottom-k sketches of one hash function.
 
 1. Every text becomes its set of word shingles, hashed by one 63-bit function.
-   The ``k`` smallest values are its sketch. Documents with equal sets collapse
+   The ``K`` smallest values are its sketch. Documents with equal sets collapse
    to the smallest id first.
-2. Inverted lists of retained values. A list is keyed by ``run`` values that
+2. Inverted lists of retained values. A list is keyed by ``RUN`` values that
    stand next to each other in the sketch's order; a document enters the lists
-   of its ``lists`` smallest such keys. Two sets above the threshold differ in
+   of its ``LISTS`` smallest such keys. Two sets above the threshold differ in
    few values, so long runs stay equal: with threshold 0.85 and whole sets of
-   up to ``SMALL`` values a common run is certain, with ``k`` = 96 retained
-   values it is missed with a chance of about 1e-5 for a pair exactly at the
+   up to ``SMALL`` values a common run is certain, with ``K`` = 192 retained
+   values it is missed with a chance of about 1e-6 for a pair exactly at the
    threshold and less above it. A frequent value alone makes no list, so a line
-   that a third of the documents share does not bring them together.
-3. A pair from a list is kept if the union sketch (the ``k`` smallest values of
-   both sketches) puts its similarity within ``SLACK`` of the threshold. For
-   sets of at most ``k`` values that figure is exact.
-4. Kept pairs are confirmed on full sets, recomputed from both texts.
-
-Only components are wanted, so pairs inside a component that is already known
-are not looked at: first every document is tried against the best-estimated
-smallest member of its lists; then lists that still hold several components are
-compared in blocks, one pair for each two components; at last every pair
-between two components that is still open. No list is capped: a long one is
-dealt into blocks, and pairs of blocks are separate groups.
+   that a third of the documents share does not bring them together. Lists with
+   the same members are one, and lists that share members make a family.
+3. Within a family, pairs are compared in blocks. The union sketch (the smallest
+   values of both sketches) bounds a pair's similarity; pairs it puts more than
+   ``SLACK`` below the threshold are out. A block's presence matrices give the
+   common values of all its pairs at once, so no pair is written for that.
+4. Pairs that remain are confirmed on full sets: in the block itself where both
+   sets have at most ``WHOLE`` values and so are there in full, else by their
+   texts. Only components are wanted: a block hands on one spanning forest of
+   its links, and of pairs of long texts first a forest of the likeliest, then
+   every pair between components that is still open.
+
+No list or family is capped: a long one is dealt into blocks, and pairs of
+blocks are separate groups; beyond ``FAMILY`` members, the blocks are those of
+the lists themselves.
 """
 
 from __future__ import annotations
@@ -34,18 +37,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from entwise.llm.common import LOWER, SpanHashes, Work, mix64, slices, string_buffers, word_spans
+from entwise.llm.common import LOWER, SpanHashes, Work, by_row, mix64, slices, string_buffers, word_spans
 from entwise.llm.components import components
 
-K = 96
+K = 192
 RUN = 4
 LISTS = 24
 SMALL = 32
-SLACK = 0.14
+SLACK = 0.10
+WHOLE = 2048
+#: As SLACK, for estimates from the WHOLE smallest values of longer sets.
+LONG_SLACK = 0.035
 BLOCK = 512
-SLICE_BYTES = 1 << 20
+FAMILY = 8192
+SLICE_BYTES = 1 << 18
 
 IS_WORD = np.ones(256, bool)
 IS_WORD[[0x20, 9, 10, 11, 12, 13]] = False
@@ -103,85 +109,122 @@ def list_keys(sketch: np.ndarray, size: int, short: int) -> np.ndarray:
     return keys[:LISTS]
 
 
-def _sketches(width: int, percent: int):
+def _signatures(width: int, percent: int):
     short = _short_run(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, off = string_buffers(batch.column(1))
             for i, j in slices(off, SLICE_BYTES):
-                ns, prints, sk, keys = [], [], [], []
+                ns, prints, keys = [], [], []
                 for s in shingle_sets(raw[off[i]:off[j]], off[i:j + 1] - off[i], width):
                     ns.append(len(s))
                     prints.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                    top = s[:K]
-                    sk.append(top.astype(np.int64))
-                    keys.append(np.unique(list_keys(top, len(s), short)).astype(np.int64))
+                    keys.append(np.unique(list_keys(s[:K], len(s), short)).astype(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), pa.array(ns, pa.int64()), pa.array(prints, pa.binary()),
-                     pa.array(sk, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))],
-                    ["doc_id", "n", "print", "sketch", "keys"])
+                     pa.array(keys, pa.list_(pa.int64()))],
+                    ["doc_id", "n", "print", "keys"])
     return run
 
 
-def _estimate(a: np.ndarray, b: np.ndarray) -> float:
-    """Share of common values among the smallest K of both sketches."""
-    union = np.union1d(a, b)[:K]
-    return float(np.isin(union, np.intersect1d(a, b, assume_unique=True), assume_unique=True).mean())
+def _smallest(width: int):
+    """The WHOLE smallest values of each text's set, and the set's size."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, off = string_buffers(batch.column(1))
+            for i, j in slices(off, SLICE_BYTES):
+                sets = list(shingle_sets(raw[off[i]:off[j]], off[i:j + 1] - off[i], width))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, j - i), pa.array([len(x) for x in sets], pa.int64()),
+                     pa.array([x[:WHOLE].astype(np.int64) for x in sets], pa.list_(pa.int64()))],
+                    ["doc_id", "n", "smallest"])
+    return run
+
+
+def _common(values: np.ndarray, owner: np.ndarray, m: int) -> np.ndarray:
+    """Number of common values of all pairs of ``m`` sets."""
+    _, column, times = np.unique(values, return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(times > 1)
+    rank = np.full(len(times), -1)
+    rank[shared] = np.arange(len(shared))
+    column = rank[column]
+    common = np.zeros((m, m), np.float32)
+    for low in range(0, len(shared), 4096):
+        here = (column >= low) & (column < low + 4096)
+        there = np.zeros((m, min(4096, len(shared) - low)), np.float32)
+        there[owner[here], column[here] - low] = 1
+        common += there @ there.T
+    return common
 
-def _estimates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sa, sb = batch.column(batch.schema.get_field_index("sa")), batch.column(batch.schema.get_field_index("sb"))
-        va, oa = sa.values.to_numpy(), sa.offsets.to_numpy()
-        vb, ob = sb.values.to_numpy(), sb.offsets.to_numpy()
-        est = [_estimate(va[oa[i]:oa[i + 1]], vb[ob[i]:ob[i + 1]]) for i in range(batch.num_rows)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(est, pa.float64())],
-                                         ["a", "b", "est"])
 
+class _Forest:
+    def __init__(self, n: int):
+        self.up = list(range(n))
 
-def _block_pairs(floor: float, every: bool):
-    """Pairs of one block (or between two blocks) of a list: members of
-    different components whose estimate passes; unless ``every``, the best of
-    each two components."""
+    def root(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = x = self.up[self.up[x]]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.root(x), self.root(y)
+        self.up[x] = y
+        return x != y
+
+
+def _block_links(percent: int, every: bool):
+    """Links of one block (or between two blocks) of a family: (a, b, sure). Sure
+    ones are exact, a spanning forest; the others involve a set of more than WHOLE
+    values and pass by estimate: a forest of the likeliest or, with ``every``, all
+    pairs between different components."""
 
     def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
         ids, root = table["doc_id"].to_numpy(), table["root"].to_numpy()
         size, side = table["n"].to_numpy(), table["side"].to_numpy()
-        sk = [np.asarray(x, np.int64) for x in table["sketch"].to_pylist()]
-        order = np.argsort(size, kind="stable")
-        # value -> members, as a presence matrix over the values met twice or more
-        flat = np.concatenate(sk) if sk else np.zeros(0, np.int64)
-        vals, inv = np.unique(flat, return_inverse=True)
-        owner = np.repeat(np.arange(len(sk)), [len(x) for x in sk])
-        found: dict[tuple[int, int], tuple[float, int, int]] = {}
-        out: list[tuple[int, int, float]] = []
-        by_value = np.argsort(inv, kind="stable")
-        bounds = np.searchsorted(inv[by_value], np.arange(len(vals) + 1))
-        for pos, x in enumerate(order):
-            # members of at least this size that could reach the threshold
-            common = np.zeros(len(sk), np.int32)
-            for v in np.searchsorted(vals, sk[x]):
-                common[owner[by_value[bounds[v]:bounds[v + 1]]]] += 1
-            near = order[pos + 1:]
-            near = near[(root[near] != root[x]) & (size[near] * floor <= size[x])
-                        & (common[near] >= floor * min(K, size[x]) / 2)]
-            if side[x] >= 0:
-                near = near[side[near] != side[x]]
-            for y in near:
-                est = _estimate(sk[x], sk[y])
-                if est < floor:
-                    continue
-                a, b = (int(ids[x]), int(ids[y])) if ids[x] < ids[y] else (int(ids[y]), int(ids[x]))
-                if every:
-                    out.append((a, b, est))
-                else:
-                    r = (min(root[x], root[y]), max(root[x], root[y]))
-                    found[r] = max(found.get(r, (0.0, 0, 0)), (est, -a, -b))
-        out += [(-a, -b, e) for e, a, b in found.values()]
+        lists = pa.concat_arrays(table["smallest"].chunks)
+        values, bounds = lists.values.to_numpy(), lists.offsets.to_numpy()
+        kept, m = np.diff(bounds), len(ids)
+        values = values[bounds[0]:bounds[-1]]
+        owner = np.repeat(np.arange(m), kept)
+        place = np.arange(len(values)) - np.repeat(bounds[:-1] - bounds[0], kept)
+
+        ok = np.triu(np.minimum.outer(size, size) * 100 >= percent * np.maximum.outer(size, size), 1)
+        if (side >= 0).any():
+            ok &= side[:, None] != side[None, :]
+        if every:
+            ok &= root[:, None] != root[None, :]
+        # the union sketch holds at least as many values as either of both sketches
+        sketch = np.minimum(kept, K)
+        retained = _common(values[place < K], owner[place < K], m)
+        ok &= retained >= (percent / 100 - SLACK) * np.maximum.outer(sketch, sketch)
+        near = np.flatnonzero(ok.any(0) | ok.any(1))
+        out: list[tuple[int, int, bool]] = []
+        if len(near):
+            back = np.full(m, -1)
+            back[near] = np.arange(len(near))
+            mine = back[owner] >= 0
+            common = _common(values[mine], back[owner[mine]], len(near))
+            ok, size, kept, ids = ok[np.ix_(near, near)], size[near], kept[near], ids[near]
+            whole = size <= WHOLE
+            both = whole[:, None] & whole[None, :]
+            links = ok & both & (100 * common >= percent * (size[:, None] + size[None, :] - common))
+            forest = _Forest(len(near))
+            if not every:
+                out += [(x, y, True) for x, y in zip(*map(np.ndarray.tolist, np.nonzero(links))) if forest.join(x, y)]
+            bound = common / np.maximum.outer(kept, kept)
+            likely = ok & ~both & (bound >= percent / 100 - LONG_SLACK)
+            x, y = np.nonzero(likely)
+            order = np.argsort(-bound[x, y], kind="stable")
+            for i, j in zip(x[order].tolist(), y[order].tolist()):
+                if every or forest.join(i, j):
+                    out.append((i, j, False))
+            out = [(min(ids[i], ids[j]), max(ids[i], ids[j]), sure) for i, j, sure in out]
         cols = list(zip(*out)) if out else [[], [], []]
         return pa.table({"a": pa.array(cols[0], pa.int64()), "b": pa.array(cols[1], pa.int64()),
-                         "est": pa.array(cols[2], pa.float64())})
+                         "sure": pa.array(cols[2], pa.bool_())})
     return run
 
 
@@ -208,81 +251,90 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     A text is lower-cased (A-Z) and split at ASCII white space; its set holds
     the distinct ``width``-word shingles, or the whole sequence as one if it has
     fewer words. Documents are linked if 100 * |A and B| >= ``percent`` *
-    |A or B|; ``component_id`` is the smallest doc_id reachable by links.
+    |A or B|; ``component_id`` is the smallest doc_id reachable by links, and the
+    document with that id is kept.
 
-    Null, empty and blank texts have no shingles and stay alone. A doc_id that
-    occurs several times keeps its rows; each is one document only if its text
-    is the same. Rows with a null doc_id do not take part and are left out.
-    Extra columns are ignored. An empty table gives an empty result.
+    Null, empty and blank texts have no shingles and stay alone. Rows that share
+    a doc_id are documents of their own, of which one row of a component is kept.
+    Rows with a null doc_id do not take part and are left out. Extra columns are
+    ignored. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    work = Work(spark, "near-dedup")
-    floor = percent / 100 - SLACK
+    work = Work(docs.sparkSession, "near-dedup")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .filter("doc_id IS NOT NULL")
-    sk = work.table(texts.mapInArrow(
-        _sketches(width, percent),
-        "doc_id long, n long, print binary, sketch array<long>, keys array<long>"), "sketches")
-
+    found = by_row(texts, work, lambda texts: _components_of(texts, width, percent, work))
+    if "row" not in found.columns:
+        return found.withColumn("kept", F.col("component_id") == F.col("doc_id"))
+    found = work.table(found, "by-row")
+    names = found.groupBy("component_id").agg(F.min("doc_id").alias("name"), F.min("row").alias("first"))
+    return found.join(work.table(names, "names"), "component_id").select(
+        "doc_id", "n_shingles", F.col("name").alias("component_id"), (F.col("row") == F.col("first")).alias("kept"))
+
+
+def _components_of(texts: DataFrame, width: int, percent: int, work: Work) -> DataFrame:
+    sk = work.table(texts.mapInArrow(_signatures(width, percent), "doc_id long, n long, print binary, keys array<long>"),
+                    "signatures")
     reps = work.table(sk.filter("n > 0").groupBy("print").agg(F.min("doc_id").alias("rep")), "reps")
-    alone = sk.filter("n > 0").join(reps.select(F.col("rep").alias("doc_id"), F.col("print").alias("rp")),
-                                    "doc_id").filter("print = rp")
-    members = work.table(alone.select("doc_id", F.explode("keys").alias("key")).distinct(), "members")
-    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("doc_id").alias("low")).filter("m > 1")
-    shared = work.table(shared, "shared")
+    members = work.table(sk.join(reps.select(F.col("rep").alias("doc_id")), "doc_id")
+                         .select("doc_id", F.explode("keys").alias("key")), "members")
+    # lists with the same members are one: only the smallest key of them stays
+    shared = members.groupBy("key").agg(
+        F.count(F.lit(1)).alias("m"), F.min("doc_id").alias("low"), F.bit_xor(F.xxhash64("doc_id")).alias("x"),
+        F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("y")).filter("m > 1")
+    shared = work.table(shared.groupBy("m", "low", "x", "y").agg(F.min("key").alias("key")).select("key", "low"), "shared")
     lists = work.table(members.join(shared, "key"), "lists")
-    listed = lists.select("doc_id").distinct()
-    sketch = work.table(sk.filter("n > 0").join(listed, "doc_id", "left_semi")
-                        .select("doc_id", "n", "sketch").dropDuplicates(["doc_id"]), "listed")
-    full = None
-    schema = "a long, b long, est double"
-    checked = links = roots = None
-
-    for step in ("lowest", "best", "every"):
-        if step == "lowest":
-            pairs = lists.filter("low < doc_id").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct()
-            sb = sketch.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-            sa = sketch.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-            cand = (pairs.join(sb, "b").join(sa, "a").filter(f"least(na, nb) >= {floor} * greatest(na, nb)")
-                    .select("a", "b", "sa", "sb").mapInArrow(_estimates, schema).filter(f"est >= {floor}"))
-            best = Window.partitionBy("b").orderBy(F.desc("est"), "a")
-            cand = cand.withColumn("r", F.row_number().over(best)).filter("r = 1").select("a", "b")
-        else:
-            label = sketch.join(roots, F.col("doc_id") == F.col("node"), "left") \
-                .select("doc_id", "n", "sketch", F.coalesce("root", "doc_id").alias("root"))
-            label = work.table(label, "labels")
-            tagged = work.table(lists.select("key", "doc_id").join(label.select("doc_id", "root"), "doc_id"), "tagged")
-            open_lists = tagged.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("lo"),
-                                                   F.max("root").alias("hi")).filter("lo < hi")
-            open_lists = work.table(open_lists.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb")),
-                                    "open")
-            dealt = tagged.drop("root").join(open_lists, "key") \
-                .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("nb")).cast("int")) \
-                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))) \
-                .select("doc_id", "key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
-                        F.when(F.col("nb") > 1, F.when(F.col("block") == F.col("other"), -1).otherwise(
-                            (F.col("block") > F.col("other")).cast("int"))).otherwise(-1).alias("side"))
-            cand = (dealt.join(label, "doc_id").groupBy("key", "x", "y")
-                    .applyInArrow(_block_pairs(floor, step == "every"), schema)
-                    .select("a", "b").distinct())
-            cand = cand.join(checked.select("a", "b"), ["a", "b"], "left_anti")
-        cand = work.table(cand, f"pairs-{step}")
-        if step != "lowest" and cand.limit(1).count() == 0:
-            break
-        if full is None:
-            full = work.table(texts.join(listed, "doc_id", "left_semi").join(
-                alone.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    family = components(lists.filter("low < doc_id"), work, "doc_id", "low")
+    sizes = work.table(family.groupBy("root").agg(F.count(F.lit(1)).alias("m")), "families")
+    family = work.table(family.join(sizes, "root").select(F.col("node").alias("doc_id"), F.col("root").alias("family"), "m"),
+                        "family")
+    full = work.table(texts.join(family.select("doc_id"), "doc_id", "left_semi"), "texts")
+    smallest = work.table(full.mapInArrow(_smallest(width), "doc_id long, n long, smallest array<long>"), "smallest")
+
+    # families, or the lists of very large ones, dealt into blocks
+    large = lists.join(family.filter(F.col("m") > FAMILY).select("doc_id"), "doc_id")
+    groups = family.filter(F.col("m") <= FAMILY).select(F.struct(F.lit(0).alias("kind"), F.col("family").alias("key")).alias("g"),
+                                                        "doc_id") \
+        .unionAll(large.select(F.struct(F.lit(1).alias("kind"), F.col("key")).alias("g"), "doc_id"))
+    groups = work.table(groups, "groups")
+    counts = work.table(groups.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("nb")), "blocks")
+    links = roots = checked = None
+
+    for every in (False, True):
+        data = smallest.withColumn("root", F.col("doc_id"))
+        ask = groups
+        if every:  # components are known now; only long sets can still have unseen links
+            data = work.table(smallest.join(roots, F.col("doc_id") == F.col("node"), "left").select(
+                "doc_id", "n", "smallest", F.coalesce("root", "doc_id").alias("root")), "rooted")
+            state = work.table(groups.join(data.select("doc_id", "root", "n"), "doc_id"), "state")
+            open_ = state.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("n").alias("n")) \
+                .filter(f"lo < hi AND n > {WHOLE}")
+            ask = groups.join(work.table(open_.select("g"), "open"), "g", "left_semi")
+        dealt = ask.join(counts, "g") \
+            .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("nb")).cast("int")) \
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))) \
+            .select("doc_id", "g", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
+                    F.when(F.col("block") == F.col("other"), -1).otherwise(
+                        (F.col("block") > F.col("other")).cast("int")).alias("side"))
+        # a block of its own meets itself only in the group (x, x)
+        dealt = dealt.withColumn("side", F.when(F.col("x") == F.col("y"), -1).otherwise(F.col("side")))
+        pairs = work.table(dealt.join(data, "doc_id").groupBy("g", "x", "y")
+                           .applyInArrow(_block_links(percent, every), "a long, b long, sure boolean").distinct(), "pairs")
+        unsure = pairs.filter("NOT sure").select("a", "b")
+        if checked is not None:
+            unsure = unsure.join(checked.select("a", "b"), ["a", "b"], "left_anti")
         ta = full.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
         tb = full.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-        done = work.table(cand.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb")
-                          .mapInArrow(_confirm(width, percent), "a long, b long, linked boolean"), f"done-{step}")
-        checked = done if checked is None else checked.unionAll(done)
-        links = checked.filter("linked")
+        done = work.table(unsure.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb")
+                          .mapInArrow(_confirm(width, percent), "a long, b long, linked boolean"), "confirmed")
+        new = done.filter("linked").select("a", "b")
+        if every and new.limit(1).count() == 0:
+            break
+        links = new.unionAll(pairs.filter("sure").select("a", "b")) if links is None else links.unionAll(new)
+        checked = done
         roots = work.table(components(links, work), "roots")
 
     final = reps.join(roots, F.col("rep") == F.col("node"), "left") \
         .select(F.col("print").alias("rp"), F.coalesce("root", "rep").alias("c"))
     final = work.table(final, "final")
     return sk.join(final, F.col("print") == F.col("rp"), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id"),
-        (F.coalesce("c", "doc_id") == F.col("doc_id")).alias("kept"))
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id"))

@@ -155,12 +155,11 @@ def _tokenized(path: str, end_id: int, keep_ids: bool):
         for batch in batches:
             cuts = batch.column(2).to_pylist() if batch.num_columns > 2 else [None] * batch.num_rows
             out: list[tuple] = []
-            for i in range(batch.num_rows):
-                body = enc.ids(batch.column(1)[i].as_py()) + int(end_id).to_bytes(4, "little")
+            for doc, cut, got in zip(batch.column(0).to_pylist(), cuts, enc.batch(batch.column(1))):
+                body = np.append(got, np.uint32(end_id)).astype("<u4").tobytes()
                 n = len(body) // 4
-                where = [(x["start"], x["length"]) for x in cuts[i]] if cuts[i] is not None else \
+                where = [(x["start"], x["length"]) for x in cut] if cut is not None else \
                     [(a, min(CAPACITY, n - a)) for a in range(0, n, CAPACITY)]
-                doc = batch.column(0)[i].as_py()
                 for a, k in where:
                     ids = body[4 * a:4 * (a + k)]
                     out.append((doc, a, k, zlib.crc32(ids), n, ids))
@@ -187,7 +186,7 @@ def pack(docs: DataFrame, tokenizer_file: str, end_id: int = 2, keep_ids: bool =
     work = Work(docs.sparkSession, "packing")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .filter("doc_id IS NOT NULL")
-    return by_row(rows, work, lambda rows: _pack(rows, tokenizer_file, end_id, keep_ids, work))
+    return by_row(rows, work, lambda rows: _pack(rows, tokenizer_file, end_id, keep_ids, work)).drop("row")
 
 
 def _pack(rows: DataFrame, tokenizer_file: str, end_id: int, keep_ids: bool, work: Work) -> DataFrame:

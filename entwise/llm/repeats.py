@@ -38,7 +38,7 @@ from entwise.llm.common import SpanHashes, Work, by_row, mix64, slices, string_b
 
 Q = 128
 FAN = 8
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 
 def _leftmost_minima(h: np.ndarray, width: int) -> np.ndarray:
@@ -237,7 +237,7 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     work = Work(docs.sparkSession, "repeats")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .filter("doc_id IS NOT NULL")
-    return by_row(texts, work, lambda texts: _removed(texts, length, work))
+    return by_row(texts, work, lambda texts: _removed(texts, length, work)).drop("row")
 
 
 def _removed(texts: DataFrame, length: int, work: Work) -> DataFrame:
