@@ -2,24 +2,28 @@
 by balanced label propagation. DataFrame and SQL functions only.
 
 Documents with equal texts are neighbours of each other. Every document starts
-in a shard by hash of its id. In each round a linked document looks at its
-neighbours' shards, counted per (group, shard), and wants to move to the one with
-most neighbours that still has room, if that is more than share its own. Movers
-into a shard are ranked by gain and admitted up to its room, so no round fills a
-shard beyond its quota; a group larger than a shard fills one after another.
-Documents without neighbours, which cut no edge anywhere, and linked ones beyond
-a quota then fill up the shards, which makes counts differ by one at most.
-
-Only counts per shard reach the driver. Groups are never gathered: votes are
-summed map-side, and joins on a group read written tables, so AQE splits a hot one.
+in a shard by hash of its id. Neighbours of one group in one shard vote and move
+alike, so a round works on rows (group, shard, documents): each looks at its
+group's rows, and wants to move to the shard with most neighbours that still has
+room, if that is more than share its own. Movers into a shard are ranked by gain
+and admitted up to its room, the last one in part, so no round fills a shard
+beyond its quota, and a group larger than a shard fills one after another. At
+last the group's documents are dealt to its shards by rank. Documents without
+neighbours, which cut no edge anywhere, and linked ones beyond a quota then fill
+up the shards, which makes counts differ by one at most.
+
+Only counts per shard reach the driver. A group's documents are never gathered:
+its rows are at most one for each shard, ranks are dealt over salts, and the join
+on the group reads written tables, so AQE splits a hot one.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from entwise.llm.common import Work, ranked, running_offsets
+from entwise.llm.common import Work, ranked, running_offsets, spread
 
 #: Rounds of propagation at most; it ends before when nothing moves. A group that
 #: spans more shards than that keeps the rest where the hash put it.
@@ -30,39 +34,46 @@ def _by_number(numbers: list[int], index: str) -> F.Column:
     return F.element_at(F.array(*[F.lit(int(x)).cast("long") for x in numbers]), F.col(index) + 1)
 
 
+def _loads(state: DataFrame, shards: int) -> list[int]:
+    load = [0] * shards
+    for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect():
+        load[r.shard] = r.n
+    return load
+
+
 def _propagate(linked: DataFrame, quota: list[int], work: Work) -> DataFrame:
-    """``linked`` (doc_id, link, shard, ...) with shards after the last round."""
-    shards = len(quota)
+    """(link, shard, n): how many documents of each group go to which shard."""
+    spark, shards = linked.sparkSession, len(quota)
+    state = work.table(linked.groupBy("link", "shard").agg(F.count(F.lit(1)).alias("n")), "state")
+    own = Window.partitionBy("link")  # at most a row for each shard
     for step in range(ROUNDS):
-        votes = work.table(linked.groupBy("link", "shard").agg(F.count(F.lit(1)).alias("n")), f"votes-{step}")
-        load = [0] * shards
-        for r in votes.groupBy("shard").agg(F.sum("n").alias("n")).collect():
-            load[r.shard] = r.n
-        room = [q - x for q, x in zip(quota, load)]
-        open_ = [s for s in range(shards) if room[s] > 0]
-        hub = votes.filter(F.col("shard").isin(open_)).groupBy("link").agg(
-            F.max(F.struct("n", (-F.col("shard")).alias("s"))).alias("h"))
-        hub = work.table(hub.select("link", (-F.col("h.s")).cast("int").alias("hub"), F.col("h.n").alias("hub_n")),
-                         f"hub-{step}")
-        moves = votes.join(hub, "link").filter(
-            (F.col("hub_n") > F.col("n")) | ((F.col("hub_n") == F.col("n")) & (F.col("hub") < F.col("shard"))))
-        moves = work.table(moves.select(
-            "link", "shard", "hub", F.floor(F.log2(F.col("hub_n") - F.col("n") + 1)).cast("int").alias("gain")),
-            f"moves-{step}")
-        if moves.limit(1).count() == 0:
+        room = [q - x for q, x in zip(quota, _loads(state, shards))]
+        free = F.col("shard").isin([s for s in range(shards) if room[s] > 0])
+        best = F.max(F.when(free, F.struct("n", (-F.col("shard")).alias("s")))).over(own)
+        asked = state.withColumn("best", best).select(
+            "link", "shard", "n", (-F.col("best.s")).cast("int").alias("hub"), (F.col("best.n") - F.col("n")).alias("gain"))
+        moving = F.col("hub").isNotNull() & ((F.col("gain") > 0) | ((F.col("gain") == 0) & (F.col("hub") < F.col("shard"))))
+        asked = work.table(asked.withColumns({
+            "moving": F.coalesce(moving, F.lit(False)), "salt": spread(spark, "link", "shard"),
+            "class": -F.floor(F.log2(F.greatest("gain", F.lit(0)) + 1)).cast("int")}), f"asked-{step}")
+        movers = asked.filter("moving")
+        if movers.limit(1).count() == 0:
             break
-        asked = linked.join(moves, ["link", "shard"], "left")
-        # rank among the movers into a shard: those of greater gain first
-        movers = ranked(asked.filter("hub IS NOT NULL"), ["hub", "gain"], ["doc_id"], "rank")
-        classes = asked.filter("hub IS NOT NULL").groupBy("hub", "gain").agg(F.count(F.lit(1)).alias("n")) \
-            .withColumn("order", -F.col("gain"))
-        classes = running_offsets(classes, ["hub"], ["order"], "n", "before").select("hub", "gain", "before")
-        movers = movers.join(classes, ["hub", "gain"]).withColumn(
-            "shard", F.when(F.col("rank") + F.col("before") < _by_number(room, "hub"), F.col("hub"))
-            .otherwise(F.col("shard")))
-        linked = work.table(asked.filter("hub IS NULL").select(*linked.columns)
-                            .unionAll(movers.select(*linked.columns)), f"linked-{step}")
-    return linked
+        # documents that move into the same shard before: of greater gain, then by salt
+        parts = running_offsets(movers.groupBy("hub", "class", "salt").agg(F.sum("n").alias("docs")),
+                                ["hub"], ["class", "salt"], "docs", "before").drop("docs")
+        line = Window.partitionBy("hub", "class", "salt").orderBy("link", "shard") \
+            .rowsBetween(Window.unboundedPreceding, -1)
+        movers = movers.withColumn("inside", F.coalesce(F.sum("n").over(line), F.lit(0))) \
+            .join(parts, ["hub", "class", "salt"])
+        left = _by_number(room, "hub") - F.col("before") - F.col("inside")
+        movers = movers.withColumn("go", F.greatest(F.lit(0), F.least(F.col("n"), left)))
+        rows = F.explode(F.array(F.struct("shard", (F.col("n") - F.col("go")).alias("n")),
+                                 F.struct(F.col("hub").alias("shard"), F.col("go").alias("n"))))
+        moved = movers.select("link", rows.alias("r")).select("link", "r.shard", "r.n")
+        state = work.table(asked.filter("NOT moving").select("link", "shard", "n").unionAll(moved).filter("n > 0")
+                           .groupBy("link", "shard").agg(F.sum("n").alias("n")), f"state-{step}")
+    return state
 
 
 def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
@@ -89,22 +100,31 @@ def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
                         .filter("members > 1").select("link"), "groups")
     linked = work.table(rows.join(groups, "link", "left_semi").select(*rows.columns), "linked")
     single = rows.join(groups, "link", "left_anti").select(*rows.columns)
-    linked = _propagate(linked, quota, work)
+    state = _propagate(linked, quota, work)
+    load = _loads(state, shards)
 
-    # those beyond a quota fill up other shards, with the unlinked
-    placed = work.table(ranked(linked, ["shard"], ["link", "doc_id"], "place")
-                        .withColumn("over", F.col("place") >= _by_number(quota, "shard")), "placed")
-    load = [0] * shards
-    for r in placed.filter("NOT over").groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect():
-        load[r.shard] = r.n
+    # a group's documents, by rank, to its shards
+    till = F.sum("n").over(Window.partitionBy("link").orderBy("shard"))
+    deals = work.table(state.withColumn("till", till).groupBy("link").agg(
+        F.sort_array(F.collect_list(F.struct("till", "shard"))).alias("deals")), "deals")
+    order = work.table(ranked(linked.drop("shard"), ["link"], ["doc_id"], "nth"), "ranked")
+    placed = order.join(deals, "link").withColumn(
+        "shard", F.filter("deals", lambda d: d["till"] > F.col("nth"))[0]["shard"])
+    if any(x > q for x, q in zip(load, quota)):
+        # only where the hash put too many linked ones: those beyond the quota are dealt anew
+        placed = work.table(ranked(placed.select(*rows.columns), ["shard"], ["link", "doc_id"], "place"), "placed")
+        over = F.col("place") >= _by_number(quota, "shard")
+        single = single.unionAll(placed.filter(over).select(*rows.columns))
+        placed = placed.filter(~over)
+        load = [min(x, q) for x, q in zip(load, quota)]
+    placed = placed.select(*rows.columns)
     ends, at = [], 0
     for q, x in zip(quota, load):
         at += q - x
         ends.append(at)
-    free = single.unionAll(placed.filter("over").select(*rows.columns))
-    free = ranked(free.withColumn("tie", F.xxhash64("link", "size")), [], ["doc_id", "tie"], "nth")
+    free = ranked(single.withColumn("tie", F.xxhash64("link", "size")), [], ["doc_id", "tie"], "nth")
     filled = F.size(F.filter(F.array(*[F.lit(e).cast("long") for e in ends]), lambda e: e <= F.col("nth")))
-    done = placed.filter("NOT over").select(*rows.columns).unionAll(
+    done = placed.unionAll(
         free.withColumn("shard", filled.cast("int")).select(*rows.columns))
     done = work.table(done, "done")
     return ranked(done, ["shard"], ["doc_id", "link"], "slot").select(
