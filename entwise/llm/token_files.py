@@ -44,18 +44,17 @@ BLOCK_SCHEMA = ("part int, block int, hash string, first_doc long, last_doc long
                 "ids binary, counts binary, ends binary, frames binary")
 
 
-def _narrow(ids: bytes, end_id: int | None, width: int) -> bytes:
-    a = np.frombuffer(ids, "<u4")
+def _narrow(ids: np.ndarray, end_id: int | None, width: int) -> bytes:
     if end_id is not None:
-        a = np.append(a, np.uint32(end_id))
-    return a.astype(f"<u{width}").tobytes()
+        ids = np.append(ids, np.uint32(end_id))
+    return ids.astype(f"<u{width}").tobytes()
 
 
 def _sample(path: str, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, False)
         for b in batches:
-            got = [_narrow(enc.ids(t), None, width)[:SAMPLE_IDS * width] for t in b.column(0).to_pylist()]
+            got = [_narrow(x[:SAMPLE_IDS], None, width) for x in enc.batch(b.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array(got, pa.binary())], ["ids"])
     return run
 
@@ -93,9 +92,9 @@ def _pack(path: str, end_id: int | None, width: int, dictionary: bytes, digest:
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row.values(), types)], list(row))
 
         for b in batches:
-            for i in range(b.num_rows):
-                body = _narrow(enc.ids(b.column(1)[i].as_py()), end_id, width)
-                ids.append(b.column(0)[i].as_py())
+            for doc, got in zip(b.column(0).to_pylist(), enc.batch(b.column(1))):
+                body = _narrow(got, end_id, width)
+                ids.append(doc)
                 counts.append(len(body) // width)
                 frames.append(z.compress(body))
                 size += len(frames[-1])
