@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from entwise.llm.common import Work
 
 
+def _state(edges: DataFrame) -> tuple:
+    """Number and 128 bits of hashes of a set of edges, to tell two rounds apart."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")),
+                           F.bit_xor(F.xxhash64("v", "u", F.lit(1)))).first())
+
+
 def components(edges: DataFrame, work: Work, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node of ``edges``; root is the smallest node
     reachable.
@@ -17,10 +23,11 @@ def components(edges: DataFrame, work: Work, a: str = "a", b: str = "b") -> Data
     small star), which keeps the components and turns each into a star in
     logarithmically many rounds. A node's minimum is combined map-side, and the
     join back to the edges reads two written tables, so AQE splits a node with
-    very many edges. Only a count of changed edges reaches the driver.
+    very many edges. Only a count and a checksum of the edges reach the driver.
     """
     cur = work.table(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
                      .filter("u <> v").distinct(), "edges")
+    state = _state(cur)
     while True:
         both = cur.unionAll(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = work.table(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "low")
@@ -33,10 +40,8 @@ def components(edges: DataFrame, work: Work, a: str = "a", b: str = "b") -> Data
         nxt = work.table(
             large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionAll(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), "small")
-        changed = nxt.join(cur, ["u", "v"], "left_anti").limit(1).count() + \
-            cur.join(nxt, ["u", "v"], "left_anti").limit(1).count()
-        cur = nxt
-        if not changed:
+        before, state, cur = state, _state(nxt), nxt
+        if state == before:
             break
     roots = cur.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("root"))
     return cur.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(roots)
