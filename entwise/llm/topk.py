@@ -31,7 +31,7 @@ BLOCK = 16_384
 QUERY_BLOCK = 4_096
 SLICE = 1_024
 HEAD = 16
-SAMPLE = 8_192
+SAMPLE = 2_048
 #: Largest squared length for which sums of products are exact in doubles.
 EXACT = float(1 << 52)
 
@@ -64,7 +64,10 @@ def _rows(c: pa.ListArray) -> Iterator[np.ndarray]:
 
 def rotation(sample: np.ndarray) -> np.ndarray:
     """Right singular vectors: coordinates in order of falling spread."""
-    _, _, vt = np.linalg.svd(sample.astype(float), full_matrices=True)
+    rows, dim = sample.shape
+    padded = np.zeros((max(rows, dim), dim))
+    padded[:rows] = sample
+    _, _, vt = np.linalg.svd(padded, full_matrices=False)
     return vt.T
 
 
