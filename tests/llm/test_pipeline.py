@@ -14,7 +14,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def test_stages_against_brute_force(spark, tmp_path):
     docs = spark.read.parquet(f"{TABLES}/documents.parquet")
     bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{TABLES}/benchmark.parquet").collect()]
-    odd = spark.createDataFrame([(9000, "12 34", "en", "x", 5), (9001, None, "en", "x", None), (9002, "", "en", "x", 0)], docs.schema)
+    odd = spark.createDataFrame([(9000, "12 34", "en", "x", 5), (9001, None, "en", "x", None), (9002, "", "en", "x", 0),
+                                 (9003, 'of the token = "0123456789abcdef0123" and that is', "en", "x", 49)], docs.schema)
     docs, before = docs.unionAll(odd), None
     for name, stage in corpus_pipeline.STAGES:
         rows = {r.doc_id: r for r in docs.collect()}
