@@ -3,6 +3,7 @@ distributed ranks, and iteration over Arrow batches in bounded slices."""
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -127,6 +128,27 @@ def ranked(df: DataFrame, group: list[str], order: list[str], out: str) -> DataF
             .drop("_salt", "_local", "_s", "_before", *[f"_g{i}" for i in range(len(group))]))
 
 
+# --- what a worker process holds between tasks --------------------------------
+
+_HELD: dict = {}
+
+
+def held(key, make: Callable[[], object]):
+    """What an operator's tasks hand on to each other in a worker process (a
+    tokenizer, its word table). Only one thing is held, and ``release`` drops it:
+    a worker serves other operators' tasks too, which need the memory."""
+    if key not in _HELD:
+        release()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def release() -> None:
+    if _HELD:
+        _HELD.clear()
+        gc.collect()
+
+
 # --- Arrow batches in slices -------------------------------------------------
 
 def string_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:

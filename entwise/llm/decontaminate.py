@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entwise.llm.common import LOWER, SpanHashes, mix64, prepare, slices, string_buffers, word_spans
+from entwise.llm.common import LOWER, SpanHashes, mix64, prepare, release, slices, string_buffers, word_spans
 
 WINDOW = 13
 #: Benchmark text that one pass holds in each worker; a larger benchmark is
@@ -119,6 +119,7 @@ def build_patterns(items: list[tuple[str, str | None]], window: int = WINDOW) ->
 
 def _scan(patterns: list[Patterns]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             raw, off = string_buffers(batch.column(1))
             for i, j in slices(off, SLICE_BYTES):

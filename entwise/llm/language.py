@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from entwise.llm.common import prepare, slices, string_buffers
+from entwise.llm.common import prepare, release, slices, string_buffers
 
 ORDERS = (1, 2, 3)
 #: Training rows, and landmarks among them, over all languages.
@@ -101,7 +101,7 @@ class Vocabulary:
             grams = np.unique(np.concatenate([s[k] for s in landmarks]))
             table = np.zeros(1 << (_BITS * n), np.int32)  # 0: not a landmark's n-gram
             table[grams] = np.arange(1, len(grams) + 1)
-            weight = np.zeros((len(grams) + 1, len(landmarks)))
+            weight = np.zeros((len(grams) + 1, len(landmarks)), np.float32)
             for j, s in enumerate(landmarks):
                 weight[table[s[k]], j] = 1 / np.sqrt(max(len(s[k]), 1)) / len(ORDERS)
             self.columns.append(table)
@@ -122,7 +122,7 @@ class Vocabulary:
             first = np.searchsorted(text, np.arange(rows))
             some = np.flatnonzero(np.diff(np.append(first, len(text))))
             if len(some):
-                out[some] += np.add.reduceat(weight[present], first[some]) / np.sqrt(counts[some])[:, None]
+                out[some] += np.add.reduceat(weight[present], first[some], dtype=float) / np.sqrt(counts[some])[:, None]
         return out
 
 
@@ -148,6 +148,7 @@ def _collect_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _collect_kernel(vocabulary: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             raw, off = string_buffers(batch.column(1))
             for i, j in slices(off, SLICE_BYTES):
@@ -159,10 +160,11 @@ def _collect_kernel(vocabulary: Vocabulary):
 
 def _score(vocabulary: Vocabulary, weights: np.ndarray, names: list[str]):
     # the kernel is linear in presence, so both matrix products fold into one
-    folded = [w @ weights for w in vocabulary.weights]
+    folded = [w.astype(float) @ weights for w in vocabulary.weights]
     vocabulary.weights = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             col = batch.column(1)
             raw, off = string_buffers(col)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entwise.llm.common import LOWER, SpanHashes, mix64, prepare, slices, string_buffers, word_spans
+from entwise.llm.common import LOWER, SpanHashes, mix64, prepare, release, slices, string_buffers, word_spans
 from entwise.llm.decontaminate import IS_WORD
 
 WIDTH = 3
@@ -142,6 +142,7 @@ class Library:
 
 def _scan(library: Library):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             raw, off = string_buffers(batch.column(1))
             for i, j in slices(off, SLICE_BYTES):

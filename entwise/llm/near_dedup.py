@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entwise.llm.common import LOWER, SpanHashes, Work, by_row, mix64, slices, string_buffers, word_spans
+from entwise.llm.common import LOWER, SpanHashes, Work, by_row, mix64, release, slices, string_buffers, word_spans
 from entwise.llm.components import components
 
 K = 192
@@ -113,6 +113,7 @@ def _signatures(width: int, percent: int):
     short = _short_run(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             raw, off = string_buffers(batch.column(1))
             for i, j in slices(off, SLICE_BYTES):
@@ -132,6 +133,7 @@ def _smallest(width: int):
     """The WHOLE smallest values of each text's set, and the set's size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             raw, off = string_buffers(batch.column(1))
             for i, j in slices(off, SLICE_BYTES):
@@ -230,6 +232,7 @@ def _block_links(percent: int, every: bool):
 
 def _confirm(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             ra, oa = string_buffers(batch.column(2))
             rb, ob = string_buffers(batch.column(3))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entwise.llm.common import SpanHashes, Work, by_row, mix64, slices, string_buffers
+from entwise.llm.common import SpanHashes, Work, by_row, mix64, release, slices, string_buffers
 
 Q = 128
 FAN = 8
@@ -73,6 +73,7 @@ def _anchors(length: int):
     width = length - Q + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             raw, off = string_buffers(batch.column(1))
             ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -109,6 +110,7 @@ def _refined(length: int, step: int):
     (whole). Rows carry the bytes around their anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             c = {n: batch.column(k) for k, n in enumerate(batch.schema.names)}
             raw, off = string_buffers(c["near"])

@@ -20,7 +20,7 @@ import struct
 import numpy as np
 import pyarrow as pa
 
-from entwise.llm.common import SpanHashes, mix64, slices, string_buffers, word_spans
+from entwise.llm.common import SpanHashes, held, mix64, slices, string_buffers, word_spans
 
 _OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200d\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 _ASCII_SPACE = re.compile("[\x0b\x0c\x1c-\x1f]")
@@ -33,8 +33,8 @@ _ENDED = re.compile(f"({_LETTERS.pattern})([!-/:-@[-`{{-~]+)")
 #: Pieces held in each of the two generations of the cache for parts of words.
 CACHE_PIECES = 50_000
 #: Slots of a worker's word table, and ids it holds at most.
-SLOTS = 1 << 22
-TABLE_IDS = 8 << 20
+SLOTS = 1 << 21
+TABLE_IDS = 4 << 20
 SLICE_BYTES = 1 << 18
 
 # 1: blank and line end, 2: other white space of one byte, 3: may begin a longer one or a marker
@@ -275,12 +275,6 @@ class _Words:
         return self.used > TABLE_IDS or self.held > SLOTS // 2
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
-
-
 def encoder(path: str, by_words: bool) -> Encoder:
-    """One encoder, and so one cache, for each worker process and file."""
-    key = (path, by_words)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(path, by_words)
-    return _ENCODERS[key]
+    """The encoder, with its table, that this worker process holds."""
+    return held((path, by_words), lambda: Encoder(path, by_words))
