@@ -3,6 +3,7 @@ distributed ranks, and iteration over Arrow batches in bounded slices."""
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import tempfile
@@ -147,6 +148,8 @@ def release() -> None:
     if _HELD:
         _HELD.clear()
         gc.collect()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)  # else the C library keeps what small objects took
 
 
 # --- Arrow batches in slices -------------------------------------------------
