@@ -2,18 +2,24 @@
 by balanced label propagation. DataFrame and SQL functions only.
 
 Documents with equal texts are neighbours of each other. Every document starts
-in a shard by hash of its id. Neighbours of one group in one shard vote and move
-alike, so a round works on rows (group, shard, documents): each looks at its
-group's rows, and wants to move to the shard with most neighbours that still has
-room, if that is more than share its own. Movers into a shard are ranked by gain
-and admitted up to its room, the last one in part, so no round fills a shard
-beyond its quota, and a group larger than a shard fills one after another. At
+in a shard by hash of its id. All neighbours of a group see the same votes, so a
+round works on one row a group with its documents for each shard: the group asks
+for the shard with most of them among those whose room holds it whole, or, if it
+is larger than any room, for as many of the emptiest shards as it fills. Room is
+a shard's quota less what was admitted to it: where documents stand that have not
+been admitted yet takes no room, so what others leave is free in the same round.
+Requests for a shard are ranked, larger ones first, and admitted up to its room;
+who is not admitted asks again. Rounds go on until every linked document has its
+shard, the largest groups first. A group is cut only where no room holds it. At
 last the group's documents are dealt to its shards by rank. Documents without
-neighbours, which cut no edge anywhere, and linked ones beyond a quota then fill
-up the shards, which makes counts differ by one at most.
+neighbours, which cut no edge anywhere, then fill up the shards, which makes
+counts differ by one at most.
+
+Every round fulfils at least the first request for each shard asked for, and a
+request of a group larger than any room closes its shard, so rounds end.
 
 Only counts per shard reach the driver. A group's documents are never gathered:
-its rows are at most one for each shard, ranks are dealt over salts, and the join
+its votes are at most one for each shard, ranks are dealt over salts, and the join
 on the group reads written tables, so AQE splits a hot one.
 """
 
@@ -25,55 +31,69 @@ from pyspark.sql.window import Window
 
 from entwise.llm.common import Work, ranked, running_offsets, spread
 
-#: Rounds of propagation at most; it ends before when nothing moves. A group that
-#: spans more shards than that keeps the rest where the hash put it.
-ROUNDS = 12
+#: Groups ask in the same round as the largest one if they have more than this
+#: part of its documents; smaller ones wait, as they fit beside the large.
+TIER = 8
 
 
 def _by_number(numbers: list[int], index: str) -> F.Column:
     return F.element_at(F.array(*[F.lit(int(x)).cast("long") for x in numbers]), F.col(index) + 1)
 
 
-def _loads(state: DataFrame, shards: int) -> list[int]:
-    load = [0] * shards
-    for r in state.groupBy("shard").agg(F.sum("n").alias("n")).collect():
-        load[r.shard] = r.n
-    return load
-
-
-def _propagate(linked: DataFrame, quota: list[int], work: Work) -> DataFrame:
-    """(link, shard, n): how many documents of each group go to which shard."""
-    spark, shards = linked.sparkSession, len(quota)
-    state = work.table(linked.groupBy("link", "shard").agg(F.count(F.lit(1)).alias("n")), "state")
-    own = Window.partitionBy("link")  # at most a row for each shard
-    for step in range(ROUNDS):
-        room = [q - x for q, x in zip(quota, _loads(state, shards))]
-        free = F.col("shard").isin([s for s in range(shards) if room[s] > 0])
-        best = F.max(F.when(free, F.struct("n", (-F.col("shard")).alias("s")))).over(own)
-        asked = state.withColumn("best", best).select(
-            "link", "shard", "n", (-F.col("best.s")).cast("int").alias("hub"), (F.col("best.n") - F.col("n")).alias("gain"))
-        moving = F.col("hub").isNotNull() & ((F.col("gain") > 0) | ((F.col("gain") == 0) & (F.col("hub") < F.col("shard"))))
-        asked = work.table(asked.withColumns({
-            "moving": F.coalesce(moving, F.lit(False)), "salt": spread(spark, "link", "shard"),
-            "class": -F.floor(F.log2(F.greatest("gain", F.lit(0)) + 1)).cast("int")}), f"asked-{step}")
-        movers = asked.filter("moving")
-        if movers.limit(1).count() == 0:
-            break
-        # documents that move into the same shard before: of greater gain, then by salt
-        parts = running_offsets(movers.groupBy("hub", "class", "salt").agg(F.sum("n").alias("docs")),
+def _asked(state: DataFrame, room: list[int], step: int) -> DataFrame:
+    """(link, hub, need): the shards that each group asks for, and for how many
+    documents; never more than the group has or the shard has room for."""
+    most = max(room)
+    shards = F.array(*[F.struct(F.lit(int(x)).cast("long").alias("room"), F.lit(s).alias("shard"))
+                       for s, x in enumerate(room) if x > 0])
+
+    def voted(c):
+        return F.coalesce(F.col("votes")[c["shard"]], F.lit(0)).cast("long").alias("n")
+
+    def tie(c):
+        return F.xxhash64("link", c["shard"], F.lit(step)).alias("tie")
+
+    whole = F.array_max(F.transform(F.filter(shards, lambda c: c["room"] >= F.col("left")),
+                                    lambda c: F.struct(voted(c), tie(c), c["shard"].alias("shard"))))
+    emptiest = F.sort_array(F.transform(shards, lambda c: F.struct(
+        c["room"].alias("room"), voted(c), tie(c), c["shard"].alias("shard"))), asc=False)
+    fills = F.slice(emptiest, 1, F.greatest(F.lit(1), F.floor(F.col("left") / most)).cast("int"))
+    asked = F.when(F.col("left") <= most, F.array(F.struct(whole["shard"].alias("hub"), F.col("left").alias("need")))) \
+        .otherwise(F.transform(fills, lambda c: F.struct(c["shard"].alias("hub"), c["room"].alias("need"))))
+    return state.select("link", F.explode(asked).alias("r")).select("link", "r.hub", "r.need")
+
+
+def _propagate(linked: DataFrame, quota: list[int], work: Work) -> tuple[DataFrame, list[int]]:
+    """(link, shard, n): how many documents of each group go to which shard; and
+    the documents in each shard."""
+    spark, room = linked.sparkSession, list(quota)
+    votes = linked.groupBy("link", "shard").agg(F.count(F.lit(1)).alias("n")).groupBy("link").agg(
+        F.sum("n").alias("left"), F.map_from_entries(F.collect_list(F.struct("shard", "n"))).alias("votes"))
+    state = work.table(votes, "votes")
+    placed, step = None, 0
+    while largest := state.agg(F.max("left")).first()[0]:
+        asked = _asked(state.filter(F.col("left") * TIER > largest), room, step).withColumns(
+            {"salt": spread(spark, "link"), "class": -F.floor(F.log2("need")).cast("int")})
+        asked = work.table(asked, f"asked-{step}")
+        # documents that ask for the same shard before: of larger requests, then by salt
+        parts = running_offsets(asked.groupBy("hub", "class", "salt").agg(F.sum("need").alias("docs")),
                                 ["hub"], ["class", "salt"], "docs", "before").drop("docs")
-        line = Window.partitionBy("hub", "class", "salt").orderBy("link", "shard") \
-            .rowsBetween(Window.unboundedPreceding, -1)
-        movers = movers.withColumn("inside", F.coalesce(F.sum("n").over(line), F.lit(0))) \
-            .join(parts, ["hub", "class", "salt"])
-        left = _by_number(room, "hub") - F.col("before") - F.col("inside")
-        movers = movers.withColumn("go", F.greatest(F.lit(0), F.least(F.col("n"), left)))
-        rows = F.explode(F.array(F.struct("shard", (F.col("n") - F.col("go")).alias("n")),
-                                 F.struct(F.col("hub").alias("shard"), F.col("go").alias("n"))))
-        moved = movers.select("link", rows.alias("r")).select("link", "r.shard", "r.n")
-        state = work.table(asked.filter("NOT moving").select("link", "shard", "n").unionAll(moved).filter("n > 0")
-                           .groupBy("link", "shard").agg(F.sum("n").alias("n")), f"state-{step}")
-    return state
+        line = Window.partitionBy("hub", "class", "salt").orderBy("link").rowsBetween(Window.unboundedPreceding, -1)
+        admitted = asked.withColumn("inside", F.coalesce(F.sum("need").over(line), F.lit(0))) \
+            .join(parts, ["hub", "class", "salt"]) \
+            .filter(F.col("before") + F.col("inside") + F.col("need") <= _by_number(room, "hub"))
+        admitted = work.table(admitted.select("link", F.col("hub").alias("shard"), F.col("need").alias("n")),
+                              f"admitted-{step}")
+        for r in admitted.groupBy("shard").agg(F.sum("n").alias("n")).collect():
+            room[r.shard] -= r.n
+        placed = admitted if placed is None else placed.unionAll(admitted)
+        went = admitted.groupBy("link").agg(F.sum("n").alias("went"))
+        state = work.table(state.join(went, "link", "left").select(
+            "link", (F.col("left") - F.coalesce("went", F.lit(0))).alias("left"), "votes").filter("left > 0"), f"left-{step}")
+        step += 1
+    if placed is None:
+        placed = state.select("link", F.lit(0).alias("shard"), F.col("left").alias("n"))
+    return placed, [q - x for q, x in zip(quota, room)]
 
 
 def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
@@ -100,8 +120,7 @@ def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
                         .filter("members > 1").select("link"), "groups")
     linked = work.table(rows.join(groups, "link", "left_semi").select(*rows.columns), "linked")
     single = rows.join(groups, "link", "left_anti").select(*rows.columns)
-    state = _propagate(linked, quota, work)
-    load = _loads(state, shards)
+    state, load = _propagate(linked, quota, work)
 
     # a group's documents, by rank, to its shards
     till = F.sum("n").over(Window.partitionBy("link").orderBy("shard"))
@@ -110,13 +129,6 @@ def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
     order = work.table(ranked(linked.drop("shard"), ["link"], ["doc_id"], "nth"), "ranked")
     placed = order.join(deals, "link").withColumn(
         "shard", F.filter("deals", lambda d: d["till"] > F.col("nth"))[0]["shard"])
-    if any(x > q for x, q in zip(load, quota)):
-        # only where the hash put too many linked ones: those beyond the quota are dealt anew
-        placed = work.table(ranked(placed.select(*rows.columns), ["shard"], ["link", "doc_id"], "place"), "placed")
-        over = F.col("place") >= _by_number(quota, "shard")
-        single = single.unionAll(placed.filter(over).select(*rows.columns))
-        placed = placed.filter(~over)
-        load = [min(x, q) for x, q in zip(load, quota)]
     placed = placed.select(*rows.columns)
     ends, at = [], 0
     for q, x in zip(quota, load):

@@ -39,6 +39,24 @@ def test_shards(spark):
     check_shards(spark, [], 5)
 
 
+@pytest.mark.parametrize("percent", [50, 80, 100])
+def test_linked_rows_stay_together(spark, percent):
+    linked = 24 * percent
+    alone = [(10_000 + i, f"alone {i}") for i in range(2400 - linked)]
+    # a shard holds 100 rows: with groups of 3 alone, one row of each is left over
+    groups = check_shards(spark, [(i, f"three {i // 3}") for i in range(linked)] + alone)
+    assert sum(len(s) > 1 for s, _ in groups.values()) <= (8 if percent == 100 else 0)
+    # a third of all rows are one group
+    groups = check_shards(spark, [(i, "many" if i < 800 else f"three {i // 3}") for i in range(linked)] + alone)
+    assert len(groups.pop("many")[0]) == 8
+    assert sum(len(s) > 1 for s, _ in groups.values()) <= (6 if percent == 100 else 0)
+
+
+def test_a_group_of_a_third_over_many_shards(spark):
+    groups = check_shards(spark, [(i, "many" if i < 800 else f"alone {i}") for i in range(2400)], 48)
+    assert len(groups["many"][0]) == 16
+
+
 def test_shards_of_the_whole_table(spark, documents):
     check_shards(spark, [(r.doc_id, r.text) for r in documents.collect()])
 
