@@ -11,13 +11,18 @@ exactly, must reach ``CONTAINMENT``. A window that holds that share has a Jaccar
 similarity of at least ``LEAST_SIMILAR`` with the template, at which one of the
 bands is equal with a chance of ``collision_chance()``, above 1 - 1e-5.
 
+Notices of one family differ in a word or two, so a whole notice contains most of
+its siblings'. With ``telling``, the window must also hold the shingles that tell
+the licence from its siblings (version, Lesser or Affero, SA, NC, ND), so a window
+with a sibling's notice alone is no match, and one beside it still is.
+
 Windows that hold no shingle of any template are skipped: their containment is 0.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -63,8 +68,56 @@ TEMPLATES = [
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("Proprietary", "All rights reserved. No part of this work may be reproduced without written permission."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("LGPL-2.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                 "Library General Public License as published by the Free Software Foundation; either "
+                 "version 2 of the License"),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation; either "
+                 "version 2.1 of the License"),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation, either "
+                 "version 3 of the License"),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                 "Affero General Public License as published by the Free Software Foundation, either "
+                 "version 3 of the License"),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 "
+                 "International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
+                 "International License."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 "
+                 "International License."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 "
+                 "International License."),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 "
+                 "International License."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
 ]
 
+#: Shingles that tell a licence from its siblings: a template needs those of them
+#: that it has itself.
+TELLING = {
+    "Apache-2.0": ["version 2 0"],
+    "MPL-2.0": ["v 2 0"],
+    "GPL-2.0": ["gnu general public", "license version 2", "version 2 of"],
+    "GPL-3.0": ["gnu general public", "license version 3", "version 3 of"],
+    "LGPL-2.0": ["gnu library general", "version 2 of"],
+    "LGPL-2.1": ["gnu lesser general", "version 2 1"],
+    "LGPL-3.0": ["gnu lesser general", "license version 3", "version 3 of"],
+    "AGPL-3.0": ["gnu affero general", "license version 3", "version 3 of"],
+    "CC-BY-4.0": ["commons attribution 4", "attribution 4 0", "cc by 4", "by 4 0"],
+    "CC-BY-SA-4.0": ["attribution sharealike 4", "sharealike 4 0", "by sa 4", "sa 4 0"],
+    "CC-BY-NC-4.0": ["attribution noncommercial 4", "noncommercial 4 0", "by nc 4", "nc 4 0"],
+    "CC-BY-ND-4.0": ["attribution noderivatives 4", "noderivatives 4 0", "by nd 4", "nd 4 0"],
+    "CC-BY-NC-SA-4.0": ["noncommercial sharealike 4", "sharealike 4 0", "nc sa 4", "sa 4 0"],
+    "CC-BY-NC-ND-4.0": ["noncommercial noderivatives 4", "noderivatives 4 0", "nc nd 4", "nd 4 0"],
+}
+
 _A = mix64(np.arange(1, ROWS * BANDS + 1, dtype=np.uint64)) | np.uint64(1)
 _B = mix64(np.arange(1, ROWS * BANDS + 1, dtype=np.uint64) * np.uint64(7919))
 
@@ -101,8 +154,8 @@ def _words(raw: np.ndarray, offsets: np.ndarray):
 class Library:
     """Templates by class, with band buckets."""
 
-    def __init__(self, templates: Sequence[tuple[str, str]]):
-        self.names, self.sets, self.buckets = [], [], {}
+    def __init__(self, templates: Sequence[tuple[str, str]], telling: Mapping[str, Sequence[str]] | None = None):
+        self.names, self.sets, self.needs, self.buckets = [], [], [], {}
         for name, text in templates:
             words, _ = _words(*string_buffers(pa.array([text])))
             shingles = np.unique(_shingles(words))
@@ -116,6 +169,9 @@ class Library:
                 buckets[band].add(len(self.sets))
             self.names.append(name)
             self.sets.append(shingles)
+            phrases = (telling or {}).get(name, ())
+            told = [_shingles(_words(*string_buffers(pa.array([x])))[0]) for x in phrases]
+            self.needs.append(np.intersect1d(np.concatenate([shingles[:0], *told]), shingles))
         self.known = np.unique(np.concatenate(self.sets))
 
     def matches(self, shingles: np.ndarray) -> dict[int, tuple[float, int]]:
@@ -134,6 +190,8 @@ class Library:
                 if not len(window):
                     continue
                 for t in set().union(*(buckets.get(b, ()) for b in _bands(window))):
+                    if not np.isin(self.needs[t], window).all():
+                        continue
                     held = len(np.intersect1d(self.sets[t], window, assume_unique=True)) / len(self.sets[t])
                     if held >= CONTAINMENT and (held, -w * half) > (found[t][0], -found[t][1]) if t in found else held >= CONTAINMENT:
                         found[t] = (held, w * half)
@@ -163,18 +221,20 @@ def _scan(library: Library):
     return run
 
 
-def scan_licenses(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES) -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES,
+                  telling: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """doc_id, n_words and ``found`` for every row of ``docs`` (doc_id, text): for
     each licence with a template that some window contains to CONTAINMENT of its
     shingles, its name, the best containment and the window's first word (the
-    earliest of the best), ordered by name.
+    earliest of the best), ordered by name. With ``telling`` (as ``TELLING``), only
+    windows that hold a licence's telling shingles count, so siblings are told apart.
 
     Null, empty and wordless texts have none. Rows with a null doc_id are left
     out, repeated ones are reported each. Extra columns are ignored; an empty
     table gives an empty result.
     """
     prepare(docs.sparkSession)
-    library = Library(templates)
+    library = Library(templates, telling)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .filter("doc_id IS NOT NULL")
     return rows.mapInArrow(

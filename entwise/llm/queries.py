@@ -28,7 +28,7 @@ def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = licenses.scan_licenses(_read(spark, sf_dir, "documents"))
+    found = licenses.scan_licenses(_read(spark, sf_dir, "documents"), telling=licenses.TELLING)
     return found.select("doc_id", "n_words", F.size("found").cast("long").alias("n_licenses"),
                         F.array_join("found.license", ",").alias("licenses"),
                         F.round(F.array_max("found.containment"), 6).alias("containment"))

@@ -126,3 +126,24 @@ def test_licenses_equal_brute_force(spark, documents):
     assert licenses.scan_licenses(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
         licenses.Library([("short", "two words")])
+
+
+def test_licenses_of_one_family_are_told_apart(spark):
+    library = "you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software " \
+        "Foundation, either version {} of the License, or (at your option) any later version."
+    cases = [(t, {n}) for n, t in licenses.TEMPLATES]
+    cases += [("This program is free software: " + library.format(f"{k}General Public License", v), {n}) for k, v, n in [
+        ("", "2", "GPL-2.0"), ("", "3", "GPL-3.0"), ("Affero ", "3", "AGPL-3.0"), ("Lesser ", "2.1", "LGPL-2.1"),
+        ("Lesser ", "3", "LGPL-3.0"), ("Library ", "2", "LGPL-2.0")]]
+    cases += [("It is licensed under the GNU General Public License, version 2.", {"GPL-2.0"}),
+              ("This program is free software: " + library.format("General Public License", "1"), set()),
+              ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", {"CC-BY-SA-4.0"}),
+              ("This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+               {"CC-BY-NC-ND-4.0"}),
+              ("This work is licensed under a Creative Commons Attribution 3.0 Unported License.", set()),
+              # notices of siblings side by side are all found
+              (" ".join(t for n, t in licenses.TEMPLATES if "GPL" in n), {n for n, _ in licenses.TEMPLATES if "GPL" in n}),
+              ("Licensed under CC BY 4.0. Licensed under CC BY-SA 4.0.", {"CC-BY-4.0", "CC-BY-SA-4.0"})]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: {x.license for x in r.found} for r in licenses.scan_licenses(df, telling=licenses.TELLING).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(cases)}
