@@ -21,20 +21,36 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.identify(docs).filter("lang_pred <> 'und'").select(*docs.columns)
 
 
+def _numbered(docs: DataFrame, work: Work) -> DataFrame:
+    """``docs`` with a number of its own for each row (``_row``), written so that
+    every reader sees the same numbers: doc_ids may repeat or be null."""
+    return work.table(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+
+
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the smallest doc_id
-    (5-word shingles, similarity 0.8)."""
-    kept = Work(spark, "kept").table(
-        near_dedup.near_duplicates(docs, width=5, percent=80).filter("kept").select("doc_id"), "kept")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """One row of each group of near-duplicates stays, that of the smallest doc_id
+    (5-word shingles, similarity 0.8). Every row is a document of its own,
+    whether its doc_id is repeated or null; a null one counts as the largest."""
+    work = Work(spark, "kept")
+    rows = _numbered(docs, work)
+    found = work.table(near_dedup.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), width=5, percent=80)
+                       .select(F.col("doc_id").alias("_row"), "component_id"), "found")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
+    kept = work.table(found.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id")
+                      .agg(first.alias("first")).select("first._row"), "kept")
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of whose words a twentieth lies in benchmark passages go."""
+    """Documents of whose words a twentieth lies in benchmark passages go. Every
+    row is judged by its own text, whether its doc_id is repeated or null."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    bad = Work(spark, "contaminated").table(
-        decontaminate.contamination(docs, benchmark).filter("contaminated").select("doc_id"), "contaminated")
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    work = Work(spark, "contaminated")
+    rows = _numbered(docs, work)
+    bad = work.table(
+        decontaminate.contamination(rows.select(F.col("_row").alias("doc_id"), "text"), benchmark)
+        .filter("contaminated").select(F.col("doc_id").alias("_row")), "contaminated")
+    return rows.join(bad, "_row", "left_anti").select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,8 +60,13 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of 4096 ids."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    """Sequences of 4096 ids, of documents with a null doc_id too."""
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    if docs.filter("doc_id IS NULL").limit(1).count() == 0:
+        return packing.pack(docs, tokenizer, end_id=2)
+    rows = _numbered(docs, Work(spark, "packed"))
+    packed = packing.pack(rows.select(F.col("_row").alias("doc_id"), "text"), tokenizer, end_id=2)
+    return packed.withColumnRenamed("doc_id", "_row").join(rows.select("_row", "doc_id"), "_row").select(*packed.columns)
 
 
 STAGES = [("language", language_id), ("near_dedup", near_dedup_stage), ("decontaminate", decontaminate_stage),

@@ -51,3 +51,20 @@ def test_run_over_the_table_and_an_empty_one(spark, tmp_path):
     for t in ("documents", "benchmark"):
         spark.read.parquet(f"{TABLES}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/none/{t}.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_stages_decide_by_row(spark, tmp_path):
+    text, other = (" ".join(f"{w}{i}" for i in range(60)) for w in ("one", "two"))
+    rows = [(5, text), (5, text), (6, other), (1, "quite another text of its own"), (1, other), (None, other),
+            (None, "clean words without an id"), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "x", None) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([("b", other)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    key = lambda x: [(i is None, i or 0, t is None, t or "") for i, t in x]
+    after = {name: sorted(key((r.doc_id, r.text) for r in stage(spark, docs, str(tmp_path)).collect()))
+             for name, stage in corpus_pipeline.STAGES[1:3]}
+    assert after["near_dedup"] == sorted(key([rows[0], rows[3], rows[4], rows[6], rows[7]]))
+    assert after["decontaminate"] == sorted(key([rows[0], rows[1], rows[3], rows[6], rows[7]]))
+    packed = corpus_pipeline.pack(spark, docs, str(tmp_path))
+    assert packed.columns == corpus_pipeline.pack(spark, docs.filter("doc_id IS NOT NULL"), str(tmp_path)).columns
+    assert packed.filter("doc_id IS NULL AND start = 0").count() == 3 and packed.filter("start = 0").count() == len(rows)
