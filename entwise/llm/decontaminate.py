@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entwise.llm.common import LOWER, SpanHashes, mix64, prepare, release, slices, string_buffers, word_spans
+from entwise.llm.common import LOWER, SpanHashes, Work, by_row, mix64, prepare, release, slices, string_buffers, word_spans
 
 WINDOW = 13
 #: Benchmark text that one pass holds in each worker; a larger benchmark is
@@ -190,8 +190,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, p
     document is contaminated if a twentieth of its words are. Null, empty and
     wordless texts have no words; such benchmark items, and those with a null
     item_id, have no window. Item ids are compared as strings. Rows with a null
-    doc_id are left out, repeated doc_ids must not occur. Extra columns are
-    ignored; empty tables give no rows, or no hits.
+    doc_id are left out; rows that share a doc_id are documents of their own.
+    Extra columns are ignored; empty tables give no rows, or no hits.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -201,6 +201,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, p
         .filter("item IS NOT NULL AND text IS NOT NULL")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     passes = max(1, -(-size // pass_bytes))
+    if passes == 1:
+        return _search(texts, items, 1, window)
+    # passes are put together by doc_id, so rows that share one get numbers
+    return by_row(texts, Work(spark, "decontaminate"), lambda rows: _search(rows, items, passes, window)).drop("row")
+
+
+def _search(texts: DataFrame, items: DataFrame, passes: int, window: int) -> DataFrame:
     found = None
     for k in range(passes):
         part = items if passes == 1 else items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == k)

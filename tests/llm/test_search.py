@@ -55,6 +55,16 @@ def test_contamination_equals_brute_force(spark, documents):
     check_contamination(spark, docs, [])
 
 
+def test_contamination_of_repeated_ids_in_one_or_several_passes(spark):
+    passage = [" ".join(f"{c}{i}" for i in range(300)) for c in "pqr"]
+    rows = [(1, passage[0]), (1, "clean words"), (1, passage[1]), (1, passage[1]), (2, passage[2]), (2, None), (None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(passage)], "item_id long, text string")
+    one, many = (sorted(map(tuple, decontaminate.contamination(docs, bench, pass_bytes=n).collect())) for n in (1 << 20, 500))
+    assert one == many and [(r[0], r[2], r[3]) for r in one] == [
+        (1, 0, 0), (1, 300, 1), (1, 300, 1), (1, 300, 1), (2, 0, 0), (2, 300, 1)]
+
+
 def test_shift_table_skips_only_impossible_places():
     p = decontaminate.build_patterns([("x", "a b c d e")], 5)[0]
     assert p.default == 4 and sorted(p.shift.tolist()) == [0, 1, 2, 3]
