@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entwise.llm import decontaminate, language, licenses, near_dedup, packing, repeats, secrets, sharding, token_files, topk
+from entwise.llm import (decontaminate, language, lexical, licenses, near_dedup, packing, repeats, secrets, sharding,
+                         token_files, topk)
 from entwise.llm.common import Work
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +54,7 @@ QUERIES: dict[str, Query] = {
     "op8_licenses": _op8,
     "op9_sharding": lambda s, d: sharding.shard_documents(_read(s, d, "documents"), 24),
     "op10_language": _op10,
+    "op11_ranked_search": lambda s, d: lexical.rank_documents(_read(s, d, "documents"), _read(s, d, "benchmark"), k=10),
 }
 
 ORACLE: dict[str, str] = {
@@ -73,4 +75,39 @@ ORACLE: dict[str, str] = {
         )
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
     """,
+    "op11_ranked_search": r"""
+        WITH t AS (
+            SELECT doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents
+        ), q AS (
+            SELECT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark
+        ), q_counts AS (
+            SELECT item_id, term, count(*) AS repeats FROM q GROUP BY item_id, term
+        ), tf AS (
+            SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term
+        ), lengths AS (
+            SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id
+        ), whole AS (
+            SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS length FROM lengths
+        ), weights AS (
+            SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM tf, whole GROUP BY term, n_docs
+        ), ms AS (
+            SELECT doc_id, 25 + ((75 * n * n_docs) // length) AS m FROM lengths, whole
+        ), scores AS (
+            SELECT item_id, doc_id,
+                   CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+            FROM q_counts JOIN tf USING (term) JOIN weights USING (term) JOIN ms USING (doc_id)
+            GROUP BY item_id, doc_id
+        ), ranks AS (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+            FROM scores WHERE score > 0
+        )
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranks WHERE rank <= 10
+    """,
 }
