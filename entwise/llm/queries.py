@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entwise.llm import (decontaminate, language, lexical, licenses, near_dedup, packing, repeats, secrets, sharding,
-                         token_files, topk)
+from entwise.llm import (decontaminate, language, lexical, licenses, near_dedup, packing, pieces, repeats, secrets,
+                         sharding, token_files, topk)
 from entwise.llm.common import Work
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,8 @@ QUERIES: dict[str, Query] = {
     "op9_sharding": lambda s, d: sharding.shard_documents(_read(s, d, "documents"), 24),
     "op10_language": _op10,
     "op11_ranked_search": lambda s, d: lexical.rank_documents(_read(s, d, "documents"), _read(s, d, "benchmark"), k=10),
+    "op12_sentencepiece": lambda s, d: pieces.round_trip(
+        _read(s, d, "documents"), public_tokenizers.path("piece_bpe_32k.model")),
 }
 
 ORACLE: dict[str, str] = {
