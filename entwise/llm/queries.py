@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entwise.llm import (decontaminate, language, lexical, licenses, near_dedup, packing, pieces, repeats, secrets,
+from entwise.llm import (alignment, decontaminate, language, lexical, licenses, near_dedup, packing, pieces, repeats, secrets,
                          sharding, token_files, topk)
 from entwise.llm.common import Work
 
@@ -57,6 +57,8 @@ QUERIES: dict[str, Query] = {
     "op11_ranked_search": lambda s, d: lexical.rank_documents(_read(s, d, "documents"), _read(s, d, "benchmark"), k=10),
     "op12_sentencepiece": lambda s, d: pieces.round_trip(
         _read(s, d, "documents"), public_tokenizers.path("piece_bpe_32k.model")),
+    "op13_alignment": lambda s, d: alignment.align(
+        _read(s, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")),
 }
 
 ORACLE: dict[str, str] = {
