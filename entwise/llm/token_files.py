@@ -111,8 +111,10 @@ def write_token_files(docs: DataFrame, out: str, tokenizer_file: str, end_id: in
                       vocabulary: int = 1 << 16, partitions: int | None = None) -> None:
     """Encode every text of ``docs`` (doc_id, text) into a token folder.
 
-    A null or empty text has no ids but the end id. Rows with a null doc_id are
-    left out; rows that share a doc_id are written one after another, by text.
+    A null or empty text has no ids but the end id; names of special tokens in a
+    text are those tokens. Rows with a null doc_id are left out; rows that share a
+    doc_id are written one after another, by a hash of the text, and may lie in
+    several files.
     Extra columns are ignored; an empty table gives a folder without blocks.
     """
     spark = docs.sparkSession
@@ -122,8 +124,10 @@ def write_token_files(docs: DataFrame, out: str, tokenizer_file: str, end_id: in
     dictionary = train_dictionary(rows, tokenizer_file, width)
     digest = hashlib.sha256(dictionary).hexdigest()
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-     .mapInArrow(_pack(tokenizer_file, end_id, width, dictionary, digest), BLOCK_SCHEMA)
+    # a doc_id with very many rows is cut by its texts, and equal texts by where they come from
+    keyed = rows.withColumn("h", F.xxhash64("text"))
+    (keyed.repartitionByRange(n, "doc_id", "h", F.monotonically_increasing_id()).sortWithinPartitions("doc_id", "h", "text")
+     .select("doc_id", "text").mapInArrow(_pack(tokenizer_file, end_id, width, dictionary, digest), BLOCK_SCHEMA)
      .write.option("compression", "none").parquet(f"{out}/blocks"))
     spark.createDataFrame([(digest, bytearray(dictionary), width)], "hash string, dictionary binary, width int") \
         .write.parquet(f"{out}/dictionary")

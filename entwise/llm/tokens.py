@@ -3,12 +3,13 @@
 Byte-pair encoding never merges across a pre-token, and a pre-token never spans
 the place between a non-space and a space, so a text may be encoded word by
 word, each with the white space before it, and a word needs encoding once. Each
-worker keeps a table from the hash of a word to its ids, and looks up and lays
-out all words of a batch of texts with array operations; only words it hasn't
-seen go to the tokenizer. Texts with white space other than blank, tab and line
-ends, or with the marker of special tokens, are given to the tokenizer whole,
-and those with runs of white space piece by piece, so the ids always equal those
-of the whole text (words are told apart by 64-bit hashes).
+worker keeps a table from the hash of a word to its bytes and ids, and looks up,
+compares and lays out all words of a batch of texts with array operations; only
+words it hasn't seen go to the tokenizer. Texts with white space other than
+blank, tab and line ends, or with the marker of special tokens, are given to the
+tokenizer whole, and those with runs of white space piece by piece, so the ids
+always equal those of the whole text. Words of one hash are told apart by their
+bytes.
 """
 
 from __future__ import annotations
@@ -74,14 +75,16 @@ class _Cache(dict):
 
 class Encoder:
     """Token ids of whole texts. ``by_words``: the tokenizer drops white space and
-    case; otherwise a leading blank belongs to its word."""
+    case; otherwise a leading blank belongs to its word. ``plain``: the names of
+    special tokens inside a text are ordinary text; otherwise they are those
+    tokens, as the library has it unless told not to."""
 
-    def __init__(self, path: str, by_words: bool):
+    def __init__(self, path: str, by_words: bool, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
         tok = Tokenizer.from_file(path)
-        tok.encode_special_tokens = True  # a special token's name inside a text is ordinary text
+        tok.encode_special_tokens = plain
         alphabet = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.tok, self.model, self.by_words = tok, tok.model, by_words
         # the byte alphabet's characters for those of Latin-1, for str.translate
@@ -139,11 +142,11 @@ class Encoder:
                       | ((a == 0xE1) & ((b == 0x9A) | (b == 0xA0)))
                       | ((a == 0xE2) & ((b == 0x81) | ((b == 0x80) & ((c <= 0x8D) | ((c >= 0xA8) & (c <= 0xAF))))))
                       | ((a == 0xE3) & (b == 0x80)) | ((a == 0xEF) & (b == 0xBB))])
-        if not self.by_words:  # runs of white space, and white space at either end
+        if not self.by_words:  # runs of white space, and white space at the end
             space = kind == 1
             bad.append(np.flatnonzero(space[1:] & space[:-1]))
-            some = np.flatnonzero(np.diff(off))
-            bad += [off[some][space[off[some]]], (off[some + 1] - 1)[space[off[some + 1] - 1]]]
+            last = off[1:][np.diff(off) > 0] - 1
+            bad.append(last[space[last]])
         odd = np.zeros(len(off) - 1, bool)
         odd[np.searchsorted(off, np.concatenate(bad), side="right") - 1] = True
         return odd
@@ -151,39 +154,38 @@ class Encoder:
     def _slice(self, raw: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
         odd = self._odd(raw, off)
         start, end, first = word_spans(raw, off, _SPLIT)
-        lead = np.zeros(len(start), np.uint64)  # 0: the text's first word, or white space doesn't count
+        lead = np.zeros(len(start), np.uint8)  # 0: the text begins with the word, or white space doesn't count
         if not self.by_words:
-            inner = np.ones(len(start), bool)
-            inner[first[:-1][first[:-1] < first[1:]]] = False
+            inner = start > np.repeat(off[:-1], np.diff(first))
             lead[inner] = raw[start[inner] - 1]
         start, end, lead, first = _without_ends(raw, start, end, lead, first)
         h = SpanHashes(raw).of(start, end)
-        h = mix64(h + lead * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+        h = mix64(h + lead.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
         if self.words.full():
             self.words = _Words()
         words = self.words
         skip = np.repeat(odd, np.diff(first))
-        slot = words.find(h)
+        slot = words.find(h, raw, start, end, lead)
         unknown = np.flatnonzero((slot < 0) & ~skip)
-        extra: dict[int, bytes] = {}
+        extra: dict[tuple[bytes, int], bytes] = {}
         if len(unknown):
             new, where = np.unique(h[unknown], return_index=True)
             where = unknown[where]
             text = raw.tobytes()
-            ids = []
-            for w, a, b, before in zip(where.tolist(), start[where].tolist(), end[where].tolist(), lead[where].tolist()):
-                word = text[a:b].decode()
-                ids.append(self.piece(word) if not before else self.led_piece(word if before == 0x20 else "\n" + word))
-            words.add(new, ids)
-            slot[unknown] = words.find(h[unknown])
-            unknown = unknown[slot[unknown] < 0]  # those that found no slot
-            extra = dict(zip(new.tolist(), ids)) if len(unknown) else {}
+            ids = [self.word(text[a:b], before) for a, b, before in
+                   zip(start[where].tolist(), end[where].tolist(), lead[where].tolist())]
+            words.add(new, ids, raw, start[where], end[where], lead[where])
+            slot[unknown] = words.find(h[unknown], raw, start[unknown], end[unknown], lead[unknown])
+            unknown = unknown[slot[unknown] < 0]  # those that found no slot, or one of another word
+            named = [(text[a:b], before) for a, b, before in
+                     zip(start[unknown].tolist(), end[unknown].tolist(), lead[unknown].tolist())]
+            extra = {x: self.word(*x) for x in set(named)}
         slot[skip] = 0
         at, n = words.at[slot].astype(np.int64), words.n[slot].astype(np.int64)
         n[skip] = 0
         pool = words.ids
         if len(unknown):
-            more = [np.frombuffer(extra[k], "<u4") for k in h[unknown].tolist()]
+            more = [np.frombuffer(extra[x], "<u4") for x in named]
             n[unknown] = [len(x) for x in more]
             at[unknown] = words.used + np.cumsum(n[unknown]) - n[unknown]
             pool = np.concatenate([pool[:words.used], *more])
@@ -195,6 +197,12 @@ class Encoder:
             out[d] = np.frombuffer(self.ids(raw[off[d]:off[d + 1]].tobytes().decode()), "<u4")
         return out
 
+    def word(self, word: bytes, lead: int) -> bytes:
+        """Ids of a word and of the blank or line end before it, if that counts."""
+        if not lead:
+            return self.piece(word.decode())
+        return self.led_piece(word.decode() if lead == 0x20 else "\n" + word.decode())
+
     def ids(self, text: str | None) -> bytes:
         """The ids of one text as little-endian unsigned 32-bit integers."""
         if not text:
@@ -229,36 +237,55 @@ def _without_ends(raw, start, end, lead, first):
 
 
 class _Words:
-    """Word hash -> ids. A word may stand in either of two slots; one that finds
-    both taken isn't kept. The table is emptied when it is full, so its size is
-    fixed."""
+    """Word hash -> the word's bytes and ids. A word may stand in either of two
+    slots; one that finds both taken isn't kept. The table is emptied when it is
+    full, so its size is fixed."""
 
     def __init__(self) -> None:
         self.key = np.zeros(SLOTS, np.uint64)
-        self.at = np.zeros(SLOTS, np.int32)
-        self.n = np.zeros(SLOTS, np.int32)
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.used = self.held = 0
+        self.at, self.n = np.zeros(SLOTS, np.int32), np.zeros(SLOTS, np.int32)
+        self.word_at, self.word_n = np.zeros(SLOTS, np.int32), np.zeros(SLOTS, np.int32)
+        self.lead = np.zeros(SLOTS, np.uint8)
+        self.ids, self.bytes = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.uint8)
+        self.used = self.written = self.held = 0
 
     def slots(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         mask = np.uint64(SLOTS - 1)
         return (h & mask).astype(np.int64), ((h >> np.uint64(32)) & mask).astype(np.int64)
 
-    def find(self, h: np.ndarray) -> np.ndarray:
-        """The slot of each hash, or -1."""
+    def find(self, h: np.ndarray, raw: np.ndarray, start: np.ndarray, end: np.ndarray, lead: np.ndarray) -> np.ndarray:
+        """The slot of each word, or -1."""
         one, two = self.slots(h)
         slot = np.where(self.key[one] == h, one, -1)
         rest = np.flatnonzero(slot < 0)
         slot[rest] = np.where(self.key[two[rest]] == h[rest], two[rest], -1)
+        slot[(self.word_n[slot] != end - start) | (self.lead[slot] != lead)] = -1
+        known = np.flatnonzero(slot >= 0)
+        n = (end - start)[known]
+        before = np.cumsum(n) - n
+        step = np.arange(n.sum()) - np.repeat(before, n)
+        same = self.bytes[np.repeat(self.word_at[slot[known]], n) + step] == raw[np.repeat(start[known], n) + step]
+        wrong = np.flatnonzero(~same)
+        slot[known[np.searchsorted(before, wrong, side="right") - 1]] = -1
         return slot
 
-    def add(self, h: np.ndarray, ids: list[bytes]) -> None:
-        """Add new words; ``h`` holds each once."""
+    @staticmethod
+    def _grown(pool: np.ndarray, size: int) -> np.ndarray:
+        while size > len(pool):
+            pool = np.concatenate([pool, np.zeros(len(pool), pool.dtype)])
+        return pool
+
+    def add(self, h: np.ndarray, ids: list[bytes], raw: np.ndarray, start: np.ndarray, end: np.ndarray,
+            lead: np.ndarray) -> None:
+        """Add new words; ``h`` holds each hash once."""
         flat = np.frombuffer(b"".join(ids), "<u4")
         n = np.array([len(x) // 4 for x in ids], np.int32)
-        while self.used + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), np.uint32)])
+        size = end - start
+        before = np.cumsum(size) - size
+        letters = raw[np.repeat(start - before, size) + np.arange(size.sum())]
+        self.ids, self.bytes = self._grown(self.ids, self.used + len(flat)), self._grown(self.bytes, self.written + len(letters))
         self.ids[self.used:self.used + len(flat)] = flat
+        self.bytes[self.written:self.written + len(letters)] = letters
         at = self.used + np.cumsum(n) - n
         left = np.arange(len(h))
         for slots in self.slots(h):
@@ -267,14 +294,16 @@ class _Words:
             put = free[one]
             slot = slots[put]
             self.key[slot], self.at[slot], self.n[slot] = h[put], at[put], n[put]
+            self.word_at[slot], self.word_n[slot], self.lead[slot] = self.written + before[put], size[put], lead[put]
             left = np.setdiff1d(left, put, assume_unique=True)
         self.used += len(flat)
+        self.written += len(letters)
         self.held += len(h)
 
     def full(self) -> bool:
-        return self.used > TABLE_IDS or self.held > SLOTS // 2
+        return self.used > TABLE_IDS or self.written > 4 * TABLE_IDS or self.held > SLOTS // 2
 
 
-def encoder(path: str, by_words: bool) -> Encoder:
+def encoder(path: str, by_words: bool, plain: bool = False) -> Encoder:
     """The encoder, with its table, that this worker process holds."""
-    return held((path, by_words), lambda: Encoder(path, by_words))
+    return held((path, by_words, plain), lambda: Encoder(path, by_words, plain))

@@ -18,26 +18,44 @@ PARTS = ["a", "B", "'s", " ", " ", "  ", "\n", "\t", ".", "1", "é", "́", " ",
          "the", " the", "<|endoftext|>", "<|", "’", " ", "　", "​", "\x85", "\U0001F600", "İ", "ﬁ"]
 
 
-def library(name):
+def library(name, plain=False):
     tok = Tokenizer.from_file(public_tokenizers.path(name))
-    tok.encode_special_tokens = True
+    if plain:
+        tok.encode_special_tokens = True
     return lambda texts: [e.ids for e in tok.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
 @pytest.mark.parametrize("name,by_words", FILES)
-@pytest.mark.parametrize("slots", [1 << 22, 1 << 6])
-def test_encoder_equals_the_library(monkeypatch, documents, name, by_words, slots):
+@pytest.mark.parametrize("slots,plain", [(1 << 22, False), (1 << 6, True)])
+def test_encoder_equals_the_library(monkeypatch, documents, name, by_words, slots, plain):
     monkeypatch.setattr(T, "SLOTS", slots)
     rnd = random.Random(7)
     texts = ["".join(rnd.choices(PARTS, k=rnd.randint(0, 14))) for _ in range(4000)] + [None, ""]
     texts += [r.text for r in documents.collect()]
-    got = T.Encoder(public_tokenizers.path(name), by_words).batch(pa.array(texts))
-    assert [g.tolist() for g in got] == library(name)(texts)
+    got = T.Encoder(public_tokenizers.path(name), by_words, plain).batch(pa.array(texts))
+    assert [g.tolist() for g in got] == library(name, plain)(texts)
+
+
+def thue_morse(n):
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("name,by_words", FILES)
+def test_words_of_one_hash_are_told_apart(name, by_words):
+    a, b = thue_morse(2048)
+    texts = [f"{a} {b}", f"{b} {a} {b}", a, b, "one <|endoftext|> two <|startoftext|>"]
+    encoder = T.Encoder(public_tokenizers.path(name), by_words)
+    for _ in range(2):
+        assert [g.tolist() for g in encoder.batch(pa.array(texts))] == library(name)(texts)
 
 
 def test_token_files_round_trip(spark, documents, tmp_path):
     extra = spark.createDataFrame([(100_001, None), (100_002, ""), (100_003, "x" * 5000), (None, "gone"),
-                                   (100_004, "twice"), (100_004, "twice")], "doc_id long, text string")
+                                   (100_004, "twice"), (100_004, "twice"),
+                                   (100_005, "one <|endoftext|> two")], "doc_id long, text string")
     docs = documents.select("doc_id", "text").unionAll(extra)
     out = f"{tmp_path}/tokens"
     path = public_tokenizers.path("byte_bpe_50k.json")
