@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from entwise import schemas as S
 from entwise.operators.incremental import not_yet_loaded
+from entwise.operators.runtime_filter import BITS, KeyFilter
 from entwise.operators.skew import spread_join
 
 SOURCE_KEYS = ["lvid", "supplier_nb", "dt_first_rpted", "dt_last_rpted"]
@@ -74,24 +75,32 @@ def entity_locations_of(changes: DataFrame, entity_locations: DataFrame) -> Data
 
 def build(changes: DataFrame, entity_locations: DataFrame, suppliers: DataFrame,
           sources: Sequence[tuple[DataFrame, Sequence[ElementSpec]]],
-          loaded: DataFrame | None = None) -> DataFrame:
+          loaded: DataFrame | None = None, filter_bits: int | None = BITS) -> DataFrame:
     """Supplement rows in ``SUPPLEMENT_LAYOUT`` for every (source, specs) pair.
 
-    Steps: unpivot each source (cleaning values first, so the incremental key
-    is the stored value) -> union -> join to the changed entities' locations on
-    ``lvid`` -> skip rows already in ``loaded`` -> attach supplier names.
-    The location join comes before the anti-join because it is the selective
-    step; AQE may split a hot ``lvid`` because both join inputs are shuffles.
+    Steps: drop source rows of other locations at the scan -> unpivot each source
+    (cleaning values first, so the incremental key is the stored value) -> union
+    -> join to the changed entities' locations on ``lvid`` -> skip rows already in
+    ``loaded`` -> attach supplier names.
+
+    Sources and ``loaded`` are far larger than the changed locations, so both are
+    reduced before they are shuffled, by a filter from the locations' keys
+    (``runtime_filter``, of ``filter_bits`` bits; None leaves it out, with the
+    same rows). The location join comes before the anti-join because it is the
+    selective step; AQE may split a hot ``lvid`` because both join inputs are
+    shuffles.
     """
+    locations = entity_locations_of(changes, entity_locations)
+    asked = KeyFilter(locations, "lvid", filter_bits).holds("lvid") if filter_bits else F.lit(True)
     long = None
     for df, specs in sources:
-        part = unpivot_elements(df, specs)
+        part = unpivot_elements(df.filter(asked), specs)
         long = part if long is None else long.unionByName(part)
-    located = entity_locations_of(changes, entity_locations).join(long, "lvid", "inner")
+    located = locations.join(long, "lvid", "inner")
     if loaded is not None:
         # only the elements being built can match; with a target partitioned
         # by element this prunes partitions, and it shrinks the anti-join shuffle
         elements = sorted({s.element for _, specs in sources for s in specs})
-        located = not_yet_loaded(located, loaded.filter(F.col("element").isin(*elements)), LOAD_KEYS)
+        located = not_yet_loaded(located, loaded.filter(F.col("element").isin(*elements) & asked), LOAD_KEYS)
     named = located.join(suppliers.select("supplier_nb", "supplier_nm"), "supplier_nb", "left")
     return named.select(*S.SUPPLEMENT_LAYOUT)
