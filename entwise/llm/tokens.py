@@ -34,8 +34,8 @@ _ENDED = re.compile(f"({_LETTERS.pattern})([!-/:-@[-`{{-~]+)")
 #: Pieces held in each of the two generations of the cache for parts of words.
 CACHE_PIECES = 50_000
 #: Slots of a worker's word table, and ids it holds at most.
-SLOTS = 1 << 21
-TABLE_IDS = 4 << 20
+SLOTS = 1 << 20
+TABLE_IDS = 2 << 20
 SLICE_BYTES = 1 << 18
 
 # 1: blank and line end, 2: other white space of one byte, 3: may begin a longer one or a marker
