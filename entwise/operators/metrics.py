@@ -75,3 +75,35 @@ def histogram(spark: SparkSession, df: DataFrame, column: str, bins: int = 50) -
                     (lo + (F.col("bin") - F.lit(1)) * width).alias("lower"),
                     (lo + F.col("bin") * width).alias("upper"),
                     F.coalesce(F.col("n"), F.lit(0)).alias("n")))
+
+
+def histogram_round(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
+    """About ``bins`` bins between round breaks: (bin, lower, upper, n), empty bins
+    included. ``bins`` is a hint; the breaks are whole multiples of a step of 1, 2
+    or 5 times a power of ten.
+
+    The step is the round number next to (max - min) / bins, where a mantissa up to
+    1.4 counts as 1, up to 2.8 as 2, up to 7 as 5. Bins are open below and closed
+    above, the first is closed on both sides; a value within a 10-millionth of a
+    step above a break belongs to the bin under it. Equal values give one bin of
+    width 1. NULL and NaN are left out; a column without values gives no bins.
+    """
+    x = F.col(column).cast("double")
+    rows = df.select(x.alias("x")).filter("x IS NOT NULL AND NOT isnan(x)")
+    # one row: bounds, then the step, then the first and last break in steps
+    frame = (rows.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+             .selectExpr("lo", "hi", f"(hi - lo) / {int(bins)} AS raw")
+             .selectExpr("lo", "hi", "raw", "CASE WHEN raw > 0 THEN pow(10D, floor(log10(raw))) ELSE 1D END AS unit")
+             .selectExpr("lo", "hi", "CASE WHEN raw <= 0 OR raw / unit <= 1.4D THEN unit WHEN raw / unit <= 2.8D THEN 2 * unit "
+                                     "WHEN raw / unit <= 7D THEN 5 * unit ELSE 10 * unit END AS step")
+             .selectExpr("step", "CAST(floor(lo / step + 1e-7D) AS BIGINT) AS first",
+                         "CAST(greatest(ceil(hi / step - 1e-7D), floor(lo / step + 1e-7D) + 1) AS BIGINT) AS last"))
+    cut = frame.agg(F.struct(F.max("step").alias("step"), F.max("first").alias("first"), F.max("last").alias("last"))).scalar()
+    step, first, last = (cut.getField(c) for c in ("step", "first", "last"))
+    place = F.greatest(F.ceil(F.col("x") / step - F.lit(1e-7)).cast("long") - first, F.lit(1).cast("long"))
+    counts = rows.groupBy(F.least(place, last - first).alias("at")).agg(F.count(F.lit(1)).alias("n"))
+    # as many rows as there are bins: at most about one and a half times the hint
+    dim = frame.filter("step IS NOT NULL").select(F.explode(F.sequence(F.lit(1).cast("long"), F.col("last") - F.col("first"))).alias("at"))
+    return (dim.join(counts, "at", "left")
+            .select(F.col("at").cast("int").alias("bin"), ((first + F.col("at") - 1) * step).alias("lower"),
+                    ((first + F.col("at")) * step).alias("upper"), F.coalesce("n", F.lit(0)).alias("n")))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PIVOT_AGGS = {"count", "sum", "avg", "min", "max"}
 MAX_PIVOT_VALUES = 10_000
@@ -19,6 +20,30 @@ def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*columns)
 
 
+def _order(columns: Sequence[str], sort_col: str, ascending: bool) -> list[tuple[str, bool]]:
+    return [(sort_col, ascending)] + [(c, True) for c in columns if c != sort_col]
+
+
+def _sorted_by(order: Sequence[tuple[str, bool]]) -> list[Column]:
+    return [F.col(c).asc_nulls_last() if up else F.col(c).desc_nulls_last() for c, up in order]
+
+
+def _behind(order: Sequence[tuple[str, bool]], after: Mapping[str, object]) -> Column:
+    """Whether a row sorts behind ``after``, which has a value for every column."""
+    missing = [c for c, _ in order if c not in after]
+    if missing:
+        raise ValueError(f"after lacks {missing}")
+    behind = F.lit(False)
+    for c, up in reversed(order):
+        col, last = F.col(c), F.lit(after[c])
+        if after[c] is None:  # nothing of this column sorts behind a NULL
+            behind = col.isNull() & behind
+        else:
+            beyond = col > last if up else col < last
+            behind = col.isNull() | beyond | ((col == last) & behind)
+    return behind
+
+
 def page(df: DataFrame, sort_col: str, ascending: bool = True, size: int = 10,
          after: Mapping[str, object] | None = None) -> DataFrame:
     """One page of rows ordered by ``sort_col`` (NULLs last), ties broken by all
@@ -28,22 +53,63 @@ def page(df: DataFrame, sort_col: str, ascending: bool = True, size: int = 10,
     rows behind it are sorted, and each partition hands on ``size`` rows at most,
     however deep the page is. NULLs in it sort last, as in the order.
     """
-    order = [(sort_col, ascending)] + [(c, True) for c in df.columns if c != sort_col]
+    order = _order(df.columns, sort_col, ascending)
     if after is not None:
-        missing = [c for c, _ in order if c not in after]
-        if missing:
-            raise ValueError(f"after lacks {missing}")
-        behind = F.lit(False)
-        for c, up in reversed(order):
-            col, last = F.col(c), F.lit(after[c])
-            if after[c] is None:  # nothing of this column sorts behind a NULL
-                behind = col.isNull() & behind
-            else:
-                beyond = col > last if up else col < last
-                behind = col.isNull() | beyond | ((col == last) & behind)
-        df = df.filter(behind)
-    return df.orderBy(*[F.col(c).asc_nulls_last() if up else F.col(c).desc_nulls_last()
-                        for c, up in order]).limit(size)
+        df = df.filter(_behind(order, after))
+    return df.orderBy(*_sorted_by(order)).limit(size)
+
+
+def write_clustered(df: DataFrame, path: str, sort_col: str, ascending: bool = True, rows_per_file: int = 1 << 20) -> None:
+    """Store ``df`` in the page order: files hold ranges of the order, and an index
+    has a row for each file with its number of rows and its last row.
+
+    Rows are dealt by ranges of all columns, and equal rows by where they come
+    from, so no file gets all rows of a common value. A descending ``sort_col``
+    must be a number or a date.
+    """
+    order = _order(df.columns, sort_col, ascending)
+    kind = df.schema[sort_col].dataType
+    if not ascending and not isinstance(kind, (T.NumericType, T.DateType)):
+        raise ValueError("descending pages need a number or a date to sort by")
+    files = max(1, -(-df.count() // rows_per_file))
+    (df.repartitionByRange(files, *_sorted_by(order), F.monotonically_increasing_id())
+     .sortWithinPartitions(*_sorted_by(order)).write.parquet(f"{path}/rows"))
+    day = isinstance(kind, T.DateType)
+    falling = -(F.unix_date(sort_col) if day else F.col(sort_col))
+    keys = [F.struct(F.col(c).isNull(), (F.col(c) if up else falling).alias("v")).alias(c) for c, up in order]
+    stored = df.sparkSession.read.schema(df.schema).parquet(f"{path}/rows")
+    last = stored.groupBy(F.col("_metadata.file_path").alias("_file")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.max(F.struct(*keys)).alias("_last"))
+
+    def value(c: str, up: bool) -> Column:
+        v = F.col(f"_last.{c}.v")
+        return (v if up else F.date_from_unix_date(-v) if day else -v).alias(c)
+    last.select("_file", "_rows", *[value(c, up) for c, up in order]).coalesce(1).write.parquet(f"{path}/index")
+
+
+def page_clustered(spark: SparkSession, path: str, sort_col: str, ascending: bool = True, size: int = 10,
+                   after: Mapping[str, object] | None = None) -> DataFrame:
+    """The page that ``page`` gives, from files that ``write_clustered`` stored.
+
+    The index tells which files hold the first rows behind ``after``; only those
+    are opened, the first of them and as many more as fill a page, wherever the
+    page stands and however many files there are.
+    """
+    index = spark.read.parquet(f"{path}/index")
+    columns = [c for c in index.columns if c not in ("_file", "_rows")]
+    order = _order(columns, sort_col, ascending)
+    if after is not None:  # a file matters if its last row sorts behind
+        index = index.filter(_behind(order, after))
+    found, rest = [], 0
+    for r in index.orderBy(*_sorted_by(order), "_file").select("_file", "_rows").limit(size + 1).collect():
+        if found:  # the first file may hold a single row behind; of the others all rows are
+            rest += r["_rows"]
+        found.append(r["_file"])
+        if rest >= size:
+            break
+    rows = spark.read.schema(spark.read.parquet(f"{path}/rows").schema)
+    rows = rows.parquet(*found) if found else rows.parquet(f"{path}/rows").limit(0)
+    return page(rows, sort_col, ascending, size, after).select(*rows.columns)
 
 
 def sample_rows(df: DataFrame, key: str, n: int = 1000, seed: str = "0") -> DataFrame:

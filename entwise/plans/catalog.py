@@ -136,7 +136,8 @@ QUERIES: dict[str, Query] = {
 
 
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    from entwise.plans import written
+    return QUERIES | written.QUERIES
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ collected with ``observe`` during that write instead of extra ``count`` jobs.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor, as_completed
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +20,14 @@ from entwise.operators import changes as chg
 from entwise.operators import supplement as sup
 from entwise.operators import survey
 from entwise.operators.quality import AUDITED_FLAGS
+from entwise.sinks.store import Store
 from entwise.sources import snapshots as snap
 from entwise.sources.csv import csv_snapshot
+from entwise.sources.registry import Registry
+
+
+class DriftedSnapshot(ValueError):
+    """A snapshot whose columns are not those stored for its table."""
 
 
 def normalize_changes(spark: SparkSession, batch: DataFrame, raw: DataFrame, changes_table: str,
@@ -78,37 +85,70 @@ def classify_addresses(spark: SparkSession, address_table: str, govt_table: str,
 
 
 def refresh_snapshots(spark: SparkSession, control_path: str, new_control_path: str,
-                      as_of: str | None = None, schemas: dict | None = None) -> tuple[DataFrame, DataFrame]:
+                      as_of: str | None = None, schemas: dict | None = None, registry: Registry | None = None,
+                      report_path: str | None = None, at_once: int = 4) -> tuple[DataFrame, DataFrame]:
     """Reload every due table from its newest snapshot folder.
 
-    The plan is computed once; the loop runs over the tables marked 'update'
-    (control rows, one per table), each load being its own distributed job.
+    The plan is computed once. The tables marked 'update' (control rows, one per
+    table) are loaded by independent jobs, ``at_once`` of them submitted together,
+    so a slow or broken one does not hold up the others: a load that fails is
+    recorded as 'failed' with the kind of error as its note, and the run goes on.
     After every successful load a new version of the control file is written, so
-    a failure later in the run does not forget finished loads. Returns the plan
-    with the status per table, and the run report: the lists of updated, not
-    needed and failed tables.
+    neither a failure nor a crash forgets finished loads.
+
+    With ``registry``, snapshots are read with the stored schema of their table,
+    and one that drifted from it is recorded as failed and not loaded. Returns the
+    plan with the status per table, and the run report: the lists of updated, not
+    needed and failed tables, written to ``report_path`` too if that is given.
     """
     rows = snap.read_control(spark, control_path).collect()  # control file: one row per table
     control = spark.createDataFrame(rows, S.CONTROL_SCHEMA)
     latest = snap.latest(snap.snapshot_folders(spark, sorted({r["source"] for r in rows})))
-    plan_rows = snap.refresh_plan(control, latest, as_of).collect()
-    schema = snap.refresh_plan(control, latest, as_of).schema
-    loaded = []
-    for r in plan_rows:
-        if r["status"] != "update":
-            continue
+    decided = snap.refresh_plan(control, latest, as_of)
+    plan_rows, schema = decided.collect(), decided.schema
+
+    def load(r) -> None:
         path = f"{r['source'].rstrip('/')}/{r['snapshot']}"
-        sinks.overwrite(csv_snapshot(spark, path, (schemas or {}).get(r["table"])), r["destination"])
-        loaded.append((r["table"], r["snapshot"]))
-        done = spark.createDataFrame(loaded, "table string, snapshot string")
-        snap.write_control(snap.advance_control(control, done), new_control_path)
-    plan = spark.createDataFrame(plan_rows, schema)
-    return plan, snap.report(plan)
+        if registry is None:
+            df = csv_snapshot(spark, path, (schemas or {}).get(r["table"]))
+        else:
+            df, drift = registry.read(r["table"], path)
+            if changed := drift.collect():  # a row for each column at most
+                raise DriftedSnapshot(", ".join(f"{x.column} {x.change}" for x in sorted(changed)))
+        sinks.overwrite(df, r["destination"])
+
+    loaded, failed = [], {}
+    with ThreadPoolExecutor(at_once) as pool:
+        running = {pool.submit(load, r): r for r in plan_rows if r["status"] == "update"}
+        for job in as_completed(running):
+            r = running[job]
+            if error := job.exception():
+                failed[r["table"]] = f"drifted: {error}" if isinstance(error, DriftedSnapshot) else f"load failed: {type(error).__name__}"
+                continue
+            loaded.append((r["table"], r["snapshot"]))
+            done = spark.createDataFrame(loaded, "table string, snapshot string")
+            snap.write_control(snap.advance_control(control, done), new_control_path)
+    plan = spark.createDataFrame([
+        {**r.asDict(), "status": "failed", "note": failed[r["table"]]} if r["table"] in failed else r.asDict()
+        for r in plan_rows], schema)
+    report = snap.report(plan)
+    if report_path:
+        report.coalesce(1).write.json(report_path)
+    return plan, report
 
 
 def load_survey(spark: SparkSession, responses_table: str, accepted_table: str, invalid_table: str) -> None:
     """Append the responses that pass the survey's checks to ``accepted_table`` and
-    the problems of the others to ``invalid_table``; both are created if absent."""
+    the problems of the others to ``invalid_table``; both are created if absent.
+    Running it twice appends twice; ``load_survey_once`` does not."""
     accepted, invalid = survey.load_responses(spark, spark.table(responses_table))
     sinks.append_or_create(invalid, invalid_table)
     sinks.append_or_create(accepted, accepted_table)
+
+
+def load_survey_once(store: Store, responses: DataFrame, load: str) -> int:
+    """Add a batch of responses, named ``load``, to the store's tables ``accepted``
+    and ``invalid`` with one switch for both. The store's manifest is the ledger of
+    loads: a batch that runs again, or again after a crash, is there once."""
+    accepted, invalid = survey.load_responses(store.spark, responses)
+    return store.append_all({"accepted": accepted, "invalid": invalid}, load)

@@ -15,11 +15,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from entwise import schemas as S
+from entwise.operators.change_state import load_changes
 from entwise.plans.jobs import normalize_changes
+from entwise.sinks.store import Store
 
 
 def start_change_stream(spark: SparkSession, raw_path: str, changes_table: str,
@@ -46,3 +49,23 @@ def start_change_stream(spark: SparkSession, raw_path: str, changes_table: str,
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute")
     return writer.start()
+
+
+def start_change_stream_into(spark: SparkSession, raw_path: str, store_root: str, checkpoint_path: str,
+                             excluded_users: Sequence[str] = (), schema: StructType = S.RAW_CHANGES_SCHEMA,
+                             fmt: str = "parquet", available_now: bool = True,
+                             files_per_batch: int | None = None) -> StreamingQuery:
+    """The stream into a store with mergeable state (``operators.change_state``): a
+    micro-batch reads its own files and the stored parts of the days they touch,
+    not the raw folder. Each file is a load of its own, named by its path, so
+    batches that are replayed, cut otherwise too, replace the same rows."""
+    reader = spark.readStream.schema(schema).format(fmt).options(**({"header": "true"} if fmt == "csv" else {}))
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    raw = reader.load(raw_path).select("*", F.md5("_metadata.file_path").alias("_file"))
+
+    def load_batch(batch: DataFrame, batch_id: int) -> None:
+        load_changes(Store(batch.sparkSession, store_root), batch, F.col("_file"), excluded_users)
+
+    writer = raw.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_path)
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")).start()

@@ -73,3 +73,9 @@ def test_split_day_really_is_split(spark):
     same_day = raw.filter(F.col("trn_ts").startswith(day))
     assert same_day.filter(F.col("trn_ts") < A.LOADED_BEFORE_TIME).count() > 0
     assert same_day.filter(F.col("trn_ts") >= A.LOADED_BEFORE_TIME).count() > 0
+
+
+def test_reports_without_supplier_give_no_government_key(spark):
+    reports = A.sic_source(spark, SF).filter("supplier_nb IS NULL AND naics_std_cd LIKE '92%'")
+    assert reports.count() > 0                     # unknown, so not known to be another than the excluded one
+    assert query(spark, "supplement_sic").filter("supplier_nb IS NULL AND supplier_nm IS NULL").count() > 0
