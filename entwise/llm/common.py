@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from entwise.operators.runtime_filter import KeyFilter
+
 
 def work_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
@@ -50,6 +52,15 @@ def prepare(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
 
 
+def without(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """``rows`` whose ``column`` is none of ``keys`` (a one-column table of it,
+    written, without NULL), with the rows moved as little as can be: those that a
+    bit filter of the keys rules out stay where they are, only the others meet the
+    keys in a join. Rows with a NULL stay."""
+    maybe = KeyFilter(keys, column).holds(column)
+    return rows.filter(~maybe).unionAll(rows.filter(maybe).join(keys, column, "left_anti").select(*rows.columns))
+
+
 class Work:
     """A folder of written intermediate tables for one operator call.
 
@@ -84,6 +95,22 @@ def by_row(docs: DataFrame, work: Work, run: Callable[[DataFrame], DataFrame]) -
         F.col("_name").alias("doc_id"), *[c for c in out.columns if c != "doc_id"], F.col("_row").alias("row"))
 
 
+def row_ids(docs: DataFrame, work: Work) -> tuple[DataFrame, str]:
+    """``docs`` with a column that tells its rows apart, and that column's name.
+
+    That is doc_id itself where each row has another one and none is null, so
+    that nothing is written; else a number in a column whose name no other has,
+    in a written copy, so that every reader sees the same numbers.
+    """
+    one = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR doc_id IS NULL")
+    if docs.schema["doc_id"].dataType.typeName() == "long" and one.limit(1).count() == 0:
+        return docs, "doc_id"
+    name = "_row"
+    while name in docs.columns:
+        name += "_"
+    return work.table(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -179,24 +206,49 @@ def slices(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
 
 # --- hashing of byte spans -----------------------------------------------------
 
-_P = np.uint64(0x9E3779B97F4A7C15 | 1)
-_P_INV = np.uint64(pow(int(_P), -1, 1 << 64))
+#: Spans are hashed by two polynomials modulo this prime. A power of two would do
+#: without divisions, but then self-similar strings collide for every multiplier.
+PRIME = (1 << 31) - 1
+# Multipliers below the prime.
+_MULTIPLIERS = (1_103_515_245, 1_664_525_017)
+
+
+def _folded(x: np.ndarray, times: int = 2) -> np.ndarray:
+    """A smaller number that is the same modulo PRIME, in place: for ``x`` below
+    2**63 under 2**33 after one fold, and at most 2**31 + 2 after two."""
+    for _ in range(times):
+        high = x >> np.uint64(31)
+        x &= np.uint64(PRIME)
+        x += high
+    return x
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """``x`` (below 2**63) modulo PRIME, in place."""
+    _folded(x)
+    x -= (x >= np.uint64(PRIME)) * np.uint64(PRIME)
+    return x
 
 
 class _Powers:
-    """Powers of an odd number and of its inverse modulo 2**64, grown on demand."""
+    """Powers of a multiplier and of its inverse modulo PRIME, grown on demand."""
+
+    def __init__(self, base: int) -> None:
+        self.base, self.back = base, pow(base, -1, PRIME)
+        self.up, self.down = np.ones(1, np.uint32), np.ones(1, np.uint32)
 
-    def __init__(self) -> None:
-        self.up, self.down = np.ones(1, np.uint64), np.ones(1, np.uint64)
+    @staticmethod
+    def _doubled(powers: np.ndarray, base: int) -> np.ndarray:
+        more = _reduced(powers.astype(np.uint64) * np.uint64(pow(base, len(powers), PRIME)))
+        return np.concatenate([powers, more.astype(np.uint32)])
 
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         while len(self.up) < n:
-            self.up = np.concatenate([self.up, self.up * (self.up[-1:] * _P)])
-            self.down = np.concatenate([self.down, self.down * (self.down[-1:] * _P_INV)])
+            self.up, self.down = self._doubled(self.up, self.base), self._doubled(self.down, self.back)
         return self.up, self.down
 
 
-_POWERS = _Powers()
+_POWERS = [_Powers(m) for m in _MULTIPLIERS]
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -209,29 +261,42 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-BYTE_CODES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_CODES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+#: A value below PRIME for each byte, for either polynomial.
+BYTE_CODES = (_CODES % np.uint64(PRIME), (_CODES >> np.uint64(32)) % np.uint64(PRIME))
 
 
 class SpanHashes:
     """Hashes of byte spans of one buffer from prefix sums: equal bytes give
-    equal values wherever they stand."""
+    equal values wherever they stand. 62 bits come from the bytes, mixed with the
+    length; different spans of n bytes have equal polynomials with a chance of
+    about (n / 2**31) squared."""
 
-    def __init__(self, raw: np.ndarray, codes: np.ndarray = BYTE_CODES):
+    def __init__(self, raw: np.ndarray):
         n = len(raw)
-        self.up, self.down = _POWERS.get(n + 1)
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(codes[raw] * self.up[:n], out=self.sums[1:])
+        self.sides = []
+        for powers, codes in zip(_POWERS, BYTE_CODES):
+            up, down = powers.get(n + 1)
+            sums = np.zeros(n + 1, np.uint64)  # below 2**63 for up to 2**30 bytes
+            np.cumsum(_folded(codes[raw] * up[:n], 1), out=sums[1:])
+            self.sides.append((sums, down))
+
+    @staticmethod
+    def _mixed(parts: list[np.ndarray], length: np.ndarray) -> np.ndarray:
+        one, two = parts
+        return mix64(((one << np.uint64(31)) | two) + length * np.uint64(0x9E3779B97F4A7C15))
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix64((self.sums[end] - self.sums[start]) * self.down[start]
-                     + (end - start).astype(np.uint64))
+        parts = [_reduced(_folded(sums[end] - sums[start]) * down[start]) for sums, down in self.sides]
+        return self._mixed(parts, (end - start).astype(np.uint64))
 
     def windows(self, width: int) -> np.ndarray:
         """Hash of each window of ``width`` bytes, by its start."""
-        n = len(self.sums) - width
+        n = len(self.sides[0][0]) - width
         if n <= 0:
             return np.zeros(0, np.uint64)
-        return mix64((self.sums[width:] - self.sums[:n]) * self.down[:n] + np.uint64(width))
+        parts = [_reduced(_folded(sums[width:] - sums[:n]) * down[:n]) for sums, down in self.sides]
+        return self._mixed(parts, np.full(1, width, np.uint64))
 
 
 # --- words ---------------------------------------------------------------------

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from entwise.llm.common import prepare, release, slices, string_buffers
+from entwise.llm.common import prepare, release, slices, spread, string_buffers
 
 ORDERS = (1, 2, 3)
 #: Training rows, and landmarks among them, over all languages.
@@ -192,32 +192,37 @@ def identify(docs: DataFrame, train: str = "pmod(crc32(cast(doc_id AS string)),
     A text that is null or has no letter gets ``und`` and score 0, as does every
     text if there is nothing to learn from. lang, doc_id and all other columns
     are never inputs of a prediction; they are kept, except that columns named
-    lang_pred or score are replaced. Equal texts get equal results.
+    lang_pred or score are replaced. Equal texts get equal results. Learned are
+    the ``MOST_LANGUAGES`` values of lang with the most rows; the fit takes
+    ``TRAIN_ROWS`` rows, picked by a hash, of whatever doc_id, null or repeated.
     """
     spark = docs.sparkSession
     prepare(spark)
     docs = docs.drop("lang_pred", "score")
-    usable = docs.filter(F.expr(train)).filter(
-        F.col("lang").isNotNull() & F.col("text").cast("string").rlike(r"\p{L}")).select(
+    text = F.col("text").cast("string")
+    text = F.col("text").cast("string")
+    usable = docs.filter(F.expr(train)).filter(F.col("lang").isNotNull() & text.rlike(r"\p{L}")).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
-        F.xxhash64("doc_id").alias("h"))
-    names = [r.lang for r in usable.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect()]
-    if len(names) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+        F.xxhash64(F.col("doc_id").cast("long"), text).alias("h"))
+    counted = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
+    names = sorted(r.lang for r in counted.collect())
     if not names:
         return docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)})
-    names.sort()
-    each, marked = TRAIN_ROWS // len(names), max(2, LANDMARKS // len(names))
-    first = Window.partitionBy("lang").orderBy("h", "doc_id")
-    picked = sorted((r.lang, r.r, r.doc_id) for r in usable.withColumn("r", F.row_number().over(first))
-                    .filter(F.col("r") <= each).collect())
+    each, marked = max(1, TRAIN_ROWS // len(names)), max(2, LANDMARKS // len(names))
+    # first in parts of a language, so that no task gets all rows of one
+    ranked = usable.filter(F.col("lang").isin(*names)).withColumn("part", spread(spark, "h"))
+    for by in (["lang", "part"], ["lang"]):
+        first = Window.partitionBy(*by).orderBy("h", "doc_id")
+        ranked = ranked.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= each)
+    picked = sorted(((r.lang, r.r, r.doc_id, r.h) for r in ranked.collect()), key=lambda x: x[:2])
     langs = [x[0] for x in picked]
     marks = np.array([i for i, x in enumerate(picked) if x[1] <= marked])
 
     def texts(of: list[int]) -> DataFrame:
-        chosen = spark.createDataFrame([(i, picked[i][2], langs[i]) for i in of], "nth int, d long, l string")
-        return docs.join(F.broadcast(chosen), (F.col("doc_id") == F.col("d")) & (F.col("lang") == F.col("l"))) \
-            .select("nth", F.col("text").cast("string").alias("text"))
+        chosen = spark.createDataFrame([(i, picked[i][2], picked[i][3], langs[i]) for i in of], "nth int, d long, k long, l string")
+        same = F.col("doc_id").cast("long").eqNullSafe(F.col("d")) & (F.col("lang").cast("string") == F.col("l")) \
+            & (F.xxhash64(F.col("doc_id").cast("long"), text) == F.col("k"))
+        return docs.join(F.broadcast(chosen), same).select("nth", text.alias("text"))
 
     sets = {r.nth: [np.array(g, np.int32) for g in r.sets] for r in texts(marks.tolist()).mapInArrow(
         _collect_sets, "nth int, sets array<array<int>>").collect()}

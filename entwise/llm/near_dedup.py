@@ -6,16 +6,18 @@
 2. Inverted lists of retained values. A list is keyed by ``RUN`` values that
    stand next to each other in the sketch's order; a document enters the lists
    of its ``LISTS`` smallest such keys. Two sets above the threshold differ in
-   few values, so long runs stay equal: with threshold 0.85 and whole sets of
-   up to ``SMALL`` values a common run is certain, with ``K`` = 192 retained
-   values it is missed with a chance of about 1e-6 for a pair exactly at the
-   threshold and less above it. A frequent value alone makes no list, so a line
-   that a third of the documents share does not bring them together. Lists with
-   the same members are one, and lists that share members make a family.
-3. Within a family, pairs are compared in blocks. The union sketch (the smallest
-   values of both sketches) bounds a pair's similarity; pairs it puts more than
-   ``SLACK`` below the threshold are out. A block's presence matrices give the
-   common values of all its pairs at once, so no pair is written for that.
+   few values, so long runs stay equal: with whole sets of up to ``SMALL`` values
+   a common run is certain, with ``K`` = 192 retained values a pair exactly at
+   0.80 misses every common run with a chance of about 1e-7, and one above it with
+   less. A frequent value alone makes no list, so a line that a third of the
+   documents share does not bring them together. Lists with the same members are
+   one, and lists that share members make a family.
+3. Within a family, pairs are compared in blocks. The overlaps of all pairs of a
+   block come from its presence matrix, which is its inverted lists of retained
+   values side by side, so no pair is written for that. The union sketch (the
+   smallest values of both sketches) estimates a pair's similarity; pairs it puts
+   more than ``SLACK`` below the threshold are out, which a pair exactly at 0.80
+   meets with a chance under 2e-9 whatever its sizes, nested sets included.
 4. Pairs that remain are confirmed on full sets: in the block itself where both
    sets have at most ``WHOLE`` values and so are there in full, else by their
    texts. Only components are wanted: a block hands on one spanning forest of
@@ -40,15 +42,16 @@ from pyspark.sql import functions as F
 
 from entwise.llm.common import LOWER, SpanHashes, Work, by_row, mix64, release, slices, string_buffers, word_spans
 from entwise.llm.components import components
+from entwise.operators.runtime_filter import KeyFilter
 
 K = 192
 RUN = 4
-LISTS = 24
+LISTS = 80
 SMALL = 32
-SLACK = 0.10
+SLACK = 0.20
 WHOLE = 2048
 #: As SLACK, for estimates from the WHOLE smallest values of longer sets.
-LONG_SLACK = 0.035
+LONG_SLACK = 0.06
 BLOCK = 512
 FAMILY = 8192
 SLICE_BYTES = 1 << 18
@@ -274,6 +277,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         "doc_id", "n_shingles", F.col("name").alias("component_id"), (F.col("row") == F.col("first")).alias("kept"))
 
 
+def all_but_first(found: DataFrame, rows: DataFrame, row: str) -> DataFrame:
+    """The ``row`` values of a component's rows but that of the smallest doc_id, of
+    equal ones the smallest row. ``found`` is a written table (row, component_id),
+    ``rows`` has row and doc_id; a null doc_id counts as the largest. Rows of
+    components of their own are never moved beside the first aggregate."""
+    several = found.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("component_id")
+    linked = found.join(several, "component_id")
+    if row != "doc_id":
+        linked = linked.join(rows.select(row, "doc_id"), row)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("d"), F.col(row).alias("r"))
+    first = linked.groupBy("component_id").agg(F.min(order).alias("first"))
+    return linked.select(row).join(first.select(F.col("first.r").alias(row)), row, "left_anti")
+
+
 def _components_of(texts: DataFrame, width: int, percent: int, work: Work) -> DataFrame:
     sk = work.table(texts.mapInArrow(_signatures(width, percent), "doc_id long, n long, print binary, keys array<long>"),
                     "signatures")
@@ -290,7 +307,9 @@ def _components_of(texts: DataFrame, width: int, percent: int, work: Work) -> Da
     sizes = work.table(family.groupBy("root").agg(F.count(F.lit(1)).alias("m")), "families")
     family = work.table(family.join(sizes, "root").select(F.col("node").alias("doc_id"), F.col("root").alias("family"), "m"),
                         "family")
-    full = work.table(texts.join(family.select("doc_id"), "doc_id", "left_semi"), "texts")
+    # most texts have no partner: they go before the join moves any
+    partnered = KeyFilter(family, "doc_id").holds("doc_id")
+    full = work.table(texts.filter(partnered).join(family.select("doc_id"), "doc_id", "left_semi"), "texts")
     smallest = work.table(full.mapInArrow(_smallest(width), "doc_id long, n long, smallest array<long>"), "smallest")
 
     # families, or the lists of very large ones, dealt into blocks

@@ -44,7 +44,7 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_near_dedup": lambda s, d: near_dedup.near_duplicates(_read(s, d, "documents"), width=3, percent=85),
     "op2_token_files": _op2,
-    "op3_repeats": lambda s, d: repeats.remove_repeats(_read(s, d, "documents"), 400).drop("spans"),
+    "op3_repeats": lambda s, d: repeats.remove_repeats(_read(s, d, "documents"), 400),
     "op4_secrets": lambda s, d: secrets.report(_read(s, d, "documents")),
     "op5_packing": lambda s, d: packing.pack(
         _read(s, d, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2),

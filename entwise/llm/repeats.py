@@ -141,7 +141,7 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw, off = string_buffers(batch.column(1))
         runs = batch.column(2)
-        n_removed, n_spans, kept, spans = [], [], [], []
+        n_removed, n_spans, kept, spans, rest = [], [], [], [], []
         for i in range(batch.num_rows):
             text, gone = raw[off[i]:off[i + 1]], runs[i].as_py() or []
             merged: list[list[int]] = []
@@ -150,20 +150,18 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     merged[-1][1] = max(merged[-1][1], r[1])
                 else:
                     merged.append(list(r))
-            digest, at = hashlib.sha256(), 0
-            for a, b in merged:
-                digest.update(text[at:a].tobytes())
-                at = b
-            digest.update(text[at:].tobytes())
+            ends = [0, *[x for r in merged for x in r], len(text)]
+            left = b"".join(text[a:b].tobytes() for a, b in zip(ends[::2], ends[1::2]))
+            rest.append(left.decode(errors="replace"))
             n_removed.append(sum(b - a for a, b in merged))
             n_spans.append(len(merged))
-            kept.append(digest.hexdigest())
+            kept.append(hashlib.sha256(left).hexdigest())
             spans.append([{"start": a, "end": b} for a, b in merged])
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(np.diff(off), pa.int64()), pa.array(n_removed, pa.int64()),
              pa.array(n_spans, pa.int64()), pa.array(kept, pa.string()),
-             pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
-            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
+             pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(rest, pa.string())],
+            ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "text"])
 
 
 def repeated_runs(docs: DataFrame, length: int, work: Work) -> DataFrame:
@@ -227,8 +225,9 @@ def repeated_runs(docs: DataFrame, length: int, work: Work) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed spans
-    (start, end in UTF-8 bytes) for every row of ``docs`` (doc_id, text).
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, the removed spans (start,
+    end in UTF-8 bytes) and the text that is left for every row of ``docs``
+    (doc_id, text). Where a character was cut in two, U+FFFD stands in the text.
 
     Every byte covered by a string of ``length`` bytes that also starts anywhere
     else goes; strings never cross documents and are judged on the input. A null
@@ -247,4 +246,4 @@ def _removed(texts: DataFrame, length: int, work: Work) -> DataFrame:
     runs = work.table(runs.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("runs")), "runs")
     return texts.join(runs, "doc_id", "left").select("doc_id", "text", "runs").mapInArrow(
         _cut_out, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
-                  "spans array<struct<start:long,end:long>>")
+                  "spans array<struct<start:long,end:long>>, text string")

@@ -2,6 +2,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from entwise.llm import near_dedup as nd
@@ -101,3 +102,47 @@ def test_edge_cases(spark):
     got = sorted(map(tuple, nd.near_duplicates(df, 3, 85).collect()))
     assert [g[:3] for g in got] == [(1, 2, 1), (1, 2, 1), (2, 2, 1), (3, 0, 3), (3, 0, 3)]
     assert [g[3] for g in got].count(True) == 3      # one of the three copies, and both texts without words
+
+
+def thue_morse(n):
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_long_words_of_equal_structure_are_told_apart(spark):
+    a, b = thue_morse(1024)
+    c, d = thue_morse(2048)
+    rows = [(1, a), (2, b), (3, c), (4, d), (5, a)]
+    got = {r.doc_id: r.component_id for r in nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+
+
+@pytest.mark.parametrize("percent,width", [(85, 3), (80, 5)])
+def test_a_text_cut_short_at_the_threshold_is_linked(spark, percent, width):
+    """One set inside the other, exactly at the threshold: the widest spread of the estimate."""
+    rows, n = [], 2000
+    for seed in range(8):
+        rnd = random.Random(8434 + seed)
+        text = [f"{rnd.getrandbits(40):x}" for _ in range(n + width - 1)]
+        rows += [(2 * seed, " ".join(text)), (2 * seed + 1, " ".join(text[:n * percent // 100 + width - 1]))]
+    got = {r.doc_id: r.component_id for r in nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width, percent).collect()}
+    assert got == {i: i // 2 * 2 for i in range(16)}
+
+
+@pytest.mark.parametrize("percent", [85, 80])
+def test_chance_to_miss_a_nested_pair_at_the_threshold(percent):
+    """The estimate filter's tail, and common runs, over random nested sketches."""
+    k, limit = nd.K, (percent / 100 - nd.SLACK) * nd.K
+    below = sum(math.comb(k, x) * (percent / 100) ** x * (1 - percent / 100) ** (k - x) for x in range(math.ceil(limit)))
+    assert below < 2e-9
+    rng = np.random.default_rng(percent)
+    fewest = []
+    for _ in range(1500):
+        big = np.sort(rng.integers(0, 1 << 62, 2000).astype(np.uint64))
+        small = np.sort(rng.permutation(big)[:2000 * percent // 100])
+        keys = [set(nd.list_keys(x[:k], len(x), nd.RUN).tolist()) for x in (big, small)]
+        fewest.append(len(keys[0] & keys[1]))
+    # common lists: far from none at the rarest of the trials
+    assert min(fewest) >= 2 and np.mean(fewest) - 5 * np.std(fewest) > 0

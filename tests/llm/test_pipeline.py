@@ -68,3 +68,22 @@ def test_stages_decide_by_row(spark, tmp_path):
     packed = corpus_pipeline.pack(spark, docs, str(tmp_path))
     assert packed.columns == corpus_pipeline.pack(spark, docs.filter("doc_id IS NOT NULL"), str(tmp_path)).columns
     assert packed.filter("doc_id IS NULL AND start = 0").count() == 3 and packed.filter("start = 0").count() == len(rows)
+
+
+def test_an_unlabelled_corpus_is_kept_and_null_labels_are_filled(spark):
+    rows = [(i, t, lang, "x", 1) for i, (t, lang) in enumerate(
+        [("the cat and that hat", "en"), ("der hund und die katze", "de")] * 8 + [("der die und", None), ("12 34", "en"), (None, "en")])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id: r.lang for r in corpus_pipeline.language_id(spark, docs, "").collect()}
+    assert set(kept) == set(range(17)) and kept[16] == "de"
+    bare = docs.selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang", "source", "n_chars")
+    kept = {r.doc_id: r.lang for r in corpus_pipeline.language_id(spark, bare, "").collect()}
+    assert kept == dict.fromkeys(range(17))
+
+
+def test_columns_with_the_names_of_helpers_stay(spark, tmp_path):
+    rows = [(1, "some words of a text", "en", "x", 5, "a"), (1, "some words of a text", "en", "x", 5, "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, _row string")
+    spark.createDataFrame([("b", "other")], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert [r["_row"] for r in corpus_pipeline.near_dedup_stage(spark, docs, "").collect()] in (["a"], ["b"])
+    assert sorted(r["_row"] for r in corpus_pipeline.decontaminate_stage(spark, docs, str(tmp_path)).collect()) == ["a", "b"]

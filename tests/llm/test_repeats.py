@@ -67,3 +67,20 @@ def test_edge_cases(spark):
     got = sorted((r.doc_id, r.n_bytes, r.n_removed, [tuple(s) for s in r.spans]) for r in repeats.remove_repeats(df).collect())
     assert got == [(1, 900, 900, [(0, 900)]), (1, 900, 900, [(0, 900)]), (2, 5, 0, []),
                    (2, 901, 900, [(0, 450), (451, 901)]), (3, 0, 0, [])]
+
+
+def test_spans_and_text_that_is_left(spark):
+    passage = "é" * 30
+    rows = [(1, "abc " + passage + " xyz"), (2, passage), (3, "clean")]
+    got = {r.doc_id: (r.text, [tuple(x) for x in r.spans]) for r in repeats.remove_repeats(
+        spark.createDataFrame(rows, "doc_id long, text string"), 60).collect()}
+    assert got == {1: ("abc  xyz", [(4, 64)]), 2: ("", [(0, 60)]), 3: ("clean", [])}
+
+
+def test_strings_of_equal_structure_are_told_apart(spark):
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, word), (2, word.translate(str.maketrans("ab", "ba")))]
+    got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 1024)
+    assert [r.n_removed for r in got.collect()] == [0, 0]

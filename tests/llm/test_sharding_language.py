@@ -101,3 +101,19 @@ def test_columns_of_the_same_name_are_replaced(spark, value):
     df = spark.createDataFrame([(1, "the cat", "en")], "doc_id long, text string, lang string").withColumn(value, F.lit("old"))
     out = language.identify(df, "true")
     assert out.columns.count(value) == 1 and out.first()["lang_pred"] == "en"
+
+
+def test_many_languages_and_ids_that_repeat_or_lack(spark, monkeypatch):
+    words = {"en": "the cat and that hat", "de": "der hund und die katze", "fr": "le chat est sur la table"}
+    rows = [(i % 3 if i % 4 else None, t, lang) for lang, t in words.items() for i in range(12)]
+    rows += [(1, "der hund und the cat", "en"), (1, "ein hund und der", "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    first, again = (sorted(map(tuple, language.identify(d, "true").collect()), key=str) for d in (df, df.repartition(5)))
+    assert first == again and sum(r[2] == r[3] for r in first) >= 36
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 2)     # the two with the most rows are learned
+    more = df.unionAll(spark.createDataFrame([(9, "le chat est", "fr")], df.schema)).filter("lang <> 'en' OR text LIKE '%cat%'")
+    assert {r.lang_pred for r in language.identify(more, "true").collect()} <= {"en", "de", "fr"}
+    assert len({r.lang_pred for r in language.identify(more, "true").collect()}) == 2
+    monkeypatch.undo()
+    labels = spark.createDataFrame([(i, "the cat and that hat", f"l{i:03d}") for i in range(420)], df.schema)
+    assert language.identify(labels, "true").count() == 420
