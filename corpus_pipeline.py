@@ -12,19 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entwise.llm import decontaminate, language, near_dedup, packing, secrets
-from entwise.llm.common import Work
+from entwise.llm.common import Work, row_ids, without
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents in a language that their lang column knows: those whose
-    text is null or has no letter (``und``) go."""
-    return language.identify(docs).filter("lang_pred <> 'und'").select(*docs.columns)
-
-
-def _numbered(docs: DataFrame, work: Work) -> DataFrame:
-    """``docs`` with a number of its own for each row (``_row``), written so that
-    every reader sees the same numbers: doc_ids may repeat or be null."""
-    return work.table(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    """Documents without a letter, whose language nobody can tell (``und``), go. A
+    document without a lang gets the predicted one. A corpus without any label
+    teaches nothing: then documents that have a letter stay as they are."""
+    found = language.identify(docs)
+    lettered = F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False))
+    learned = F.col("lang_pred") != "und"
+    return found.filter(learned | lettered).withColumn(
+        "lang", F.when(F.col("lang").isNull() & learned, F.col("lang_pred")).otherwise(F.col("lang"))).select(*docs.columns)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,13 +31,11 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     (5-word shingles, similarity 0.8). Every row is a document of its own,
     whether its doc_id is repeated or null; a null one counts as the largest."""
     work = Work(spark, "kept")
-    rows = _numbered(docs, work)
-    found = work.table(near_dedup.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), width=5, percent=80)
-                       .select(F.col("doc_id").alias("_row"), "component_id"), "found")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
-    kept = work.table(found.join(rows.select("_row", "doc_id"), "_row").groupBy("component_id")
-                      .agg(first.alias("first")).select("first._row"), "kept")
-    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
+    rows, row = row_ids(docs, work)
+    found = work.table(near_dedup.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), width=5, percent=80)
+                       .select(F.col("doc_id").alias(row), "component_id").filter("component_id IS NOT NULL"), "found")
+    gone = near_dedup.all_but_first(found, rows, row)
+    return without(rows, work.table(gone, "gone"), row).select(*docs.columns)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,11 +43,11 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     row is judged by its own text, whether its doc_id is repeated or null."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
     work = Work(spark, "contaminated")
-    rows = _numbered(docs, work)
+    rows, row = row_ids(docs, work)
     bad = work.table(
-        decontaminate.contamination(rows.select(F.col("_row").alias("doc_id"), "text"), benchmark)
-        .filter("contaminated").select(F.col("doc_id").alias("_row")), "contaminated")
-    return rows.join(bad, "_row", "left_anti").select(*docs.columns)
+        decontaminate.contamination(rows.select(F.col(row).alias("doc_id"), "text"), benchmark)
+        .filter("contaminated").select(F.col("doc_id").alias(row)), "contaminated")
+    return without(rows, bad, row).select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,9 +61,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     if docs.filter("doc_id IS NULL").limit(1).count() == 0:
         return packing.pack(docs, tokenizer, end_id=2)
-    rows = _numbered(docs, Work(spark, "packed"))
-    packed = packing.pack(rows.select(F.col("_row").alias("doc_id"), "text"), tokenizer, end_id=2)
-    return packed.withColumnRenamed("doc_id", "_row").join(rows.select("_row", "doc_id"), "_row").select(*packed.columns)
+    rows, row = row_ids(docs, Work(spark, "packed"))
+    packed = packing.pack(rows.select(F.col(row).alias("doc_id"), "text"), tokenizer, end_id=2)
+    return packed.withColumnRenamed("doc_id", row).join(rows.select(row, "doc_id"), row).select(*packed.columns)
 
 
 STAGES = [("language", language_id), ("near_dedup", near_dedup_stage), ("decontaminate", decontaminate_stage),
