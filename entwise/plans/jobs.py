@@ -35,11 +35,14 @@ def normalize_changes(spark: SparkSession, batch: DataFrame, raw: DataFrame, cha
     """Load the change rows of every day that ``batch`` touches into
     ``changes_table`` (partitioned by ``trn_ts``), computed from the whole raw log
     ``raw``, the batch included. Any way to cut the log into loads, and a load
-    that runs again, gives the same table. Returns the days (a load's own)."""
+    that runs again, gives the same table. Returns the days (a load's own). The
+    log is scanned from the first of these days to the last, by a pushed filter;
+    ``operators.change_state`` reads no raw log at all."""
     day = batch.select(day_of("trn_ts").alias("day")).filter("day IS NOT NULL")
     days = sorted(r.day for r in day.distinct().collect())
     if days:
-        out = chg.normalize(raw.filter(day_of("trn_ts").isin(*days)), excluded_users)
+        span = (F.col("trn_ts") >= days[0]) & (F.col("trn_ts") < days[-1] + "\uffff")
+        out = chg.normalize(raw.filter(span & day_of("trn_ts").isin(*days)), excluded_users)
         sinks.replace_partitions(out, changes_table, "trn_ts", days)
     return days
 

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from entwise.sources.scratch import scratch
+
 
 def overwrite(df: DataFrame, table: str, fmt: str = "parquet") -> None:
     """Replace a table with ``df`` and refresh cached metadata."""
@@ -37,12 +39,17 @@ def replace_rows(df: DataFrame, table: str) -> None:
 def replace_partitions(df: DataFrame, table: str, column: str, values: Sequence[str]) -> None:
     """Replace the partitions ``values`` of a table that is partitioned by
     ``column`` alone by ``df``'s rows, which belong to no other partition; those
-    without rows become empty. The others stay as they are. ``df`` must not read
-    ``table``. Writing again gives the same table."""
+    without rows become empty. The others stay as they are. ``df`` is computed once,
+    into a scratch folder. Writing again gives the same table. Emptied partitions
+    are dropped in steps of their own: readers may see them until then, which
+    ``sinks.store`` avoids."""
     spark = df.sparkSession
     parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     if parts != [column]:
         raise ValueError(f"{table} must be partitioned by {column}, not by {parts}")
+    aside = scratch(spark, "partitions")
+    df.write.parquet(aside)
+    df = spark.read.schema(df.schema).parquet(aside)
     filled = {r[0] for r in df.select(column).distinct().collect()}  # at most the values given
     if not filled <= set(values):
         raise ValueError(f"rows of other partitions: {sorted(filled - set(values))}")

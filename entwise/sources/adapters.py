@@ -62,11 +62,11 @@ def _map_sql(col: str, mapping: dict) -> str:
     return f"CASE {col} {whens} END"
 
 
-# both sentinel dates in both columns; some reports have no supplier, some occur twice,
-# the second time with a blank before the date, which only the cleaning makes equal
+# both sentinel dates in both columns; some reports occur twice, the second time
+# with a blank before the date, which only the cleaning makes equal
 REPORT_SQL = [
     "CAST(l_orderkey AS STRING) AS lvid",
-    "CASE WHEN l_orderkey % 41 = 7 THEN NULL ELSE CAST(l_suppkey AS INT) END AS supplier_nb",
+    "CAST(l_suppkey AS INT) AS supplier_nb",
     "CASE l_orderkey % 23 WHEN 0 THEN '0401-01-01' WHEN 1 THEN '01/01/0401' "
     "ELSE date_format(date_sub(CAST(l_shipdate AS DATE), 30), 'MM/dd/yyyy') END AS dt_first_rpted",
     "concat(copy, CASE (l_orderkey + l_linenumber) % 29 WHEN 0 THEN '0401-01-01' WHEN 1 THEN '01/01/0401' "
@@ -132,8 +132,9 @@ def _lineitem_report(spark: SparkSession, sf_dir: str, extra: Sequence[str],
 def sic_source(spark: SparkSession, sf_dir: str, shipped_before: str | None = None) -> DataFrame:
     li = _lineitem_report(spark, sf_dir, ["l_partkey", "l_returnflag"], shipped_before)
     part4 = "lpad(CAST(l_partkey % 10000 AS STRING), 4, '0')"
-    return li.selectExpr(
-        *REPORT_SQL,
+    supplier = "CASE WHEN l_orderkey % 41 = 7 THEN NULL ELSE supplier_nb END AS supplier_nb"  # some have none
+    return li.selectExpr("*", *REPORT_SQL).selectExpr(
+        "lvid", supplier, "dt_first_rpted", "dt_last_rpted",
         "l_returnflag AS sic_ty_cd",
         f"{part4} AS sic_cd",
         f"concat(CASE WHEN l_partkey % 5 = 0 THEN '92' ELSE '44' END, {part4}) AS naics_std_cd",
