@@ -16,12 +16,13 @@ blocks a group of its own.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -32,6 +33,8 @@ QUERY_BLOCK = 4_096
 SLICE = 1_024
 HEAD = 16
 SAMPLE = 2_048
+#: Levels of length: below 1, where integer vectors are zero, to 2**63.
+LOWEST, HIGHEST = -2, 2_206
 #: Largest squared length for which sums of products are exact in doubles.
 EXACT = float(1 << 52)
 
@@ -119,6 +122,24 @@ def _search(k: int, dim: int, turn: np.ndarray):
     return run
 
 
+def _level(length: Column) -> Column:
+    """Lengths in steps of two per cent."""
+    return F.floor(F.ln(length) / math.log(1.02)).cast("int")
+
+
+def _ends(blocks: DataFrame) -> list[tuple[int, int]]:
+    """For each level the number of the last block whose longest vector reaches it.
+    There are as many levels as lengths may have steps, whatever the rows."""
+    level = F.when(F.col("top") > 0, F.greatest(_level(F.col("top")), F.lit(LOWEST))).otherwise(F.lit(LOWEST))
+    found = {r.level: r.last for r in blocks.groupBy(F.least(level, F.lit(HIGHEST)).alias("level"))
+             .agg(F.max("block").alias("last")).collect()}
+    out, last = [], 0
+    for k in range(HIGHEST, LOWEST - 1, -1):
+        last = max(last, found.get(k, 0))
+        out.append((k, last))
+    return out
+
+
 def top_products(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` highest integer inner
     products of every query (rows whose vec_id is divisible by ``every``) with all
@@ -169,8 +190,11 @@ def top_products(vectors: DataFrame, k: int = 20, every: int = 20, scale: int =
                              F.pmod(F.xxhash64("vec_id"), F.lit(q_blocks)).cast("int").alias("q_block"))
 
     def meet(q: DataFrame, c: DataFrame) -> DataFrame:
-        c = c.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
         keys = ["block", "q_block"]
+        # a block goes to the query blocks that ask for it
+        asked = q.select(F.col("block").alias("b"), F.col("q_block").alias("qb")).distinct()
+        c = c.join(asked, F.col("block") == F.col("b")).select(
+            F.col("b").alias("block"), "vec_id", "v", "norm", F.col("qb").alias("q_block"))
         return q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInArrow(search, schema)
 
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -181,9 +205,14 @@ def top_products(vectors: DataFrame, k: int = 20, every: int = 20, scale: int =
     if n_blocks > 1:
         least = first.groupBy("query_id").agg(
             F.when(F.count(F.lit(1)) >= k, F.min("score").cast("double")).otherwise(lowest).alias("least"))
-        # only the blocks that a query's length times their longest vector can matter in
+        # only the blocks that a query's length times their longest vector can matter in: blocks fall
+        # by that length, so they are the first ones, and how many is looked up by what the length must reach
+        reach = F.when(F.col("least") > 0.000001, (F.col("least") - 0.000001) / (F.col("q_norm") * 1.000001))
+        level = F.when(reach.isNull(), F.lit(LOWEST)).otherwise(F.greatest(_level(reach) - 1, F.lit(LOWEST)))
+        ends = F.broadcast(spark.createDataFrame(_ends(blocks), "level int, last long"))
         ask = queries.join(least, "query_id", "left").withColumn("least", F.coalesce("least", lowest)) \
-            .withColumn("block", F.explode(F.sequence(F.lit(1), F.lit(n_blocks - 1)))) \
+            .withColumn("level", F.least(level, F.lit(HIGHEST))).join(ends, "level").filter("last > 0") \
+            .withColumn("block", F.explode(F.sequence(F.lit(1).cast("long"), "last"))) \
             .join(blocks.select("block", "top"), "block") \
             .filter("q_norm * top * 1.000001 + 0.000001 >= least") \
             .select("block", "q_block", "query_id", "v", "least")
