@@ -125,6 +125,17 @@ def _entropy_spans(found: Column, kind: str) -> Column:
                            (x["at"] + x["r"]["last"] + WINDOW).alias("end"))).cast(SPAN)
 
 
+def _aside(docs: DataFrame, own: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns that have names of our own renamed, and the names."""
+    names = {}
+    for c in docs.columns:
+        if c in own:
+            names[c] = f"_kept_{c}"
+            while names[c] in docs.columns:
+                names[c] += "_"
+    return docs.withColumnsRenamed(names), names
+
+
 def find_secrets(docs: DataFrame) -> DataFrame:
     """``docs`` (text, any other columns) with ``base`` and ``secrets``: arrays of
     struct<start, kind, end> in code points, end exclusive, ordered by start, then
@@ -134,6 +145,8 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     A null or empty text has none. Other columns are kept as they are, except
     that columns named ``base`` or ``secrets`` are replaced.
     """
+    columns = [c for c in docs.columns if c not in ("base", "secrets")]
+    docs, names = _aside(docs, ["_added", *[f"_{kind}" for kind in CLASSES]])
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     base = F.concat(_places(text, ASSIGN, 2, 0, LEAST["assign"]), _places(text, ACCESS, 0, 1, LEAST["access"]),
                     _places(text, HEX, 0, 2, LEAST["hex"]))
@@ -143,8 +156,8 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     found = found.withColumn("_added", F.when(
         F.size("_entropy_hex") + F.size("_entropy_base64") > 0, added).otherwise(F.array().cast(SPAN)))
     new = F.filter("_added", lambda a: ~F.exists("base", lambda b: (b["start"] <= a["start"]) & (b["end"] >= a["end"])))
-    return found.withColumn("secrets", F.sort_array(F.concat("base", new))) \
-        .drop("_added", *[f"_{kind}" for kind in CLASSES])
+    return found.withColumn("secrets", F.sort_array(F.concat("base", new))).select(
+        *[F.col(names.get(c, c)).alias(c) for c in columns], "base", "secrets")
 
 
 def written(spans: str) -> Column:
@@ -167,7 +180,8 @@ def report(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by ``mark``; overlapping
-    secrets become one mark. Texts without a secret, and nulls, are unchanged."""
+    secrets become one mark. Texts without a secret, and nulls, are unchanged, as
+    are all other columns, whatever their names."""
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     text = F.col("text").cast("string")
 
@@ -179,5 +193,6 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
 
     clean = F.aggregate("secrets", zero, step, lambda acc: F.concat(
         acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    found = find_secrets(docs)
-    return found.withColumn("text", F.when(F.size("secrets") > 0, clean).otherwise(text)).select(*docs.columns)
+    renamed, names = _aside(docs, ["base", "secrets"])
+    found = find_secrets(renamed).withColumn("text", F.when(F.size("secrets") > 0, clean).otherwise(text))
+    return found.select(*[F.col(names.get(c, c)).alias(c) for c in docs.columns])

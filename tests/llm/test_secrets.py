@@ -74,3 +74,18 @@ def test_redact(spark):
     got = {r.doc_id: r.text for r in secrets.redact(df).collect()}
     assert got == {1: 'a [SECRET]" b', 2: "[SECRET]", 3: None, 4: "clean", 5: ""}
     assert secrets.report(df.limit(0)).count() == 0
+
+
+def test_columns_with_names_of_our_own_and_rows_that_repeat(spark):
+    text = 'of the token = "0123456789abcdef0123" and that is'
+    rows = [(1, text, "b", "s", "a", "h"), (1, text, "b", "s", "a", "h"), (None, text, "x", "y", "z", "w"), (2, None, "b", "s", "a", "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, base string, secrets string, _added string, _entropy_hex string")
+    out = secrets.redact(docs)
+    assert out.columns == docs.columns
+    assert sorted(((r.doc_id, r.base, r.secrets, r["_added"], r["_entropy_hex"], r.text and "[SECRET]" in r.text)
+                   for r in out.collect()), key=str) == sorted(
+        [(1, "b", "s", "a", "h", True)] * 2 + [(None, "x", "y", "z", "w", True), (2, "b", "s", "a", "h", None)], key=str)
+    found = secrets.find_secrets(docs)
+    assert found.columns == ["doc_id", "text", "_added", "_entropy_hex", "base", "secrets"]
+    assert [(r.n_assign, r.n_hex) for r in secrets.report(docs).filter("doc_id = 1").collect()] == [(1, 0)] * 2
+    assert secrets.report(docs).filter("doc_id IS NULL").count() == 1
