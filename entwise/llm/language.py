@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from entwise.llm.common import prepare, release, slices, spread, string_buffers
+from entwise.llm.common import prepare, release, slices, string_buffers
 
 ORDERS = (1, 2, 3)
 #: Training rows, and landmarks among them, over all languages.
@@ -194,7 +194,8 @@ def identify(docs: DataFrame, train: str = "pmod(crc32(cast(doc_id AS string)),
     are never inputs of a prediction; they are kept, except that columns named
     lang_pred or score are replaced. Equal texts get equal results. Learned are
     the ``MOST_LANGUAGES`` values of lang with the most rows; the fit takes
-    ``TRAIN_ROWS`` rows, picked by a hash, of whatever doc_id, null or repeated.
+    ``TRAIN_ROWS`` rows, picked by a hash, of whatever doc_id, null or repeated;
+    copies of a row count once.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -204,16 +205,19 @@ def identify(docs: DataFrame, train: str = "pmod(crc32(cast(doc_id AS string)),
     usable = docs.filter(F.expr(train)).filter(F.col("lang").isNotNull() & text.rlike(r"\p{L}")).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
         F.xxhash64(F.col("doc_id").cast("long"), text).alias("h"))
-    counted = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
-    names = sorted(r.lang for r in counted.collect())
+    # copies of a row count once
+    usable = usable.groupBy("lang", "h").agg(F.min("doc_id").alias("doc_id"))
+    counted = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
+    names = sorted(r.lang for r in counted)
     if not names:
         return docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)})
     each, marked = max(1, TRAIN_ROWS // len(names)), max(2, LANDMARKS // len(names))
-    # first in parts of a language, so that no task gets all rows of one
-    ranked = usable.filter(F.col("lang").isin(*names)).withColumn("part", spread(spark, "h"))
-    for by in (["lang", "part"], ["lang"]):
-        first = Window.partitionBy(*by).orderBy("h", "doc_id")
-        ranked = ranked.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= each)
+    # the smallest hashes of a language; those far above the place where they must end are never moved
+    ends = {r.lang: min(1.0, (3 * each + 100) / r.n) for r in counted}
+    end = F.element_at(F.create_map(*[F.lit(x) for kv in ends.items() for x in kv]), F.col("lang"))
+    near = (F.col("h").cast("double") / 2.0 ** 64 + 0.5) <= end
+    first = Window.partitionBy("lang").orderBy("h", "doc_id")
+    ranked = usable.filter(F.col("lang").isin(*names)).filter(near).withColumn("r", F.row_number().over(first)).filter(F.col("r") <= each)
     picked = sorted(((r.lang, r.r, r.doc_id, r.h) for r in ranked.collect()), key=lambda x: x[:2])
     langs = [x[0] for x in picked]
     marks = np.array([i for i, x in enumerate(picked) if x[1] <= marked])

@@ -8,7 +8,7 @@
    of its ``LISTS`` smallest such keys. Two sets above the threshold differ in
    few values, so long runs stay equal: with whole sets of up to ``SMALL`` values
    a common run is certain, with ``K`` = 192 retained values a pair exactly at
-   0.80 misses every common run with a chance of about 1e-7, and one above it with
+   0.80 misses every common run with a chance of about 1e-9, and one above it with
    less. A frequent value alone makes no list, so a line that a third of the
    documents share does not bring them together. Lists with the same members are
    one, and lists that share members make a family.
@@ -18,6 +18,10 @@
    smallest values of both sketches) estimates a pair's similarity; pairs it puts
    more than ``SLACK`` below the threshold are out, which a pair exactly at 0.80
    meets with a chance under 2e-9 whatever its sizes, nested sets included.
+   The first block of a family meets all others, which links most copies of one
+   text; after that only members outside a family's largest component are compared,
+   with each other and with those inside. So a family of m near copies takes about
+   2 m rows, not the square of its blocks.
 4. Pairs that remain are confirmed on full sets: in the block itself where both
    sets have at most ``WHOLE`` values and so are there in full, else by their
    texts. Only components are wanted: a block hands on one spanning forest of
@@ -46,7 +50,7 @@ from entwise.operators.runtime_filter import KeyFilter
 
 K = 192
 RUN = 4
-LISTS = 80
+LISTS = 48
 SMALL = 32
 SLACK = 0.20
 WHOLE = 2048
@@ -277,18 +281,55 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         "doc_id", "n_shingles", F.col("name").alias("component_id"), (F.col("row") == F.col("first")).alias("kept"))
 
 
-def all_but_first(found: DataFrame, rows: DataFrame, row: str) -> DataFrame:
+def all_but_first(found: DataFrame, rows: DataFrame, row: str, work: Work) -> DataFrame:
     """The ``row`` values of a component's rows but that of the smallest doc_id, of
     equal ones the smallest row. ``found`` is a written table (row, component_id),
     ``rows`` has row and doc_id; a null doc_id counts as the largest. Rows of
     components of their own are never moved beside the first aggregate."""
     several = found.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("component_id")
-    linked = found.join(several, "component_id")
+    linked = found.join(work.table(several, "several"), "component_id")  # two plain scans: AQE splits a large group
     if row != "doc_id":
         linked = linked.join(rows.select(row, "doc_id"), row)
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("d"), F.col(row).alias("r"))
     first = linked.groupBy("component_id").agg(F.min(order).alias("first"))
-    return linked.select(row).join(first.select(F.col("first.r").alias(row)), row, "left_anti")
+    return linked.select(row).join(work.table(first.select(F.col("first.r").alias(row)), "first"), row, "left_anti")
+
+
+_SIDES = ["doc_id", "g", "x", "y", "side"]
+
+
+def _hub(rows: DataFrame) -> DataFrame:
+    """(doc_id, g, x, y, side) for the comparisons of each group's first block with
+    itself and with every other block; ``rows`` are (doc_id, g, nb), nb the number
+    of blocks. As many rows as the group has, and as many again."""
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("nb")).cast("int"))
+    first = rows.filter("block = 0").withColumn("y", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))) \
+        .select("doc_id", "g", F.lit(0).alias("x"), "y", F.when(F.col("y") == 0, -1).otherwise(0).alias("side"))
+    return first.unionAll(rows.filter("block > 0").select("doc_id", "g", F.lit(0).alias("x"), F.col("block").alias("y"),
+                                                          F.lit(1).alias("side")))
+
+
+def _rest(state: DataFrame, asked: str, work: Work) -> DataFrame:
+    """As ``_hub``, for what may still be linked in groups that hold several
+    components: the members outside a group's largest component with each other
+    and with the members inside. ``state`` is (doc_id, g, nb, root, n), written;
+    only groups of which ``asked`` holds take part."""
+    sizes = state.groupBy("g", "root").agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("n"), F.max("nb").alias("nb"))
+    sizes = sizes.groupBy("g").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.max("n").alias("n"), F.max("nb").alias("nb"),
+                                   F.max("m").alias("inside"), F.sum("m").alias("all"))
+    sizes = work.table(sizes.filter("all > inside").filter(asked).select(
+        "g", "main", F.ceil((F.col("all") - F.col("inside")) / BLOCK).cast("int").alias("outer"),
+        F.ceil(F.col("inside") / BLOCK).cast("int").alias("inner")), "open")
+    rows = state.select("doc_id", "g", "root").join(sizes, "g")
+    inside = F.col("root") == F.col("main")
+    h = F.xxhash64("doc_id")
+    rows = rows.withColumn("block", F.when(inside, F.col("outer") + F.pmod(h, F.col("inner"))).otherwise(F.pmod(h, F.col("outer"))).cast("int"))
+    one = rows.filter(~inside).withColumn("y", F.explode(F.sequence(F.col("block"), F.col("outer") + F.col("inner") - 1))) \
+        .select("doc_id", "g", F.col("block").alias("x"), "y", F.when(F.col("y") == F.col("block"), -1).otherwise(0).alias("side"))
+    stop = F.least(F.col("block"), F.col("outer")) - 1
+    two = rows.filter("block > 0").withColumn("x", F.explode(F.sequence(F.lit(0), stop))) \
+        .select("doc_id", "g", "x", F.col("block").alias("y"), F.lit(1).alias("side"))
+    return one.unionAll(two).select(*_SIDES)
 
 
 def _components_of(texts: DataFrame, width: int, percent: int, work: Work) -> DataFrame:
@@ -297,6 +338,10 @@ def _components_of(texts: DataFrame, width: int, percent: int, work: Work) -> Da
     reps = work.table(sk.filter("n > 0").groupBy("print").agg(F.min("doc_id").alias("rep")), "reps")
     members = work.table(sk.join(reps.select(F.col("rep").alias("doc_id")), "doc_id")
                          .select("doc_id", F.explode("keys").alias("key")), "members")
+    # most keys are of one document: they go before the join moves any
+    repeated = work.table(members.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key"), "repeated")
+    met = KeyFilter(repeated, "key", 1 << 24).holds("key")
+    members = work.table(members.filter(met).join(repeated, "key", "left_semi").select("doc_id", "key"), "met")
     # lists with the same members are one: only the smallest key of them stays
     shared = members.groupBy("key").agg(
         F.count(F.lit(1)).alias("m"), F.min("doc_id").alias("low"), F.bit_xor(F.xxhash64("doc_id")).alias("x"),
@@ -319,27 +364,17 @@ def _components_of(texts: DataFrame, width: int, percent: int, work: Work) -> Da
         .unionAll(large.select(F.struct(F.lit(1).alias("kind"), F.col("key")).alias("g"), "doc_id"))
     groups = work.table(groups, "groups")
     counts = work.table(groups.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("nb")), "blocks")
+    asks = [_hub(groups.join(counts, "g"))]
     links = roots = checked = None
-
-    for every in (False, True):
+    for turn in range(3):
+        every = turn == 2
         data = smallest.withColumn("root", F.col("doc_id"))
-        ask = groups
-        if every:  # components are known now; only long sets can still have unseen links
+        if turn:  # components are known now: what lies in one of them needs no comparison
             data = work.table(smallest.join(roots, F.col("doc_id") == F.col("node"), "left").select(
                 "doc_id", "n", "smallest", F.coalesce("root", "doc_id").alias("root")), "rooted")
-            state = work.table(groups.join(data.select("doc_id", "root", "n"), "doc_id"), "state")
-            open_ = state.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("n").alias("n")) \
-                .filter(f"lo < hi AND n > {WHOLE}")
-            ask = groups.join(work.table(open_.select("g"), "open"), "g", "left_semi")
-        dealt = ask.join(counts, "g") \
-            .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("nb")).cast("int")) \
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))) \
-            .select("doc_id", "g", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
-                    F.when(F.col("block") == F.col("other"), -1).otherwise(
-                        (F.col("block") > F.col("other")).cast("int")).alias("side"))
-        # a block of its own meets itself only in the group (x, x)
-        dealt = dealt.withColumn("side", F.when(F.col("x") == F.col("y"), -1).otherwise(F.col("side")))
-        pairs = work.table(dealt.join(data, "doc_id").groupBy("g", "x", "y")
+            state = work.table(groups.join(counts, "g").join(data.select("doc_id", "root", "n"), "doc_id"), "state")
+            asks.append(_rest(state, f"n > {WHOLE}" if every else "nb > 1", work))
+        pairs = work.table(asks[-1].join(data, "doc_id").groupBy("g", "x", "y")
                            .applyInArrow(_block_links(percent, every), "a long, b long, sure boolean").distinct(), "pairs")
         unsure = pairs.filter("NOT sure").select("a", "b")
         if checked is not None:
@@ -348,11 +383,11 @@ def _components_of(texts: DataFrame, width: int, percent: int, work: Work) -> Da
         tb = full.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
         done = work.table(unsure.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb")
                           .mapInArrow(_confirm(width, percent), "a long, b long, linked boolean"), "confirmed")
-        new = done.filter("linked").select("a", "b")
-        if every and new.limit(1).count() == 0:
-            break
-        links = new.unionAll(pairs.filter("sure").select("a", "b")) if links is None else links.unionAll(new)
-        checked = done
+        new = done.filter("linked").select("a", "b").unionAll(pairs.filter("sure").select("a", "b"))
+        if turn and new.limit(1).count() == 0:
+            continue
+        links = new if links is None else links.unionAll(new)
+        checked = done if checked is None else checked.unionAll(done)
         roots = work.table(components(links, work), "roots")
 
     final = reps.join(roots, F.col("rep") == F.col("node"), "left") \

@@ -137,12 +137,39 @@ def test_chance_to_miss_a_nested_pair_at_the_threshold(percent):
     k, limit = nd.K, (percent / 100 - nd.SLACK) * nd.K
     below = sum(math.comb(k, x) * (percent / 100) ** x * (1 - percent / 100) ** (k - x) for x in range(math.ceil(limit)))
     assert below < 2e-9
+    # a quarter of the lists: what it misses happens to all four with the fourth power
     rng = np.random.default_rng(percent)
-    fewest = []
-    for _ in range(1500):
+    missed = 0
+    for _ in range(4000):
         big = np.sort(rng.integers(0, 1 << 62, 2000).astype(np.uint64))
         small = np.sort(rng.permutation(big)[:2000 * percent // 100])
-        keys = [set(nd.list_keys(x[:k], len(x), nd.RUN).tolist()) for x in (big, small)]
-        fewest.append(len(keys[0] & keys[1]))
-    # common lists: far from none at the rarest of the trials
-    assert min(fewest) >= 2 and np.mean(fewest) - 5 * np.std(fewest) > 0
+        keys = [set(nd.list_keys(x[:k], len(x), nd.RUN)[:nd.LISTS // 4].tolist()) for x in (big, small)]
+        missed += not keys[0] & keys[1]
+    assert (max(missed, 1) / 4000) ** 4 < 5e-9
+
+
+def test_many_blocks_with_several_components(spark, monkeypatch):
+    """Small blocks: families of many blocks, in which some members link to none of the first."""
+    monkeypatch.setattr(nd, "BLOCK", 6)
+    rnd = random.Random(11)
+    line = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(90):                      # near copies of one text, a chain of slow change, and bystanders with its half
+        words_ = list(line)
+        for _ in range(rnd.randint(0, 3)):
+            words_[rnd.randrange(60)] = f"x{rnd.randrange(1000)}"
+        rows.append((i, " ".join(words_)))
+    for i in range(40):
+        rows.append((200 + i, " ".join([f"c{j}" for j in range(i, i + 40)])))
+        rows.append((300 + i, " ".join(line[:30] + [f"{i}o{j}" for j in range(9)])))
+    got = ours(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85)
+    assert got == brute(rows, 3, 85) and len({c for _, c, _ in got.values()}) > 10
+
+
+def test_rows_compared_grow_with_a_group_not_with_its_square(spark, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK", 8)
+    made = {}
+    for m in (80, 320):
+        rows = spark.range(m).selectExpr("id AS doc_id", "named_struct('kind', 0, 'key', 1L) AS g", f"{m // 8} AS nb")
+        made[m] = nd._hub(rows).count()
+    assert made[320] <= 4.2 * made[80]
