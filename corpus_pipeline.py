@@ -34,7 +34,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     rows, row = row_ids(docs, work)
     found = work.table(near_dedup.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), width=5, percent=80)
                        .select(F.col("doc_id").alias(row), "component_id").filter("component_id IS NOT NULL"), "found")
-    gone = near_dedup.all_but_first(found, rows, row)
+    gone = near_dedup.all_but_first(found, rows, row, work)
     return without(rows, work.table(gone, "gone"), row).select(*docs.columns)
 
 
