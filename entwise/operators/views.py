@@ -144,14 +144,27 @@ def feature_scatter(analysis: DataFrame, feature: str) -> DataFrame:
                            F.col(feature).alias("value"))
 
 
+def pivot_long(df: DataFrame, rows: Sequence[str], column: str, agg: str = "count", measure: str | None = None) -> DataFrame:
+    """The filled cells of a pivot table as rows: ``rows``, ``column`` (as text, NULL
+    for rows without a value) and ``cell``. For any number of values: they stay in
+    the rows and are never looked up, so nothing reaches the driver."""
+    if agg not in PIVOT_AGGS:
+        raise ValueError(f"agg must be one of {sorted(PIVOT_AGGS)}")
+    if agg != "count" and measure is None:
+        raise ValueError("measure is required for " + agg)
+    cell = F.count(F.lit(1)) if agg == "count" else getattr(F, agg)(F.col(measure))
+    return df.groupBy(*rows, F.col(column).cast("string").alias(column)).agg(cell.alias("cell"))
+
+
 def pivot(df: DataFrame, rows: Sequence[str], column: str, values: Sequence[str] | None = None,
           agg: str = "count", measure: str | None = None, other: str = "other") -> DataFrame:
     """Pivot table: ``rows`` x ``values`` of ``column`` with count/sum/avg/min/max.
 
-    Without ``values`` they are looked up first (a column with more than
-    ``MAX_PIVOT_VALUES`` is refused, as Spark's own pivot does). Rows whose value
+    Without ``values`` they are looked up first; a column with more than
+    ``MAX_PIVOT_VALUES`` makes no table of columns, ``pivot_long`` takes it. Rows whose value
     is not listed, or NULL, go to the column ``other`` (with underscores added if
-    a value has that name), so the cells of a line always cover all of its rows. Cells without rows are NULL (0 for count).
+    a value has that name), so the cells of a line always cover all of its rows.
+    Cells without rows are NULL (0 for count).
     """
     if agg not in PIVOT_AGGS:
         raise ValueError(f"agg must be one of {sorted(PIVOT_AGGS)}")
@@ -160,7 +173,7 @@ def pivot(df: DataFrame, rows: Sequence[str], column: str, values: Sequence[str]
     if values is None:
         found = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(MAX_PIVOT_VALUES + 1).collect()
         if len(found) > MAX_PIVOT_VALUES:
-            raise ValueError(f"{column} has more than {MAX_PIVOT_VALUES} values")
+            raise ValueError(f"{column} has more than {MAX_PIVOT_VALUES} values: use pivot_long")
         values = sorted(str(r[0]) for r in found)
     while other.lower() in {v.lower() for v in values}:
         other += "_"

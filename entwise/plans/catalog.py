@@ -120,6 +120,7 @@ QUERIES: dict[str, Query] = {
     "pivot_avg": lambda s, d: _pivoted(s, d, "avg"),
     "pivot_min": lambda s, d: _pivoted(s, d, "min"),
     "pivot_max": lambda s, d: _pivoted(s, d, "max"),
+    "pivot_long": lambda s, d: views.pivot_long(A.analysis(s, d), ["SUPPLIER_NM"], "PBIN", "max", "pRatio"),
     "choices": lambda s, d: views.choices(A.transactions(s, d), "COLUMN_NM"),
     "page_view": lambda s, d: views.page(A.analysis(s, d), "pRatio", ascending=False, size=25),
     "page_view_next": lambda s, d: views.page(A.analysis(s, d), "pRatio", ascending=False, size=25,

@@ -107,3 +107,14 @@ def test_dedupe_counts(spark):
     df = spark.createDataFrame([("a", None), ("a", None), ("b", 1)], "x string, y int")
     r = quality.dedupe_counts(df).collect()[0]
     assert (r.rows, r.distinct_rows) == (3, 2)   # NULLs count as equal, unlike count(DISTINCT ...)
+
+
+def test_pivot_long_takes_any_number_of_values(spark):
+    df = spark.range(25_000).selectExpr("id % 2 AS r", "CASE WHEN id < 24990 THEN id END AS v", "CAST(id AS DOUBLE) AS m")
+    with pytest.raises(ValueError, match="pivot_long"):
+        views.pivot(df, ["r"], "v")
+    got = views.pivot_long(df, ["r"], "v")
+    assert got.count() == 24_992 and {r.cell for r in got.filter("v IS NULL").collect()} == {5}
+    assert views.pivot_long(df, ["r"], "v", "max", "m").agg({"cell": "max"}).first()[0] == 24_999.0
+    with pytest.raises(ValueError):
+        views.pivot_long(df, ["r"], "v", "sum")
