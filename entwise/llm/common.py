@@ -52,12 +52,16 @@ def prepare(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
 
 
+#: Bits of a filter of keys that rules rows out before a join (1 MB).
+FILTER_BITS = 1 << 23
+
+
 def without(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
     """``rows`` whose ``column`` is none of ``keys`` (a one-column table of it,
     written, without NULL), with the rows moved as little as can be: those that a
     bit filter of the keys rules out stay where they are, only the others meet the
     keys in a join. Rows with a NULL stay."""
-    maybe = KeyFilter(keys, column).holds(column)
+    maybe = KeyFilter(keys, column, FILTER_BITS).holds(column)
     return rows.filter(~maybe).unionAll(rows.filter(maybe).join(keys, column, "left_anti").select(*rows.columns))
 
 

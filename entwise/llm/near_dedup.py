@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entwise.llm.common import LOWER, SpanHashes, Work, by_row, mix64, release, slices, string_buffers, word_spans
+from entwise.llm.common import FILTER_BITS, LOWER, SpanHashes, Work, by_row, mix64, release, slices, string_buffers, word_spans
 from entwise.llm.components import components
 from entwise.operators.runtime_filter import KeyFilter
 
@@ -353,7 +353,7 @@ def _components_of(texts: DataFrame, width: int, percent: int, work: Work) -> Da
     family = work.table(family.join(sizes, "root").select(F.col("node").alias("doc_id"), F.col("root").alias("family"), "m"),
                         "family")
     # most texts have no partner: they go before the join moves any
-    partnered = KeyFilter(family, "doc_id").holds("doc_id")
+    partnered = KeyFilter(family, "doc_id", FILTER_BITS).holds("doc_id")
     full = work.table(texts.filter(partnered).join(family.select("doc_id"), "doc_id", "left_semi"), "texts")
     smallest = work.table(full.mapInArrow(_smallest(width), "doc_id long, n long, smallest array<long>"), "smallest")
 
