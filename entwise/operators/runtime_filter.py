@@ -8,26 +8,36 @@ test of a row is a built-in expression above the scan, before any exchange, and
 the rows that cannot match are never shuffled. Some rows pass without a match;
 the join that follows decides, so the result is the same with or without.
 
-Its size does not depend on the data: ``bits`` / 8 bytes, 1 MB unless told
-otherwise. With more keys than about a tenth of the bits, more rows pass.
+Its size does not depend on the data but on the width of the session's shuffles,
+so it grows with the cluster up to ``MOST_BITS`` (8 MB). With more keys than about
+a tenth of the bits, more rows pass; the rows of the join stay the same.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BITS = 1 << 23
+#: Bits for each shuffle partition, and the fewest.
+BITS_EACH, LEAST_BITS = 1 << 17, 1 << 20
 #: Largest bit array (8 MB): it travels with the tasks.
 MOST_BITS = 1 << 26
 #: Bits that a key sets; each takes other digits of the key's hash.
 HASHES, STEP = 3, 19
 
 
+def bits_for(spark: SparkSession) -> int:
+    """Bits that suit the session: the next power of two."""
+    wanted = BITS_EACH * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (wanted - 1).bit_length()))
+
+
 class KeyFilter:
-    """The keys in ``column`` of ``keys``; ``bits`` is a power of two."""
+    """The keys in ``column`` of ``keys``; ``bits`` is a power of two, by default
+    ``bits_for`` the session."""
 
-    def __init__(self, keys: DataFrame, column: str, bits: int = BITS):
+    def __init__(self, keys: DataFrame, column: str, bits: int | None = None):
+        bits = bits_for(keys.sparkSession) if bits is None else bits
         if bits & (bits - 1) or not 64 <= bits <= MOST_BITS:
             raise ValueError(f"bits must be a power of two from 64 to {MOST_BITS}")
         self.bits, self.kind = bits, keys.schema[column].dataType.simpleString()

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from entwise import schemas as S
 from entwise.operators.incremental import not_yet_loaded
-from entwise.operators.runtime_filter import BITS, KeyFilter
+from entwise.operators.runtime_filter import KeyFilter
 from entwise.operators.skew import spread_join
 
 SOURCE_KEYS = ["lvid", "supplier_nb", "dt_first_rpted", "dt_last_rpted"]
@@ -75,7 +75,7 @@ def entity_locations_of(changes: DataFrame, entity_locations: DataFrame) -> Data
 
 def build(changes: DataFrame, entity_locations: DataFrame, suppliers: DataFrame,
           sources: Sequence[tuple[DataFrame, Sequence[ElementSpec]]],
-          loaded: DataFrame | None = None, filter_bits: int | None = BITS) -> DataFrame:
+          loaded: DataFrame | None = None, prefilter: bool = True, filter_bits: int | None = None) -> DataFrame:
     """Supplement rows in ``SUPPLEMENT_LAYOUT`` for every (source, specs) pair.
 
     Steps: drop source rows of other locations at the scan -> unpivot each source
@@ -85,13 +85,13 @@ def build(changes: DataFrame, entity_locations: DataFrame, suppliers: DataFrame,
 
     Sources and ``loaded`` are far larger than the changed locations, so both are
     reduced before they are shuffled, by a filter from the locations' keys
-    (``runtime_filter``, of ``filter_bits`` bits; None leaves it out, with the
-    same rows). The location join comes before the anti-join because it is the
+    (``runtime_filter``, of ``filter_bits`` bits; without ``prefilter`` it is left
+    out, with the same rows). The location join comes before the anti-join because it is the
     selective step; AQE may split a hot ``lvid`` because both join inputs are
     shuffles.
     """
     locations = entity_locations_of(changes, entity_locations)
-    asked = KeyFilter(locations, "lvid", filter_bits).holds("lvid") if filter_bits else F.lit(True)
+    asked = KeyFilter(locations, "lvid", filter_bits).holds("lvid") if prefilter else F.lit(True)
     long = None
     for df, specs in sources:
         part = unpivot_elements(df.filter(asked), specs)

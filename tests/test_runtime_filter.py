@@ -4,7 +4,7 @@ import pytest
 
 from entwise import schemas as S
 from entwise.operators import supplement as sup
-from entwise.operators.runtime_filter import KeyFilter
+from entwise.operators.runtime_filter import KeyFilter, bits_for
 from entwise.plans import catalog
 
 SF = "/root/testdata/sf0.001"
@@ -47,6 +47,13 @@ def shuffles(spark):
         spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+class Width:
+    """A session's setting alone."""
+
+    def __init__(self, partitions):
+        self.conf = {"spark.sql.shuffle.partitions": str(partitions)}
+
+
 def test_keys_pass_and_few_others(spark):
     keys = spark.range(2000).selectExpr("CAST(id * 7 AS STRING) AS k").unionAll(spark.sql("SELECT CAST(NULL AS STRING)"))
     rows = spark.range(140_000).selectExpr("id AS k")       # a number here, text there
@@ -56,6 +63,7 @@ def test_keys_pass_and_few_others(spark):
     tight = rows.filter(KeyFilter(keys, "k", 64).holds("k"))   # a full array lets all pass
     assert tight.count() == 140_000
     assert rows.filter(KeyFilter(keys.limit(0), "k").holds("k")).count() == 0
+    assert [bits_for(spark) for spark in (Width(1), Width(16), Width(200), Width(10 ** 5))] == [1 << 20, 1 << 21, 1 << 25, 1 << 26]
     for bits in (0, 96, 1 << 27):
         with pytest.raises(ValueError):
             KeyFilter(keys, "k", bits)
@@ -88,10 +96,10 @@ def test_source_rows_shuffled_fall_with_the_share_of_changed_locations(spark, sh
     for changed in (2, 20, 100):
         parts = tables(spark, changed)
         for bits in (None, 1 << 16):
-            df = build(parts, filter_bits=bits)
+            df = build(parts, prefilter=bits is not None, filter_bits=bits)
             df.collect()
             moved[changed, bits] = shuffled(df, "lvid")
-        assert same(build(parts, filter_bits=1 << 16), build(parts, filter_bits=None))
+        assert same(build(parts, filter_bits=1 << 16), build(parts, prefilter=False))
     assert moved[2, None] >= 20_000
     assert moved[2, 1 << 16] < 0.2 * moved[2, None]
     assert moved[2, 1 << 16] < moved[20, 1 << 16] < moved[100, 1 << 16] <= moved[100, None]
