@@ -203,8 +203,7 @@ def _block_links(percent: int, every: bool):
         ok = np.triu(np.minimum.outer(size, size) * 100 >= percent * np.maximum.outer(size, size), 1)
         if (side >= 0).any():
             ok &= side[:, None] != side[None, :]
-        if every:
-            ok &= root[:, None] != root[None, :]
+        ok &= root[:, None] != root[None, :]  # at first every document is a component
         # the union sketch holds at least as many values as either of both sketches
         sketch = np.minimum(kept, K)
         retained = _common(values[place < K], owner[place < K], m)
