@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 
 PIVOT_AGGS = {"count", "sum", "avg", "min", "max"}
 MAX_PIVOT_VALUES = 10_000
+#: Rows of a range that ``write_clustered`` sorts in one task, where a table has more
+#: than that for each shuffle partition.
+RANGE_ROWS = 1 << 22
 
 
 def project(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -64,16 +67,19 @@ def write_clustered(df: DataFrame, path: str, sort_col: str, ascending: bool = T
     has a row for each file with its number of rows and its last row.
 
     Rows are dealt by ranges of all columns, and equal rows by where they come
-    from, so no file gets all rows of a common value. A descending ``sort_col``
-    must be a number or a date.
+    from, so no file gets all rows of a common value. A range is sorted by one task
+    and cut into its files there: the driver samples some rows for each range, so
+    there are as many ranges as a shuffle has partitions, or one for RANGE_ROWS
+    rows, not one for each file. A descending ``sort_col`` must be a number or a date.
     """
     order = _order(df.columns, sort_col, ascending)
     kind = df.schema[sort_col].dataType
     if not ascending and not isinstance(kind, (T.NumericType, T.DateType)):
         raise ValueError("descending pages need a number or a date to sort by")
-    files = max(1, -(-df.count() // rows_per_file))
-    (df.repartitionByRange(files, *_sorted_by(order), F.monotonically_increasing_id())
-     .sortWithinPartitions(*_sorted_by(order)).write.parquet(f"{path}/rows"))
+    rows, width = df.count(), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(1, min(-(-rows // rows_per_file), max(width, -(-rows // RANGE_ROWS))))
+    (df.repartitionByRange(ranges, *_sorted_by(order), F.monotonically_increasing_id())
+     .sortWithinPartitions(*_sorted_by(order)).write.option("maxRecordsPerFile", rows_per_file).parquet(f"{path}/rows"))
     day = isinstance(kind, T.DateType)
     falling = -(F.unix_date(sort_col) if day else F.col(sort_col))
     keys = [F.struct(F.col(c).isNull(), (F.col(c) if up else falling).alias("v")).alias(c) for c, up in order]

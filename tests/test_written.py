@@ -195,6 +195,24 @@ def test_clustered_copies_of_one_row_and_unfit_columns(spark):
         views.write_clustered(spark.range(3).selectExpr("'a' AS k"), scratch(spark, "pages"), "k", False)
 
 
+def test_clustered_ranges_do_not_grow_with_the_files(spark):
+    """The driver samples rows for each range of the shuffle; files are cut from a range."""
+    jobs, df = [], spark.range(20_000).selectExpr("id % 977 AS k", "id AS j")
+    path, width = scratch(spark, "pages"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    group = f"pages-{path}"
+    spark.sparkContext.setJobGroup(group, group)
+    views.write_clustered(df, path, "k", False, 50)
+    tracker = spark.sparkContext.statusTracker()
+    for job in tracker.getJobIdsForGroup(group):
+        jobs += [tracker.getStageInfo(i).numTasks for i in tracker.getJobInfo(job).stageIds if tracker.getStageInfo(i)]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    index = spark.read.parquet(f"{path}/index").collect()
+    assert len(index) >= 400 and max(r["_rows"] for r in index) <= 50 and sum(r["_rows"] for r in index) == 20_000
+    assert max(jobs) < 200 and width < 200
+    after = {"k": 500, "j": 3000}
+    assert views.page_clustered(spark, path, "k", False, 70, after).collect() == views.page(df, "k", False, 70, after).collect()
+
+
 # --- histogram -------------------------------------------------------------------------
 
 def test_round_histogram(spark):
