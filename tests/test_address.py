@@ -116,3 +116,18 @@ def test_classify_scan_prunes_nothing_needed(spark, tmpdir_path):
     # only the columns the flag needs reach the scan
     assert "hyg_lacs_dt" not in plan and "std_usps_rc_ty_cd" in plan
     assert out.filter(F.col("std_addr") == "1").count() == 3
+
+
+def test_repeated_government_keys_are_never_broadcast(spark):
+    """Their size is known before they are repeated for the salts, so a broadcast
+    chosen by it would be many times as large in every task."""
+    from pyspark.sql import functions as F
+
+    from entwise.operators import address as addr
+    from entwise.sources import adapters as A
+    rows = A.address(spark, "/root/testdata/sf0.001")
+    keys = addr.base_flags(rows).selectExpr(f"trim({addr.GOVT_KEY}) AS {addr.GOVT_KEY}").distinct().withColumn("govt", F.lit("1"))
+    out = addr.classify(rows, keys)
+    assert len(out.collect()) == rows.count()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
