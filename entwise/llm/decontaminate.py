@@ -153,6 +153,15 @@ def _scan(patterns: list[Patterns]):
 
 
 SCANNED = "doc_id long, n_words long, spans array<struct<start:long,end:long>>, items array<string>"
+JOINED = ("doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
+          "spans array<struct<start:long,end:long>>, items array<string>")
+
+
+def _scan_and_join(patterns: list[Patterns]):
+    """Both steps in one worker: two Python operators in a stage would take two for
+    each task, which stay and hold memory in the stages that follow."""
+    scan = _scan(patterns)
+    return lambda batches: _joined(scan(batches))
 
 
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,12 +221,11 @@ def _search(texts: DataFrame, items: DataFrame, passes: int, window: int) -> Dat
     for k in range(passes):
         part = items if passes == 1 else items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(passes)) == k)
         patterns = build_patterns([(r.item, r.text) for r in part.collect()], window)
+        if passes == 1:
+            return texts.mapInArrow(_scan_and_join(patterns), JOINED)
         scanned = texts.mapInArrow(_scan(patterns), SCANNED)
         found = scanned if found is None else found.unionAll(scanned)
-    if passes > 1:
-        found = found.groupBy("doc_id").agg(
-            F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"),
-            F.flatten(F.collect_list("items")).alias("items"))
-    return found.mapInArrow(
-        _joined, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
-                 "spans array<struct<start:long,end:long>>, items array<string>")
+    found = found.groupBy("doc_id").agg(
+        F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"),
+        F.flatten(F.collect_list("items")).alias("items"))
+    return found.mapInArrow(_joined, JOINED)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from entwise.llm.common import prepare, release, slices, string_buffers
+from entwise.llm.common import local_rows, prepare, release, slices, string_buffers
 
 ORDERS = (1, 2, 3)
 #: Training rows, and landmarks among them, over all languages.
@@ -223,7 +223,8 @@ def identify(docs: DataFrame, train: str = "pmod(crc32(cast(doc_id AS string)),
     marks = np.array([i for i, x in enumerate(picked) if x[1] <= marked])
 
     def texts(of: list[int]) -> DataFrame:
-        chosen = spark.createDataFrame([(i, picked[i][2], picked[i][3], langs[i]) for i in of], "nth int, d long, k long, l string")
+        chosen = local_rows(spark, {"nth": pa.int32(), "d": pa.int64(), "k": pa.int64(), "l": pa.string()},
+                            [(i, picked[i][2], picked[i][3], langs[i]) for i in of])
         same = F.col("doc_id").cast("long").eqNullSafe(F.col("d")) & (F.col("lang").cast("string") == F.col("l")) \
             & (F.xxhash64(F.col("doc_id").cast("long"), text) == F.col("k"))
         return docs.join(F.broadcast(chosen), same).select("nth", text.alias("text"))

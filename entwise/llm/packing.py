@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from entwise.llm.common import Work, by_row, ranked
+from entwise.llm.common import Work, by_row, local_rows, ranked
 from entwise.llm.tokens import encoder
 
 CAPACITY = 4096
@@ -198,8 +198,9 @@ def _pack(rows: DataFrame, tokenizer_file: str, end_id: int, keep_ids: bool, wor
     intervals, n_planned = plan(lengths)
 
     order = work.table(ranked(rests.withColumn("bin", rounded(F.col("length"))), ["bin"], ["doc_id"], "rank"), "ranked")
-    places = F.broadcast(spark.createDataFrame(
-        intervals, "b int, low long, high long, bundle int, shift long, each int, first long"))
+    places = F.broadcast(local_rows(spark, {
+        "b": pa.int32(), "low": pa.int64(), "high": pa.int64(), "bundle": pa.int32(), "shift": pa.int64(),
+        "each": pa.int32(), "first": pa.int64()}, intervals))
     dealt = order.join(places, (F.col("bin") == F.col("b")) & (F.col("rank") >= F.col("low"))
                        & (F.col("rank") < F.col("high")), "left")
     item = F.floor(F.col("rank") / F.col("bundle")) + F.col("shift")

@@ -1,7 +1,9 @@
 import re
 
+import pyarrow as pa
+
 import corpus_pipeline
-from entwise.llm import packing, secrets
+from entwise.llm import common, decontaminate, packing, secrets
 
 from .conftest import TABLES, words
 from .test_near_dedup import brute as components
@@ -87,3 +89,15 @@ def test_columns_with_the_names_of_helpers_stay(spark, tmp_path):
     spark.createDataFrame([("b", "other")], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert [r["_row"] for r in corpus_pipeline.near_dedup_stage(spark, docs, "").collect()] in (["a"], ["b"])
     assert sorted(r["_row"] for r in corpus_pipeline.decontaminate_stage(spark, docs, str(tmp_path)).collect()) == ["a", "b"]
+
+
+def test_a_task_of_the_pipeline_needs_one_python_worker(spark):
+    """Two Python operators in a stage take two workers for each task, and Python rows
+    of the driver others beside them; they stay and hold memory in later stages."""
+    docs = spark.read.parquet(f"{TABLES}/documents.parquet")
+    plan = decontaminate.contamination(docs, spark.read.parquet(f"{TABLES}/benchmark.parquet"))._jdf.queryExecution()
+    assert plan.executedPlan().toString().count("MapInArrow") == 1
+    rows = common.local_rows(spark, {"a": pa.int32(), "b": pa.string()}, [(1, "x"), (2, None)])
+    assert rows.dtypes == [("a", "int"), ("b", "string")] and [tuple(r) for r in rows.collect()] == [(1, "x"), (2, None)]
+    assert "ExistingRDD" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert common.local_rows(spark, {"a": pa.int64()}, []).count() == 0
