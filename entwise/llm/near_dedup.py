@@ -339,7 +339,7 @@ def _components_of(texts: DataFrame, width: int, percent: int, work: Work) -> Da
                          .select("doc_id", F.explode("keys").alias("key")), "members")
     # most keys are of one document: they go before the join moves any
     repeated = work.table(members.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key"), "repeated")
-    met = KeyFilter(repeated, "key", 1 << 24).holds("key")
+    met = KeyFilter(repeated, "key", FILTER_BITS).holds("key")
     members = work.table(members.filter(met).join(repeated, "key", "left_semi").select("doc_id", "key"), "met")
     # lists with the same members are one: only the smallest key of them stays
     shared = members.groupBy("key").agg(

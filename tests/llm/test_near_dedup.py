@@ -173,3 +173,20 @@ def test_rows_compared_grow_with_a_group_not_with_its_square(spark, monkeypatch)
         rows = spark.range(m).selectExpr("id AS doc_id", "named_struct('kind', 0, 'key', 1L) AS g", f"{m // 8} AS nb")
         made[m] = nd._hub(rows).count()
     assert made[320] <= 4.2 * made[80]
+
+
+def test_key_filters_are_small_enough_for_the_driver(spark, monkeypatch):
+    """A filter of 2 MB, serialized with each closure, took 300 MB of the driver's heap."""
+    made = []
+
+    class Recorded(nd.KeyFilter):
+        def __init__(self, *args):
+            super().__init__(*args)
+            made.append(self.bits)
+
+    monkeypatch.setattr(nd, "KeyFilter", Recorded)
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text), (2, text + " end"), (3, "something else entirely here now")]
+    found = nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in found.collect()} == {1: 1, 2: 1, 3: 3}
+    assert len(made) == 2 and max(made) <= nd.FILTER_BITS == 1 << 23

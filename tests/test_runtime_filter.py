@@ -113,3 +113,15 @@ def test_filter_stands_between_scan_and_exchange(spark, shuffles):
     assert len(tests) >= 2                       # the source, and the rows loaded before
     assert all("Scan" in n.toString() and "Exchange" not in n.child().toString() for n in tests)
     assert df.columns == S.SUPPLEMENT_LAYOUT
+
+
+def test_a_row_is_tested_by_one_word_that_is_mentioned_twice(spark):
+    """Each mention of the array is a copy in every closure that the driver serializes."""
+    keys = spark.range(3000).selectExpr("id * 7 AS k")
+    found = KeyFilter(keys, "k", 1 << 16)
+    assert found.words is not None and str(found.holds("k")).count("element_at") == 2
+    rows = spark.range(-5000, 21_000).selectExpr("id AS k").unionAll(spark.sql("SELECT CAST(NULL AS LONG)"))
+    passed = {r.k for r in rows.filter(found.holds("k")).collect()}
+    assert {7 * i for i in range(3000)} <= passed and len(passed) < 3000 + 1500
+    held = spark.range(1).select(found.words.alias("w")).first().w
+    assert len(held) == (1 << 16) // 64 and 0 < sum(bin(w & (2 ** 64 - 1)).count("1") for w in held) <= 3 * 3000
